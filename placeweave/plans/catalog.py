@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from placeweave.plans import matching  # noqa: F401
+from placeweave.plans import changes, geography, matching, reporting  # noqa: F401
 from placeweave.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -55,11 +55,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
-    For results that several later branches use: the lineage is cut at files
-    that outlive a lost executor.
+    For results that several later branches use: they scan only the columns
+    they need, and the lineage is cut at files that outlive a lost executor.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
