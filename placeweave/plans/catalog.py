@@ -1,4 +1,12 @@
 """Imports every module that registers queries."""
 
-from placeweave.plans import changes, geography, matching, reporting  # noqa: F401
+from placeweave.plans import (  # noqa: F401
+    changes,
+    documents,
+    geography,
+    matching,
+    reporting,
+    searching,
+    texts,
+)
 from placeweave.plans.registry import ORACLES, QUERIES  # noqa: F401
