@@ -44,15 +44,36 @@ def cosine(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column |
     )
 
 
+# Fixed rule: one character per vector entry, starting at the first CJK ideograph.
+_FIRST_SYMBOL = 0x4E00
+
+
 def hashed_vector(c: Column, dimensions: int = 64) -> Column:
-    """Bag-of-words vector by feature hashing, the built-in encoder."""
+    """Bag-of-words vector by feature hashing, the built-in encoder.
+
+    Words become one symbol each; an entry is the number of its symbols. The
+    symbol text is bound once and counted by plain string operations.
+    """
+    symbols = "".join(chr(_FIRST_SYMBOL + i) for i in range(dimensions))
     words = F.filter(F.split(clean_text(c), " "), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(dimensions)).cast("int"))
-    # one pass over the words: count of each slot through the sorted slots
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)),
-        lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("float"),
+    text = F.array_join(
+        F.transform(
+            words,
+            lambda w: F.substr(
+                F.lit(symbols), (F.pmod(F.xxhash64(w), F.lit(dimensions)) + 1).cast("int"), F.lit(1)
+            ),
+        ),
+        "",
     )
+    alphabet = F.array(*[F.lit(s) for s in symbols])
+
+    def counts(t: Column) -> Column:
+        return F.transform(
+            alphabet,
+            lambda s: (F.length(t) - F.length(F.replace(t, s, F.lit("")))).cast("float"),
+        )
+
+    return F.transform(F.array(text), counts)[0]
 
 
 def add_embeddings(

@@ -7,6 +7,8 @@ from placeweave.plans import (  # noqa: F401
     matching,
     reporting,
     searching,
+    streams,
     texts,
+    transfer,
 )
 from placeweave.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -44,12 +44,14 @@ def incremental_compare(
     checkpoint: str,
     make_pairs: Callable[[DataFrame], DataFrame],
     key: str = "contentid",
+    block: str = "cell",
 ) -> StreamingQuery:
     """Compare each arriving batch with everything that arrived before.
 
     ``make_pairs`` turns places into pairs with ``contentid1`` and
-    ``contentid2``. Only pairs with a new place on one side at least are
-    stored.
+    ``contentid2`` that share a ``block``; earlier places are read only for
+    blocks with arrivals. Known pairs are dropped, so only pairs with a new
+    place on one side at least are stored.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -58,7 +60,9 @@ def incremental_compare(
         _store(fresh, base_path, batch_id)
         stored = batch.sparkSession.read.parquet(base_path)
         new = stored.filter(F.col("batch") == batch_id).drop("batch")
-        rows = new if old is None else old.unionByName(new)
+        rows = new
+        if old is not None:
+            rows = old.join(new.select(block).distinct(), block, "left_semi").unionByName(new)
         pairs = without_known(make_pairs(rows), _earlier(batch, pairs_path, batch_id))
         _store(pairs, pairs_path, batch_id)
 
@@ -90,7 +94,8 @@ def latest_versions(table: DataFrame, keys: list[str], order: list[str]) -> Data
 def first_seen(stream: DataFrame, key: str, time: str, delay: str = "10 minutes") -> DataFrame:
     """Drop keys that were seen within the delay; state older than the
     watermark is forgotten."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def first_seen_ever(stream: DataFrame, path: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
