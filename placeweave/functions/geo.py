@@ -235,7 +235,16 @@ def edges_of(rings: Column) -> Column:
 
 def in_edges(lat: Column, lon: Column, edges: Column) -> Column:
     """Inside by the even-odd rule; points on an edge are outside. Holes and
-    separate parts need no treatment of their own."""
+    separate parts need no treatment of their own.
+
+    Point and edges are bound once per row: inside the edge lambdas a derived
+    coordinate would be computed again for every edge.
+    """
+    bound = F.struct(lat.alias("y"), lon.alias("x"), edges.alias("edges"))
+    return F.exists(F.array(bound), lambda p: _even_odd(p["y"], p["x"], p["edges"]))
+
+
+def _even_odd(lat: Column, lon: Column, edges: Column) -> Column:
     crossings = F.size(
         F.filter(
             edges,

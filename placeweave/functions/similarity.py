@@ -216,43 +216,39 @@ def title_profile(c: Column) -> Column:
     )
 
 
-def _overlap_needed(prefix: Column, threshold: float) -> Column:
+def _overlap_needed(p: str, q: str, threshold: float) -> str:
     """Least value of common/size1 + common/size2 for a score above the
-    threshold, given the length of the common prefix."""
+    threshold, by the length of the common prefix."""
 
-    def needed(n: int) -> float:
+    def needed(prefix: int) -> str:
         if threshold <= BOOST_ABOVE:
             jaro = threshold
         else:
-            weight = n * PREFIX_WEIGHT
+            weight = prefix * PREFIX_WEIGHT
             jaro = max(BOOST_ABOVE, (threshold - weight) / (1 - weight))
-        return 3 * jaro - 1
+        return f"{3 * jaro - 1!r}D"
 
-    chain = F.lit(needed(PREFIX_LENGTH))
-    for n in range(PREFIX_LENGTH):
-        chain = F.when(prefix == n, F.lit(needed(n))).otherwise(chain)
-    return chain
+    cases = [f"WHEN NOT ({p}.ascii AND {q}.ascii) THEN {needed(PREFIX_LENGTH)}"]
+    cases += [f"WHEN {p}.head[{n}] <> {q}.head[{n}] THEN {needed(n)}" for n in range(PREFIX_LENGTH)]
+    return f"CASE {' '.join(cases)} ELSE {needed(PREFIX_LENGTH)} END"
 
 
 def title_may_exceed(
-    p: Column, q: Column, threshold: float, looser: float | None = None, when: Column | None = None
+    p: str, q: str, threshold: float, looser: float | None = None, when: str | None = None
 ) -> Column:
     """False only for profiled titles whose Jaro-Winkler score cannot exceed
-    the threshold (``looser`` where ``when`` holds).
+    the threshold (``looser`` where the condition ``when`` holds).
 
-    No more bytes can match than the two titles share, group by group.
+    No more bytes can match than the two titles share, group by group. Takes
+    the names of the profile columns, because the expression is SQL text.
     """
-    prefix = F.lit(PREFIX_LENGTH)
-    for n in reversed(range(PREFIX_LENGTH)):
-        prefix = F.when(p["head"][n] != q["head"][n], F.lit(n)).otherwise(prefix)
-    prefix = F.when(p["ascii"] & q["ascii"], prefix).otherwise(F.lit(PREFIX_LENGTH))
-    needed = _overlap_needed(prefix, threshold)
+    needed = _overlap_needed(p, q, threshold)
     if looser is not None:
-        needed = F.when(when, _overlap_needed(prefix, looser)).otherwise(needed)
-    shared = F.least(p["bag"][0], q["bag"][0])
-    rest_p, rest_q = p["size"] - p["bag"][0], q["size"] - q["bag"][0]
-    for n in range(1, len(BYTE_GROUPS)):
-        shared = shared + F.least(p["bag"][n], q["bag"][n])
-        rest_p, rest_q = rest_p - p["bag"][n], rest_q - q["bag"][n]
-    shared = shared + F.least(rest_p, rest_q)
-    return shared * (p["size"] + q["size"]) > needed * p["size"] * q["size"] - 1e-3
+        needed = f"CASE WHEN {when} THEN {_overlap_needed(p, q, looser)} ELSE {needed} END"
+    groups = range(len(BYTE_GROUPS))
+    shared = [f"least({p}.bag[{n}], {q}.bag[{n}])" for n in groups]
+    rest = [f"{side}.size - " + " - ".join(f"{side}.bag[{n}]" for n in groups) for side in (p, q)]
+    shared.append(f"least({rest[0]}, {rest[1]})")
+    return F.expr(
+        f"({' + '.join(shared)}) * ({p}.size + {q}.size) > ({needed}) * {p}.size * {q}.size - 1e-3"
+    )

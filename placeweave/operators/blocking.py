@@ -80,12 +80,21 @@ def block_join(
     """
     hot = hot_keys(left, keys, tile_rows)
     if hot.table is None:
-        return left.join(right, keys).filter(condition)
+        return _spread(left, keys).join(right, keys).filter(condition)
     a = hot.attach(left, keys).withColumn("_lc", _chunk(left_id))
     a = a.withColumn("_rc", _all_chunks()).drop("_chunks")
     b = hot.attach(right, keys).withColumn("_rc", _chunk(right_id))
     b = b.withColumn("_lc", _all_chunks()).drop("_chunks")
-    return a.join(b, [*keys, "_lc", "_rc"]).filter(condition).drop("_lc", "_rc")
+    tiles = [*keys, "_lc", "_rc"]
+    return _spread(a, tiles).join(b, tiles).filter(condition).drop("_lc", "_rc")
+
+
+def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Partition by the join keys, as many partitions as the session shuffles
+    into. The work per row grows with its block, so the usual merging of
+    partitions by their size in bytes would leave cores idle."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
 
 
 def suffixed(df: DataFrame, suffix: str, keep: list[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from placeweave.functions.similarity import (
 from placeweave.operators import blocking, compare, tiers
 from placeweave.plans.places import PLACES_SQL, TEST_RULES, haversine_sql, places
 from placeweave.plans.registry import query, table
+from placeweave.session import settle
 
 NEAR_METRES = 50.0
 REVIEW_METRES = 100.0
@@ -28,8 +29,10 @@ spots AS (SELECT cell, latitude, longitude, min(contentid) AS first_id, count(*)
 
 def spots(pois):
     """Distinct positions of a block; copies at one point are one row."""
-    return pois.groupBy("cell", "latitude", "longitude").agg(
-        F.min("contentid").alias("first_id"), F.count(F.lit(1)).alias("rows_at")
+    return settle(
+        pois.groupBy("cell", "latitude", "longitude").agg(
+            F.min("contentid").alias("first_id"), F.count(F.lit(1)).alias("rows_at")
+        )
     )
 
 
@@ -101,13 +104,13 @@ def block_pair_counts(spark, sf_dir):
 def pair_title_scores(spark, sf_dir):
     """Title scores of the distinct titles of a block above the loosest tier
     threshold; copies of a title are one row with their number."""
-    titles = (
+    titles = settle(
         places(spark, sf_dir).groupBy("cell", "title")
         .agg(F.min("contentid").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .withColumn("profile", title_profile(F.col("title")))
     )
     pairs = blocking.self_pairs(
-        titles, ["cell"], "first_id", title_may_exceed(F.col("profile1"), F.col("profile2"), 0.7)
+        titles, ["cell"], "first_id", title_may_exceed("profile1", "profile2", 0.7)
     )
     scored = pairs.withColumn("jw", jaro_winkler("title1", "title2")).filter("jw > 0.7")
     return scored.select(
@@ -125,8 +128,10 @@ _PROFILES_SQL = f"""WITH {PLACES_SQL},
 
 def distinct_places(pois):
     """One row, the smallest id, for rows that agree in place and title."""
-    return pois.groupBy("cell", "latitude", "longitude", "title").agg(
-        F.min("contentid").alias("contentid")
+    return settle(
+        pois.groupBy("cell", "latitude", "longitude", "title").agg(
+            F.min("contentid").alias("contentid")
+        )
     )
 
 
