@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeweave.functions import vectors
-from placeweave.operators import blocking, compare, keyed, search, tiers
+from placeweave.operators import compare, keyed, search, tiers
 from placeweave.operators.tiers import TierRules
+from placeweave.operators.vector_join import cosine_pairs
 from placeweave.plans.matching import _DIST, _PROFILES_SQL, distinct_places
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
+from placeweave.session import settle
 
 
 @query(
@@ -24,12 +26,11 @@ from placeweave.plans.registry import query, table
 def pair_vector_scores(spark, sf_dir):
     """Vector scores within a block above the loosest tier threshold."""
     vecs = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("contentid"), F.col("embedding").alias("vec"), vectors.norm(F.col("embedding")).alias("len")
+        F.col("vec_id").alias("contentid"), F.col("embedding").alias("vec")
     )
-    rows = places(spark, sf_dir).select("contentid", "cell").join(vecs, "contentid")
-    score = vectors.cosine(F.col("vec1"), F.col("vec2"), F.col("len1"), F.col("len2"))
-    pairs = blocking.self_pairs(rows, ["cell"], "contentid", score > 0.1)
-    return pairs.select("contentid1", "contentid2", F.round(score, 6).alias("score"))
+    rows = settle(places(spark, sf_dir).select("contentid", "cell").join(vecs, "contentid"))
+    pairs = cosine_pairs(rows, ["cell"], "contentid", "vec", 0.1)
+    return pairs.select("contentid1", "contentid2", F.round("score", 6).alias("score"))
 
 
 def _label_queries(vecs):

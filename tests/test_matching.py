@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from placeweave.functions import geo
-from placeweave.operators import blocking, compare, keyed, tiers
+from placeweave.functions import geo, vectors
+from placeweave.operators import blocking, compare, keyed, tiers, vector_join
 from placeweave.operators.tiers import TierRules
 
 RULES = TierRules()
@@ -88,6 +88,20 @@ def test_near_pairs_at_any_latitude_and_date_line(spark, lat):
     assert got == {tuple(r) for r in want.collect()} and got
 
 
+@pytest.mark.parametrize("native_rows, tile_rows", [(64, 1024), (3, 7), (3, 1024)])
+def test_cosine_pairs_equal_native_scores(world, native_rows, tile_rows):
+    base, table = world
+    rows = base.select("contentid", "cell").join(table, "contentid")
+    both = blocking.self_pairs(rows, ["cell"], "contentid", include_self=True)
+    score = vectors.cosine(F.col("embedding1"), F.col("embedding2"))
+    for limit in (0.3, 0.0):
+        want = both.filter(score > limit).select("contentid1", "contentid2", F.round(score, 9))
+        got = vector_join.cosine_pairs(
+            rows, ["cell"], "contentid", "embedding", limit, True, native_rows, tile_rows
+        ).select("contentid1", "contentid2", F.round("score", 9))
+        assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+
+
 @pytest.mark.parametrize("tile_rows", [6, 4096])
 def test_tiers_equal_the_complete_pair_table(world, tile_rows):
     base, table = world
@@ -95,7 +109,8 @@ def test_tiers_equal_the_complete_pair_table(world, tile_rows):
     scores = compare.score_vectors(pairs, table)
     want = _set(tiers.tag_pairs(pairs, scores), "contentid", "tag")
     got = _set(
-        tiers.duplicate_tiers(base, table, block="cell", tile_rows=tile_rows), "contentid", "tag"
+        tiers.duplicate_tiers(base, table, block="cell", tile_rows=tile_rows, vector_tile_rows=tile_rows),
+        "contentid", "tag",
     )
     assert got == want
     assert {tag for _, tag in got} == {"red", "lightred", "darkred", "pink", "purple"}
