@@ -45,33 +45,31 @@ def _jaro_counts_words(a, la, b, lb) -> tuple[np.ndarray, np.ndarray]:
     One machine word per string marks the positions in ``b`` that are still
     free, so that each byte of ``a`` costs a few word operations per pair.
     """
-    n = len(la)
-    rows = np.arange(n)
-    one = np.uint64(1)
-    places = np.zeros((n, 256), dtype=np.uint64)
-    for j in range(b.shape[1]):
-        # padding bytes are zero and land in a slot cleared below
-        places[rows, b[:, j]] |= np.where(j < lb, one << np.uint64(j), np.uint64(0))
+    n, one, every = len(la), np.uint64(1), ~np.uint64(0)
+    wide = np.zeros((n, 64), dtype=np.uint8)
+    wide[:, : b.shape[1]] = b
+    inside = every >> (64 - np.maximum(lb, 1)).astype(np.uint64)
+    inside[lb == 0] = 0
     reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
-    free = np.full(n, ~np.uint64(0))
+    free = inside.copy()
+    same = np.empty((a.shape[1], n), dtype=np.uint64)
     taken_a = np.zeros((a.shape[1], n), dtype=bool)
     for i in range(a.shape[1]):
+        equal = np.packbits(wide == a[:, i : i + 1], axis=1, bitorder="little")
+        same[i] = equal.view(np.uint64)[:, 0]
         low = np.minimum(np.maximum(i - reach, 0), 63).astype(np.uint64)
         high = np.minimum(i + reach, 63).astype(np.uint64)
-        window = (~np.uint64(0) << low) & (~np.uint64(0) >> (np.uint64(63) - high))
-        hit = places[rows, a[:, i]] & window & free
+        hit = same[i] & free & (every << low) & (every >> (np.uint64(63) - high))
         hit[i >= la] = 0
-        first = hit & (~hit + one)
         taken_a[i] = hit != 0
-        free &= ~first
-    common = taken_a.sum(axis=0)
-    left = ~free
+        free &= ~(hit & (~hit + one))
+    left = inside & ~free
     moved = np.zeros(n, dtype=np.int64)
     for i in range(a.shape[1]):
         first = np.where(taken_a[i], left & (~left + one), np.uint64(0))
-        moved += taken_a[i] & ((places[rows, a[:, i]] & first) == 0)
+        moved += taken_a[i] & ((same[i] & first) == 0)
         left &= ~first
-    return common, moved // 2
+    return taken_a.sum(axis=0), moved // 2
 
 
 def _packed(matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -188,7 +186,7 @@ def _over_pairs(a: pd.Series, b: pd.Series, block, cell_cost: int) -> pd.Series:
 
 @pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _over_pairs(a, b, jaro_winkler_block, 16)
+    return _over_pairs(a, b, jaro_winkler_block, 4)
 
 
 @pandas_udf(DoubleType())
@@ -199,20 +197,37 @@ def damerau_levenshtein(a: pd.Series, b: pd.Series) -> pd.Series:
 # --- native bound ----------------------------------------------------------
 
 # Bytes counted together; everything else falls in a last group.
-BYTE_GROUPS = ["e", "t", "a", "o", "i", "n", "s", "r", "h", "l", "du", "cm", "gpb", "fywvk", " "]
+BYTE_GROUPS = ["e", "t", "a", "o", "i", "n", "s", "r", "h", "l", "du", "cm", "gpbfywvk"]
+# Seven counters of eight bits share a long; a counter holds up to 127.
+_LANES = 7
+_LONGEST_COUNTED = 127
+_HIGH_BITS = sum(0x80 << (8 * lane) for lane in range(_LANES))
 
 
 def title_profile(c: Column) -> Column:
-    """Struct that ``title_may_exceed`` needs: byte length, ASCII flag, the
-    first four characters as numbers and the number of bytes per group."""
+    """Struct that ``title_may_exceed`` needs: byte length, the first four
+    bytes as a number and the number of bytes per group, packed into two longs."""
     size = F.octet_length(c)
     groups = F.array(*[F.lit(g) for g in BYTE_GROUPS])
-    counted = F.transform(groups, lambda g: F.length(c) - F.length(F.call_function("translate", c, g, F.lit(""))))
+    counted = F.transform(
+        groups, lambda g: F.length(c) - F.length(F.call_function("translate", c, g, F.lit("")))
+    )
+    others = size - F.aggregate(counted, F.lit(0), lambda total, n: total + n)
+    counts = F.concat(counted, F.array(others))
+
+    def packed(start: int) -> Column:
+        return F.aggregate(
+            F.slice(counts, start, _LANES),
+            F.lit(0).cast("long"),
+            lambda word, n: F.shiftleft(word, 8) + F.least(n, F.lit(_LONGEST_COUNTED)),
+        )
+
+    first = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, PREFIX_LENGTH)), 2 * PREFIX_LENGTH, "0")
     return F.struct(
         size.alias("size"),
-        (size == F.length(c)).alias("ascii"),
-        F.array(*[F.ascii(F.substring(c, n + 1, 1)) for n in range(PREFIX_LENGTH)]).alias("head"),
-        counted.alias("bag"),
+        F.conv(first, 16, 10).cast("long").alias("head"),
+        packed(1).alias("low"),
+        packed(1 + _LANES).alias("high"),
     )
 
 
@@ -228,8 +243,10 @@ def _overlap_needed(p: str, q: str, threshold: float) -> str:
             jaro = max(BOOST_ABOVE, (threshold - weight) / (1 - weight))
         return f"{3 * jaro - 1!r}D"
 
-    cases = [f"WHEN NOT ({p}.ascii AND {q}.ascii) THEN {needed(PREFIX_LENGTH)}"]
-    cases += [f"WHEN {p}.head[{n}] <> {q}.head[{n}] THEN {needed(n)}" for n in range(PREFIX_LENGTH)]
+    if threshold <= BOOST_ABOVE:
+        return needed(0)
+    differ = f"({p}.head ^ {q}.head)"
+    cases = [f"WHEN {differ} >= {256 ** (3 - n)} THEN {needed(n)}" for n in range(PREFIX_LENGTH)]
     return f"CASE {' '.join(cases)} ELSE {needed(PREFIX_LENGTH)} END"
 
 
@@ -239,16 +256,22 @@ def title_may_exceed(
     """False only for profiled titles whose Jaro-Winkler score cannot exceed
     the threshold (``looser`` where the condition ``when`` holds).
 
-    No more bytes can match than the two titles share, group by group. Takes
-    the names of the profile columns, because the expression is SQL text.
+    No more bytes can match than the two titles share, group by group. All
+    counters of a long are subtracted at once; those that went below zero lost
+    their high bit and are masked out, the others add up by a remainder.
+    Takes the names of the profile columns, because the expression is SQL
+    text. It is kept short, as the JVM does not compile very long methods.
     """
     needed = _overlap_needed(p, q, threshold)
     if looser is not None:
         needed = f"CASE WHEN {when} THEN {_overlap_needed(p, q, looser)} ELSE {needed} END"
-    groups = range(len(BYTE_GROUPS))
-    shared = [f"least({p}.bag[{n}], {q}.bag[{n}])" for n in groups]
-    rest = [f"{side}.size - " + " - ".join(f"{side}.bag[{n}]" for n in groups) for side in (p, q)]
-    shared.append(f"least({rest[0]}, {rest[1]})")
+
+    def surplus(word: str) -> str:
+        lanes = f"(({p}.{word} | {_HIGH_BITS}L) - {q}.{word})"
+        return f"(({lanes} & (shiftrightunsigned({lanes} & {_HIGH_BITS}L, 7) * 127L)) % 255L)"
+
+    shared = f"({p}.size - {surplus('low')} - {surplus('high')})"
     return F.expr(
-        f"({' + '.join(shared)}) * ({p}.size + {q}.size) > ({needed}) * {p}.size * {q}.size - 1e-3"
+        f"greatest({p}.size, {q}.size) > {_LONGEST_COUNTED} OR {shared} * ({p}.size + {q}.size) "
+        f"> ({needed}) * {p}.size * {q}.size - 1e-3D"
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from placeweave.functions import geo
 
-TILE_ROWS = 4096
+TILE_ROWS = 1024
 # Up to this many hot keys are sent to every executor; more are joined.
 BROADCAST_KEYS = 20_000
 
@@ -80,19 +80,20 @@ def block_join(
     """
     hot = hot_keys(left, keys, tile_rows)
     if hot.table is None:
-        return _spread(left, keys).join(right, keys).filter(condition)
+        return _spread(left, keys).join(_spread(right, keys), keys).filter(condition)
     a = hot.attach(left, keys).withColumn("_lc", _chunk(left_id))
     a = a.withColumn("_rc", _all_chunks()).drop("_chunks")
     b = hot.attach(right, keys).withColumn("_rc", _chunk(right_id))
     b = b.withColumn("_lc", _all_chunks()).drop("_chunks")
     tiles = [*keys, "_lc", "_rc"]
-    return _spread(a, tiles).join(b, tiles).filter(condition).drop("_lc", "_rc")
+    return _spread(a, tiles).join(_spread(b, tiles), tiles).filter(condition).drop("_lc", "_rc")
 
 
 def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
     """Partition by the join keys, as many partitions as the session shuffles
     into. The work per row grows with its block, so the usual merging of
-    partitions by their size in bytes would leave cores idle."""
+    partitions by their size in bytes would leave cores idle. Both sides are
+    spread alike, so a large join needs no further exchange."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, *keys)
 
