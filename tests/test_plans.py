@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from placeweave.functions import geo
+from placeweave.functions.similarity import title_may_exceed, title_profile
 from placeweave.operators import blocking, keyed
 from placeweave.plans import places
 from placeweave.session import settle
@@ -68,3 +69,21 @@ def test_upsert_sends_one_row_per_key_and_task(spark):
 def test_no_cross_products(spark, sf_dir, name):
     plan = _plan(entry_points.queries()[name](spark, sf_dir))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_join_code_is_short_enough_to_be_compiled(spark):
+    """The JVM leaves methods of more than 8000 bytes interpreted."""
+    titled = spark.range(50).selectExpr(
+        "id as gid", "'a title' as title", "1 as cell", "id % 2 = 0 as scored", "40.7 as latitude", "-74.0 as longitude"
+    )
+    groups = settle(titled.withColumn("profile", title_profile(F.col("title"))))
+    bound = title_may_exceed("profile1", "profile2", 0.85, looser=0.7, when="scored1 AND scored2")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for distance in ("haversine", "spheroid"):
+            near = blocking.near_pairs(groups, "gid", "latitude", "longitude", 50, distance, "cell", bound)
+            code = near._jdf.queryExecution().debug().codegenToSeq()
+            sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+            assert sizes and max(sizes) < 8000, sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
