@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from placeweave.functions.shipping import ship_by_value
+
+ship_by_value(__name__)
+
 # WGS84 ellipsoid and mean earth radius, metres.
 SEMI_MAJOR = 6378137.0
 FLATTENING = 1 / 298.257223563

@@ -13,7 +13,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from placeweave.functions.shipping import ship_by_value
+
+ship_by_value(__name__)
 
 # Prefix weight, longest prefix and the Jaro value above which
 # the prefix counts.
@@ -194,6 +198,27 @@ def damerau_levenshtein(a: pd.Series, b: pd.Series) -> pd.Series:
     return _over_pairs(a, b, damerau_block, 2)
 
 
+# Declared non-deterministic only to keep the optimizer from running a score
+# again for each filter and column that uses it.
+jaro_winkler = jaro_winkler.asNondeterministic()
+damerau_levenshtein = damerau_levenshtein.asNondeterministic()
+
+
+def title_scores(min_score: float | None = None):
+    """Both scores in one pass as a struct ``(jw, edits)``; edits are counted
+    only for pairs above ``min_score`` and null for the others."""
+
+    @pandas_udf(StructType([StructField("jw", DoubleType()), StructField("edits", DoubleType())]))
+    def scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        jw = _over_pairs(a, b, jaro_winkler_block, 4)
+        if min_score is not None:
+            a = a.where((jw > min_score).to_numpy())
+        edits = _over_pairs(a, b, damerau_block, 2)
+        return pd.DataFrame({"jw": jw, "edits": edits})
+
+    return scores.asNondeterministic()
+
+
 # --- native bound ----------------------------------------------------------
 
 # Bytes counted together; everything else falls in a last group.

@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeweave.functions import vectors
+from placeweave.functions.shipping import ship_by_value
 from placeweave.operators.blocking import hot_keys, suffixed
 
+ship_by_value(__name__)
+
 # Blocks up to this size are joined natively, larger ones go through tiles.
 NATIVE_ROWS = 64
 VECTOR_TILE_ROWS = 1024

@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeweave.functions import vectors
-from placeweave.functions.similarity import (
-    damerau_levenshtein,
-    jaro_winkler,
-    title_may_exceed,
-    title_profile,
-)
+from placeweave.functions.similarity import title_may_exceed, title_profile, title_scores
 from placeweave.operators import blocking, compare, tiers
 from placeweave.plans.places import PLACES_SQL, TEST_RULES, haversine_sql, places
 from placeweave.plans.registry import query, table
@@ -112,12 +107,12 @@ def pair_title_scores(spark, sf_dir):
     pairs = blocking.self_pairs(
         titles, ["cell"], "first_id", title_may_exceed("profile1", "profile2", 0.7)
     )
-    scored = pairs.withColumn("jw", jaro_winkler("title1", "title2")).filter("jw > 0.7")
+    scored = pairs.withColumn("s", title_scores(0.7)("title1", "title2")).filter("s.jw > 0.7")
     return scored.select(
         "cell", "first_id1", "first_id2",
         (F.col("copies1") * F.col("copies2")).alias("pairs_between"),
-        F.round("jw", 6).alias("similarity_score"),
-        damerau_levenshtein("title1", "title2").cast("long").alias("similarity_score_2"),
+        F.round("s.jw", 6).alias("similarity_score"),
+        F.col("s.edits").cast("long").alias("similarity_score_2"),
     )
 
 
