@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from placeweave.plans import catalog
 from placeweave.plans.reporting import TABLES
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
