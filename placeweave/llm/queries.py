@@ -4,16 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import quality
+from placeweave.llm import licenses, mixing, packing, pii, quality, secret_scan
 from placeweave.plans.registry import table
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(_documents(spark, sf_dir))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(_documents(spark, sf_dir))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(table(spark, sf_dir, "documents"))
+    return quality.quality_report(_documents(spark, sf_dir))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_documents(spark, sf_dir))
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_secret_scans": op2_secret_scans,
+    "op4_pii": op4_pii,
+    "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_license_scans": op10_license_scans,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_license_scans": licenses.oracle_sql()}
