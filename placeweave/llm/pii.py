@@ -211,7 +211,7 @@ def fit(texts: list[str], steps: int = 200) -> dict[str, np.ndarray]:
     from the base spans of ``texts`` and the words that no pattern matches."""
     n = len(LABELS)
     rows, labels, weights = [], [], []
-    chain, skip = np.ones((n, n)), np.ones(2)
+    chain, skip = np.zeros((n, n)), np.ones(2)
     for text in texts:
         base, nodes, edges = document_graph(text)
         for kind, s, e in base:
@@ -227,8 +227,8 @@ def fit(texts: list[str], steps: int = 200) -> dict[str, np.ndarray]:
             a, b = nodes[u][2], nodes[v][2]
             if is_skip and a is not None and b is not None:
                 skip[int(a == b)] += 1
-            elif not is_skip:
-                chain[a or 0, b or 0] += 1
+            elif not is_skip and a is not None and b is not None:
+                chain[a, b] += 1  # a word without a match says nothing about its neighbours
     w = np.zeros((FEATURES, n))
     if rows:
         x, y, c = np.array(rows), np.array(labels), np.array(weights)
@@ -238,11 +238,13 @@ def fit(texts: list[str], steps: int = 200) -> dict[str, np.ndarray]:
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             w -= 2.0 * (x.T @ ((p - onehot) * c[:, None]) / c.sum() + 1e-3 * w)
-    expected = chain.sum(1, keepdims=True) * chain.sum(0, keepdims=True) / chain.sum()
+    # how much oftener two labels meet than by chance, drawn towards chance
+    chance = chain.sum(1, keepdims=True) * chain.sum(0, keepdims=True) / max(chain.sum(), 1.0) ** 2
+    oftener = (chain + 20 * chance + 1e-12) / (chance * (chain.sum() + 20) + 1e-12)
     agree = float(np.clip(np.log(skip[1] / skip[0]), 2.0, 5.0))
     return {
         "weights": w,
-        "chain": np.clip(np.log(chain / expected), -1.0, 1.0),
+        "chain": np.clip(np.log(oftener), -1.0, 1.0),
         "skip": agree * np.eye(n),
     }
 

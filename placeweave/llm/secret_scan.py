@@ -151,10 +151,11 @@ def secret_report(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     update_ledger(docs, ledger, first)
     paths = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
     found = F.coalesce("found", F.array().cast("array<struct<start:int,rank:int,end:int>>"))
-    counts = [
-        F.size(F.filter("found", lambda f, r=rank: f["rank"] == r)).cast("long").alias(f"n_{kind}")
-        for rank, kind in enumerate(KINDS[:3])
-    ]
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("found", lambda f: f["rank"] == rank)).cast("long")
+
+    counts = [count(rank).alias(f"n_{kind}") for rank, kind in enumerate(KINDS[:3])]
     base = F.filter("found", lambda f: f["rank"] < 3)
     return (
         paths.join(findings_of(docs, ledger), "blob", "left")
