@@ -11,7 +11,8 @@ Pairs are met inside buckets of about ``BUCKET`` documents; each bucket leaves
 at most one undecided document. Those meet in the buckets of the next level,
 and so on: a reduction tree whose nodes are bounded, whatever share of the rows
 a source has. Larger documents come first in a bucket, so the last one, which
-is rounded alone, is small.
+is rounded alone, tends to be small; what its rounding adds or takes is balanced
+by turning over drawn documents of the source's first bucket.
 
 Random numbers are hashes of document ids: reruns agree.
 
@@ -104,9 +105,7 @@ def _transfer(a: Column, b: Column) -> Column:
 
 
 def _settled(item: Column) -> Column:
-    return item.withField("whole", item["whole"] + F.round(item["p"]).cast("long")).withField(
-        "p", F.lit(0.0)
-    )
+    return item.withField("p", F.round(item["p"]))
 
 
 def _fold(items: Column, kind: str) -> Column:
@@ -154,6 +153,31 @@ def _parts(level: DataFrame, field: str) -> DataFrame:
     return level.select("source", "bucket", F.explode(f"result.{field}").alias("item"))
 
 
+def _balanced(items: Column, error: Column, kind: str) -> Column:
+    """Drawn items, each turned over where that brings the error nearer to 0."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def step(state: Column, item: Column) -> Column:
+        change = F.when(item["p"] > 0.5, -item["size"]).otherwise(item["size"]).cast("double")
+        turn = F.abs(state["error"] + change) < F.abs(state["error"])
+        return F.struct(
+            F.when(turn, state["error"] + change).otherwise(state["error"]).alias("error"),
+            F.concat(
+                state["done"], F.array(F.when(turn, item.withField("p", 1 - item["p"])).otherwise(item))
+            ).alias("done"),
+        )
+
+    largest_first = F.transform(
+        F.sort_array(
+            F.transform(items, lambda i: F.struct((-i["size"]).alias("first"), i.alias("item")))
+        ),
+        lambda e: e["item"],
+    )
+    return F.aggregate(
+        largest_first, F.struct(error.cast("double").alias("error"), none.alias("done")), step
+    )["done"]
+
+
 def draw_copies(sized: DataFrame) -> DataFrame:
     """(source, source_size, target, doc_id, size, m, copies) of rows (doc_id,
     source, size): copies for the m rows that agree in all three together.
@@ -179,9 +203,8 @@ def draw_copies(sized: DataFrame) -> DataFrame:
     )
     kind = items.schema["item"].dataType.simpleString()
     drawn = _open(F.col("item"))
-    decided = items.filter(~drawn)
-    level = _round_level(items.filter(drawn), kind)
-    decided = decided.unionByName(_parts(level, "done"))
+    decided = items.filter(~drawn).withColumn("item", _settled(F.col("item")))
+    lowest = level = _round_level(items.filter(drawn), kind)
     widest = sources.agg(F.max("n")).first()[0] or 0
     buckets = -(-widest // BUCKET)
     while buckets > 1:
@@ -189,17 +212,26 @@ def draw_copies(sized: DataFrame) -> DataFrame:
         level = _round_level(up, kind)
         decided = decided.unionByName(_parts(level, "done"))
         buckets = -(-buckets // BUCKET)
-    last = _parts(level, "open").withColumn(
-        "item",
-        F.col("item").withField(
-            "p",
-            (_uniform(F.col("item.doc_id"), F.col("item.size")) < F.col("item.p")).cast("double"),
+    luck = _uniform(F.col("item.doc_id"), F.col("item.size")) < F.col("item.p")
+    last = settle(
+        _parts(level, "open").select(
+            F.col("source").alias("k_source"),
+            F.col("item").withField("p", luck.cast("double")).alias("item"),
+            ((luck.cast("double") - F.col("item.p")) * F.col("item.size")).alias("error"),
         ),
+        "last",
+    )
+    decided = decided.unionByName(_parts(lowest.filter("bucket > 0"), "done"))
+    errors = last.select("k_source", "error")
+    first = lowest.filter("bucket = 0").join(
+        errors, F.col("source").eqNullSafe(F.col("k_source")), "left"
     )
-    last = last.withColumn("item", _settled(F.col("item")))
+    done = _balanced(F.col("result.done"), F.coalesce("error", F.lit(0.0)), kind)
+    decided = decided.unionByName(first.select("source", "bucket", F.explode(done).alias("item")))
+    last = last.select(F.col("k_source").alias("source"), F.lit(0).cast("long").alias("bucket"), "item")
     per_row = decided.unionByName(last).select("source", "item.*")
     return per_row.join(known, per_row["source"].eqNullSafe(known["k_source"])).select(
-        "source", "source_size", "target", "doc_id", "size", "m", F.col("whole").alias("copies")
+        "source", "source_size", "target", "doc_id", "size", "m", (F.col("whole") + F.col("p").cast("long")).alias("copies")
     )
 
 
