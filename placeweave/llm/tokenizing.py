@@ -18,8 +18,10 @@ ship_by_value(__name__)
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 ID_TYPE = "<u2"  # ids of the default vocabulary; "<u4" for vocabularies over 65,536
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 250_000  # in each of two generations
+CORES_KEPT = 400_000
 LONGEST_KEPT = 64
+MARKS = ".,;:!?"
 
 
 def kept_by_worker(name: str, make):
@@ -40,7 +42,12 @@ def tokenizer_file(name: str) -> str:
 
 
 class ChunkEncoder:
-    """Ids of texts as bytes of ``id_type``."""
+    """Ids of texts as bytes of ``id_type``.
+
+    Chunks in use stay in the younger of two generations. A new chunk of letters
+    and closing marks is put together from the ids of both, since the tokenizer
+    never merges letters with marks; ASCII letters count in lower case, as they
+    do for the tokenizer."""
 
     def __init__(self, tokenizer: str = TOKENIZER, id_type: str = ID_TYPE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,26 +55,59 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(tokenizer))
         self.id_type = id_type
-        self.known: dict[str, bytes] = {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+
+    @staticmethod
+    def parts(chunk: str) -> tuple[str, str]:
+        core = chunk.rstrip(MARKS)
+        if not core.isalpha():
+            return chunk, ""
+        return core.lower() if core.isascii() else core, chunk[len(core) :]
+
+    def _encode_parts(self, wanted: set[str]) -> dict[str, bytes]:
         import numpy as np
 
+        out = {"": b""}
+        missing = []
+        for part in wanted:
+            known = self.cores.get(part)
+            if known is None:
+                missing.append(part)
+            else:
+                out[part] = known
+        if len(self.cores) + len(missing) > CORES_KEPT:
+            self.cores = {}
+        for start in range(0, len(missing), 4096):
+            some = missing[start : start + 4096]
+            for part, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                out[part] = np.array(e.ids, self.id_type).tobytes()
+                if len(part) <= LONGEST_KEPT and len(self.cores) < CORES_KEPT:
+                    self.cores[part] = out[part]
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
-        fresh = {c for chunks in split for c in chunks if c not in self.known}
-        if len(self.known) + len(fresh) > CHUNKS_KEPT:
-            self.known = {"": b""}
-            fresh = {c for chunks in split for c in chunks if c}
-        found = self.known
-        fresh = list(fresh)
-        for start in range(0, len(fresh), 4096):
-            part = fresh[start : start + 4096]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[chunk] = np.array(e.ids, self.id_type).tobytes()
-        out = [b"".join(map(found.__getitem__, chunks)) for chunks in split]
+        fresh = set().union(*split) - self.young.keys()
+        if len(self.young) + len(fresh) > CHUNKS_KEPT:
+            self.old, self.young = self.young, {"": b""}
+            fresh = set().union(*split) - {""}
+        young, old = self.young, self.old
+        unknown = {}
         for chunk in fresh:
+            ids = old.get(chunk)
+            if ids is None:
+                unknown[chunk] = self.parts(chunk)
+            else:
+                young[chunk] = ids
+        coded = self._encode_parts({p for parts in unknown.values() for p in parts if p})
+        for chunk, (core, marks) in unknown.items():
+            young[chunk] = coded[core] + coded[marks] if marks else coded[core]
+        out = [b"".join(map(young.__getitem__, chunks)) for chunks in split]
+        for chunk in unknown:
             if len(chunk) > LONGEST_KEPT:
-                del found[chunk]
+                del young[chunk]
         return out
 
 
