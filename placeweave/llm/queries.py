@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import licenses, mixing, packing, pii, quality, secret_scan
+from placeweave.llm import jaccard, licenses, mixing, packing, pii, quality, secret_scan
 from placeweave.plans.registry import table
 
 
@@ -20,6 +20,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_documents(spark, sf_dir))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.shingle_components(_documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_secret_scans": op2_secret_scans,
     "op4_pii": op4_pii,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_source_mixing": op9_source_mixing,
