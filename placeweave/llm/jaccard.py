@@ -124,7 +124,7 @@ def tile_keys(members: np.ndarray) -> np.ndarray:
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), where)
             where = np.concatenate((where, empty))
             sums = np.concatenate((sums, np.zeros(len(empty), np.uint64)))
-            place = where * STEPS[0] + np.uint64(first) * STEPS[1]
+        place = where * STEPS[0] + np.uint64(first * int(STEPS[1]) % (1 << 64))
         out.append(_mix(_mix(sums + place) + place))
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
