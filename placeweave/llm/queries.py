@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import jaccard, licenses, mixing, packing, pii, quality, secret_scan
+from placeweave.llm import embeddings, jaccard, licenses, mixing, packing, pii, quality, secret_scan
 from placeweave.plans.registry import table
 
 
@@ -12,6 +12,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(_documents(spark, sf_dir))
 
@@ -41,6 +45,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_secret_scans": op2_secret_scans,
     "op4_pii": op4_pii,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
