@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import embeddings, jaccard, licenses, mixing, packing, pii, quality, secret_scan
+from placeweave.llm import (
+    embeddings,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    token_trees,
+)
 from placeweave.plans.registry import table
 
 
@@ -20,6 +31,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(_documents(spark, sf_dir))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_trees.edit_report(_documents(spark, sf_dir))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_documents(spark, sf_dir))
 
@@ -36,6 +51,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(_documents(spark, sf_dir))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_documents(spark, sf_dir))
 
@@ -47,10 +66,12 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_secret_scans": op2_secret_scans,
+    "op3_token_counts": op3_token_counts,
     "op4_pii": op4_pii,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_license_scans": op10_license_scans,
 }
