@@ -12,25 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.session import settle
-
-
-def _rewire(edges: DataFrame, minima: DataFrame) -> DataFrame:
-    return edges.join(settle(minima, "minima"), "u")
+from placeweave.session import discard, settle
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = settle(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _rewire(both, least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = settle(least, "minima")
+    met = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out = settle(met.distinct(), "large")
+    discard(both, least)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    edges = settle(edges, "large")
-    met = _rewire(edges, edges.groupBy("u").agg(F.min("v").alias("m")))
-    return met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-        met.select("u", F.col("m").alias("v"))
-    )
+    least = settle(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
+    met = edges.join(least, "u")
+    lower = met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out = settle(lower.unionByName(met.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    discard(least)
+    return out
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -50,11 +51,15 @@ def connected(links: DataFrame) -> DataFrame:
     edges = settle(directed.distinct(), "edges")
     seen = _print(edges)
     while seen[0]:
-        edges = settle(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        large = _large_star(edges)
+        before, edges = edges, _small_star(large)
+        discard(large, before)
         now = _print(edges)
         if now == seen:
             break
         seen = now
     labels = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return settle(labels.unionByName(roots), "components")
+    found = settle(labels.unionByName(roots), "components")
+    discard(edges)
+    return found

@@ -45,7 +45,7 @@ ship_by_value(__name__)
 SHINGLE = 4
 # Links: 100 * common >= 85 * union, that is 37 * common >= 17 * (sum of sizes).
 CHUNK = 512
-LARGE_TILE = 64
+PAIRS_KEPT = 200_000
 WORDS_KEPT = 500_000
 BROADCAST_NODES = 1_000_000  # at most 8 MB of node ids
 WIDEST_BITMAP = 1 << 16
@@ -130,8 +130,8 @@ def tile_keys(members: np.ndarray) -> np.ndarray:
 
 
 def bitmap(members: np.ndarray) -> bytes:
-    """One bit per member, about twice as many bits as members."""
-    width = min(WIDEST_BITMAP, max(64, 1 << int(2 * len(members) - 1).bit_length()))
+    """One bit per member, four to eight times as many bits as members."""
+    width = min(WIDEST_BITMAP, max(64, 1 << int(4 * len(members) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(members & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -294,9 +294,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(batches):
-    """Pairs of nodes of different components in each tile; rows come sorted by
-    key and tile. A tile of two chunks has rows of side 0 and 1, met across."""
+    """Pairs of nodes of different components in each tile whose bitmaps leave a
+    link possible; rows come sorted by key and tile. A tile of two chunks has
+    rows of side 0 and 1, met across. Pairs of lately seen tiles aren't looked
+    at again."""
     held: list[dict] = []
+    seen: set = set()
     at = None
 
     def pairs(rows):
@@ -307,9 +310,11 @@ def _cross_pairs(batches):
                 small, large = sorted((x["n"], y["n"]))
                 if 20 * small < 17 * large:
                     continue
-                if x["bits"] is not None and not may_link(x["n"], x["bits"], y["n"], y["bits"]):
-                    continue
-                yield (x["node"], y["node"]) if x["node"] < y["node"] else (y["node"], x["node"])
+                pair = (x["node"], y["node"]) if x["node"] < y["node"] else (y["node"], x["node"])
+                if pair not in seen:
+                    seen.add(pair)
+                    if may_link(x["n"], x["bits"], y["n"], y["bits"]):
+                        yield pair
 
     def flush(out):
         return pa.RecordBatch.from_arrays(
@@ -324,25 +329,20 @@ def _cross_pairs(batches):
                 out.update(pairs(held))
                 held, at = [], here
             held.append(row)
-        if len(out) > 50_000:
+        if len(seen) > PAIRS_KEPT:
             yield flush(out)
-            out = set()
+            out.clear()
+            seen.clear()
     out.update(pairs(held))
     yield flush(out)
 
 
 def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of tiles: small ones whole, large ones as pairs of chunks, the
-    latter with bitmaps."""
+    """Rows of tiles with their bitmaps, large tiles as pairs of chunks."""
     sizes = settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "tile-sizes")
-    sized = settle(members.join(sizes, "key"), "tile-rows")
-    small = sized.filter(F.col("size") <= LARGE_TILE).select(
-        "key", F.lit("").alias("tile"), F.lit(0).alias("side"), F.lit(False).alias("across"),
-        "node", "n", "component", F.lit(None).cast("binary").alias("bits"),
-    )
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    large = (
-        sized.filter(F.col("size") > LARGE_TILE)
+    return (
+        members.join(sizes, "key")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         .join(sets.select("node", "bits"), "node")
@@ -351,10 +351,12 @@ def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
             F.concat_ws("-", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tile"),
             (F.col("chunk") > F.col("other")).cast("int").alias("side"),
             (F.col("chunk") != F.col("other")).alias("across"),
-            "node", "n", "component", "bits",
+            "node",
+            "n",
+            "component",
+            "bits",
         )
-    )
-    return small.unionByName(large)
+    )
 
 
 def shingle_components(docs: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def test_all_pairs(documents):
 
 
 def test_chunked_tiles_give_the_same(documents, monkeypatch):
-    monkeypatch.setattr(jaccard, "LARGE_TILE", 3)
+    monkeypatch.setattr(jaccard, "PAIRS_KEPT", 5)
     monkeypatch.setattr(jaccard, "CHUNK", 4)
     monkeypatch.setattr(jaccard, "BROADCAST_NODES", 5)
     check(documents, corpus(2, 25, 8))
