@@ -7,6 +7,7 @@ return often: each worker keeps the ids of those it has met.
 
 from __future__ import annotations
 
+import array
 import os
 import sys
 import types
@@ -41,20 +42,36 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable
+    characters for themselves, the rest counted on from 256."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+def plain_letters(part: str) -> bool:
+    """Letters of the Western alphabets alone (up to U+00FF), none composed."""
+    return part.isalpha() and (part.isascii() or max(part) <= "\xff")
+
+
 class ChunkEncoder:
     """Ids of texts as bytes of ``id_type``.
 
     Chunks in use stay in the younger of two generations. A new chunk of letters
     and closing marks is put together from the ids of both, since the tokenizer
-    never merges letters with marks; ASCII letters count in lower case, as they
-    do for the tokenizer."""
+    never merges letters with marks. Western letters count in lower case, as they
+    do for the tokenizer; a run of them is one pre-token that nothing else
+    changes, so it goes to the merges at once."""
 
     def __init__(self, tokenizer: str = TOKENIZER, id_type: str = ID_TYPE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(tokenizer))
-        self.id_type = id_type
+        self.model = self.tokenizer.model
+        self.bytes = byte_letters()
+        self.code = {"<u2": "H", "<u4": "I"}[id_type]
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -64,27 +81,37 @@ class ChunkEncoder:
         core = chunk.rstrip(MARKS)
         if not core.isalpha():
             return chunk, ""
-        return core.lower() if core.isascii() else core, chunk[len(core) :]
+        return core.lower() if plain_letters(core) else core, chunk[len(core) :]
 
-    def _encode_parts(self, wanted: set[str]) -> dict[str, bytes]:
-        import numpy as np
+    def _packed(self, ids) -> bytes:
+        found = array.array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def _keep(self, part: str, ids: bytes) -> bytes:
+        if len(part) <= LONGEST_KEPT and len(self.cores) < CORES_KEPT:
+            self.cores[part] = ids
+        return ids
 
+    def _encode_parts(self, wanted: set[str]) -> dict[str, bytes]:
         out = {"": b""}
         missing = []
+        if len(self.cores) + len(wanted) > CORES_KEPT:
+            self.cores = {}
         for part in wanted:
             known = self.cores.get(part)
-            if known is None:
-                missing.append(part)
-            else:
+            if known is not None:
                 out[part] = known
-        if len(self.cores) + len(missing) > CORES_KEPT:
-            self.cores = {}
+            elif plain_letters(part):
+                seen = part if part.isascii() else part.encode().decode("latin-1").translate(self.bytes)
+                out[part] = self._keep(part, self._packed([t.id for t in self.model.tokenize(seen)]))
+            else:
+                missing.append(part)
         for start in range(0, len(missing), 4096):
             some = missing[start : start + 4096]
             for part, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                out[part] = np.array(e.ids, self.id_type).tobytes()
-                if len(part) <= LONGEST_KEPT and len(self.cores) < CORES_KEPT:
-                    self.cores[part] = out[part]
+                out[part] = self._keep(part, self._packed(e.ids))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
