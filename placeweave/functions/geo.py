@@ -46,35 +46,11 @@ def cell_of(row: Column, col: Column) -> Column:
     return row * F.lit(COLUMN_SPAN) + col
 
 
-def geo_cell(lat: Column, lon: Column, level: int, grid: str = "latlon") -> Column:
-    """Cell id of a point as a long; null when a coordinate is null.
-
-    ``grid="h3"`` uses the optional ``h3`` package where it is installed.
-    """
-    if grid == "h3":
-        return _h3_cell(level)(lat, lon)
+def geo_cell(lat: Column, lon: Column, level: int) -> Column:
+    """Cell id of a point as a long; null when a coordinate is null."""
     return cell_of(cell_row(lat, level), cell_col(lon, level))
 
 
-def _h3_cell(level: int):
-    try:
-        import h3  # noqa: F401
-    except ImportError as err:
-        raise ImportError("grid='h3' needs the h3 package on the executors") from err
-
-    @pandas_udf("long")
-    def cell(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        import h3
-
-        ids = [
-            None if pd.isna(y) or pd.isna(x) else h3.str_to_int(h3.latlng_to_cell(y, x, level))
-            for y, x in zip(lat, lon)
-        ]
-        return pd.Series(ids, dtype="Int64")
-
-    return cell
-
-
 def cell_parent(cell: Column, levels_up: int) -> Column:
     """Cell containing ``cell``, the given number of levels coarser."""
     row = F.shiftright(F.floor(cell / F.lit(COLUMN_SPAN)).cast("long"), levels_up)

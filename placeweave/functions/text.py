@@ -119,3 +119,8 @@ def trigram_similarity(a: Column, b: Column) -> Column:
     ga, gb = trigrams(a), trigrams(b)
     total = F.size(F.array_union(ga, gb))
     return F.when(total == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(ga, gb)) / total)
+
+
+def utf8_octets(value: Column) -> Column:
+    """One character per byte of the UTF-8 form, for edit distances in bytes."""
+    return F.decode(F.encode(value, "UTF-8"), "ISO-8859-1")

@@ -1,8 +1,8 @@
 """Joining rows of one block with each other, hot blocks split into tiles.
 
 A block join compares rows that share a key. Where a key holds more than
-``tile_rows`` rows, both sides are cut into chunks by a hash of the row id and
-every chunk meets every other one under its own join key, so no task receives
+``tile_rows`` rows of a side, that side is cut into chunks by a hash of the row id
+and every chunk meets every one of the other side under its own key, so no task receives
 more than about ``tile_rows`` rows of either side for one key. Residual
 conditions become part of the join, so only pairs that pass leave it.
 """
@@ -15,8 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.functions import geo
+from placeweave.session import settle
 
 TILE_ROWS = 1024
+# Pairs looked at and rows held by one task of a block join.
+PAIRS_PER_TASK = 20_000_000
+ROWS_PER_TASK = 1_000_000
 # Up to this many hot keys are sent to every executor; more are joined.
 BROADCAST_KEYS = 20_000
 
@@ -56,12 +60,50 @@ def hot_keys(df: DataFrame, keys: list[str], tile_rows: int = TILE_ROWS) -> HotK
     return HotKeys(hot, False)
 
 
-def _chunk(id_col: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col)), F.col("_chunks")).cast("int")
+def chunked(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_id: str,
+    right_id: str,
+    tile_rows: int = TILE_ROWS,
+) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """Both sides ready to be joined: their tiles' keys and a number of
+    partitions that fits the work.
 
+    Each side is cut by its own count and copied once per chunk of the other
+    side, so one row that meets a crowd leaves the crowd uncopied.
+    """
+    sides = left.select(*keys, F.lit(1).alias("_l")).unionByName(right.select(*keys, F.lit(0).alias("_l")))
+    counts = settle(
+        sides.groupBy(*keys)
+        .agg(F.sum("_l").alias("_lefts"), F.sum(1 - F.col("_l")).alias("_rights"))
+        .filter("_lefts > 0 and _rights > 0"),
+        "key-counts",
+    )
+    total = counts.agg(
+        F.sum(F.col("_lefts").cast("double") * F.col("_rights")), F.sum(F.col("_lefts") + F.col("_rights"))
+    ).first()
+    floor = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(floor, -(-int(total[0] or 0) // PAIRS_PER_TASK), -(-int(total[1] or 0) // ROWS_PER_TASK))
+    hot = counts.filter((F.col("_lefts") > tile_rows) | (F.col("_rights") > tile_rows)).select(
+        *keys,
+        F.ceil(F.col("_lefts") / tile_rows).cast("int").alias("_lchunks"),
+        F.ceil(F.col("_rights") / tile_rows).cast("int").alias("_rchunks"),
+    )
+    if hot.isEmpty():
+        return left, right, keys, partitions
 
-def _all_chunks() -> Column:
-    return F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    def cut(df: DataFrame, id_col: str, own: str, own_chunks: str, other: str, other_chunks: str) -> DataFrame:
+        met = df.join(hot, keys, "left")
+        one = F.lit(1)
+        chunk = F.pmod(F.xxhash64(F.col(id_col)), F.coalesce(own_chunks, one)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(other_chunks, one) - 1))
+        return met.withColumn(own, chunk).withColumn(other, every).drop("_lchunks", "_rchunks")
+
+    a = cut(left, left_id, "_lc", "_lchunks", "_rc", "_rchunks")
+    b = cut(right, right_id, "_rc", "_rchunks", "_lc", "_lchunks")
+    return a, b, [*keys, "_lc", "_rc"], partitions
 
 
 def block_join(
@@ -75,27 +117,14 @@ def block_join(
 ) -> DataFrame:
     """Pairs of rows with equal ``keys`` that meet ``condition``.
 
-    Apart from the keys the two sides must have different column names.
-    ``left`` is the side whose key counts decide what is split.
+    Apart from the keys the two sides must have different column names. Both
+    sides are spread alike over a number of partitions that follows from the
+    pairs to look at, since the work per row grows with its block and merging
+    partitions by their bytes would leave cores idle.
     """
-    hot = hot_keys(left, keys, tile_rows)
-    if hot.table is None:
-        return _spread(left, keys).join(_spread(right, keys), keys).filter(condition)
-    a = hot.attach(left, keys).withColumn("_lc", _chunk(left_id))
-    a = a.withColumn("_rc", _all_chunks()).drop("_chunks")
-    b = hot.attach(right, keys).withColumn("_rc", _chunk(right_id))
-    b = b.withColumn("_lc", _all_chunks()).drop("_chunks")
-    tiles = [*keys, "_lc", "_rc"]
-    return _spread(a, tiles).join(_spread(b, tiles), tiles).filter(condition).drop("_lc", "_rc")
-
-
-def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Partition by the join keys, as many partitions as the session shuffles
-    into. The work per row grows with its block, so the usual merging of
-    partitions by their size in bytes would leave cores idle. Both sides are
-    spread alike, so a large join needs no further exchange."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *keys)
+    a, b, tiles, partitions = chunked(left, right, keys, left_id, right_id, tile_rows)
+    spread = a.repartition(partitions, *tiles).join(b.repartition(partitions, *tiles), tiles)
+    return spread.filter(condition).drop("_lc", "_rc")
 
 
 def suffixed(df: DataFrame, suffix: str, keep: list[str]) -> DataFrame:
@@ -134,9 +163,13 @@ def near_pairs(
     condition: Column | None = None,
     include_self: bool = False,
     tile_rows: int = TILE_ROWS,
+    against: DataFrame | None = None,
 ) -> DataFrame:
     """Unordered pairs at most ``metres`` apart, with their ``distance_m``.
 
+    ``against``: other rows of the same columns to pair ``df`` with instead of
+    itself; then side 1 is ``df`` and side 2 the others, whatever their ids.
+
     Side 1 is spread over its neighbouring fine cells and meets side 2 in its
     own cell, so a block is never compared as a whole. ``block`` names a
     column both sides must share; without it pairs cross block edges.
@@ -151,9 +184,14 @@ def near_pairs(
     offsets = geo.near_offsets(F.col(lat + "1"), F.col(lon + "1"), level, metres)
     left = suffixed(spots, "1", shared).withColumn("_key", F.explode(offsets))
     left = left.withColumns({"_row": F.col("_key.row"), "_col": F.col("_key.col")}).drop("_key")
-    right = suffixed(spots.withColumns({"_row": row, "_col": col}), "2", keys)
+    others = spots
+    if against is not None:
+        others = against.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    right = suffixed(others.withColumns({"_row": row, "_col": col}), "2", keys)
     one, two = F.col(id_col + "1"), F.col(id_col + "2")
     order = one <= two if include_self else one < two
+    if against is not None:
+        order = F.lit(True)
     apart = geo.DISTANCES[distance](
         F.col(lat + "1"), F.col(lon + "1"), F.col(lat + "2"), F.col(lon + "2")
     )

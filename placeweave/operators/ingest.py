@@ -17,19 +17,18 @@ def coordinate(c: Column, narrow: bool = False) -> Column:
     return value.cast("double")
 
 
-def cells(lat: Column, lon: Column, grid: str = "latlon", narrow: bool = True) -> tuple[Column, Column]:
+def cells(lat: Column, lon: Column, narrow: bool = True) -> tuple[Column, Column]:
     """Coarse and fine cell. ``narrow`` rounds coordinates to 32 bits first,
     as the stored index does."""
     if narrow:
         lat, lon = lat.cast("float").cast("double"), lon.cast("float").cast("double")
-    levels = (8, 12) if grid == "h3" else (geo.COARSE_LEVEL, geo.FINE_LEVEL)
-    return tuple(geo.geo_cell(lat, lon, level, grid) for level in levels)
+    return tuple(geo.geo_cell(lat, lon, level) for level in (geo.COARSE_LEVEL, geo.FINE_LEVEL))
 
 
-def project_places(raw: DataFrame, grid: str = "latlon") -> DataFrame:
+def project_places(raw: DataFrame) -> DataFrame:
     """Raw text records to the place table's columns."""
     lat, lon = coordinate(F.col("latitude")), coordinate(F.col("longitude"))
-    coarse, fine = cells(lat, lon, grid)
+    coarse, fine = cells(lat, lon)
     typed = raw.withColumns(
         {
             "cell_coarse": coarse,
@@ -68,7 +67,6 @@ def index_cells(
     lat: str = "latitude",
     lon: str = "longitude",
     levels: tuple[int, int] = (geo.COARSE_LEVEL, geo.FINE_LEVEL),
-    grid: str = "latlon",
     narrow: bool = False,
 ) -> DataFrame:
     """Add both cell columns where absent and fill them where null."""
@@ -78,7 +76,7 @@ def index_cells(
     df = ensure_columns(df, {"cell_coarse": ("long", None), "cell_fine": ("long", None)})
     return fill_nulls(
         df,
-        {name: geo.geo_cell(y, x, level, grid) for name, level in zip(("cell_coarse", "cell_fine"), levels)},
+        {name: geo.geo_cell(y, x, level) for name, level in zip(("cell_coarse", "cell_fine"), levels)},
     )
 
 

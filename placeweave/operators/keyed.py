@@ -21,23 +21,39 @@ def upsert_rows(
     base: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> DataFrame:
     """Whole-row replace: rows of ``new`` win over ``base``; within ``new`` the
-    row with the highest ``order`` columns wins."""
+    row with the highest ``order`` columns wins; ties go by content."""
     order = order or []
     both = base.withColumn("_new", F.lit(0)).unionByName(
         new.withColumn("_new", F.lit(1)), allowMissingColumns=True
     )
-    ranking = [F.col("_new").desc(), *[F.col(c).desc_nulls_last() for c in order]]
+    ranking = [F.col("_new").desc(), *[F.col(c).desc_nulls_last() for c in order], F.xxhash64(*both.columns)]
     return one_per_key(both, keys, ranking).drop("_new")
 
 
-def upsert_columns(base: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Column-wise update on conflict, insert otherwise. ``new`` has one row
-    per key; a null in ``new`` keeps the old value."""
-    fresh = new.select(*keys, *[F.col(c).alias("_" + c) for c in columns])
-    joined = base.join(fresh, keys, "full_outer")
-    merged = {c: F.coalesce(F.col("_" + c), F.col(c)) for c in columns if c in base.columns}
-    added = {c: F.col("_" + c) for c in columns if c not in base.columns}
-    return joined.withColumns({**merged, **added}).drop(*["_" + c for c in columns])
+def _one_result(new: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    """The row of each key that is highest in ``order``; ties go by content."""
+    ranking = [F.col(c).desc_nulls_last() for c in order or []]
+    return one_per_key(new, keys, [*ranking, F.xxhash64(*new.columns)])
+
+
+def _overwrite(joined: DataFrame, base: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with a hit take the new value, null or not."""
+    hit = F.col("_hit").isNotNull()
+    values = {
+        c: F.when(hit, F.col("_" + c)).otherwise(F.col(c)) if c in base.columns else F.col("_" + c)
+        for c in columns
+    }
+    return joined.withColumns(values).drop("_hit", *["_" + c for c in columns])
+
+
+def upsert_columns(
+    base: DataFrame, new: DataFrame, keys: list[str], columns: list[str], order: list[str] | None = None
+) -> DataFrame:
+    """Column-wise update on conflict, insert otherwise. A null in ``new``
+    overwrites; of several rows of a key the highest in ``order`` counts."""
+    fresh = _one_result(new.select(*dict.fromkeys([*keys, *columns, *(order or [])])), keys, order)
+    fresh = fresh.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias("_" + c) for c in columns])
+    return _overwrite(base.join(fresh, keys, "full_outer"), base, columns)
 
 
 def fill_nulls(df: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -45,17 +61,16 @@ def fill_nulls(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in values.items()})
 
 
-def apply_results(base: DataFrame, results: DataFrame, key: str) -> DataFrame:
-    """One join in place of many single-row updates: result columns replace
-    the base's where present, new columns are added."""
+def apply_results(
+    base: DataFrame, results: DataFrame, key: str, order: list[str] | None = None
+) -> DataFrame:
+    """One join in place of many single-row updates: where a key has a result,
+    its columns replace the base's, nulls too; new columns are added. Of several
+    results of a key the highest in ``order`` counts, so rows never multiply."""
     columns = [c for c in results.columns if c != key]
-    fresh = results.select(key, *[F.col(c).alias("_" + c) for c in columns])
-    joined = base.join(fresh, key, "left")
-    values = {
-        c: F.coalesce(F.col("_" + c), F.col(c)) if c in base.columns else F.col("_" + c)
-        for c in columns
-    }
-    return joined.withColumns(values).drop(*["_" + c for c in columns])
+    fresh = _one_result(results, [key], order)
+    fresh = fresh.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias("_" + c) for c in columns])
+    return _overwrite(base.join(fresh, key, "left"), base, columns)
 
 
 def set_where_in(df: DataFrame, ids: DataFrame, key: str, column: str, value: object) -> DataFrame:

@@ -25,26 +25,22 @@ NATIVE_ROWS = 64
 VECTOR_TILE_ROWS = 1024
 
 
-def _matrix(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of one length as unit rows, and the places they came from."""
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors as unit rows; a tile's vectors have one length."""
     lists = column.combine_chunks()
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    width = int(sizes.max(initial=0))
-    kept = np.flatnonzero(sizes == width)
-    flat = lists.take(pa.array(kept)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(kept), width)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    rows = flat.reshape(len(lists), len(flat) // max(1, len(lists)))
     length = np.linalg.norm(rows, axis=1)
-    return rows / np.where(length > 0, length, 1.0)[:, None], kept
+    return rows / np.where(length > 0, length, 1.0)[:, None]
 
 
 def _similar(id_col: str, vec: str, limit: float, include_self: bool, names: list[str]):
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, rows_a = _matrix(left.column(vec + "1"))
-        b, rows_b = _matrix(right.column(vec + "2"))
-        scores = a @ b.T if a.shape[1] == b.shape[1] else np.zeros((0, 0))
+        a, b = _matrix(left.column(vec + "1")), _matrix(right.column(vec + "2"))
+        scores = a @ b.T if len(a) and len(b) else np.zeros((0, 0))
         i, j = np.nonzero(scores > limit)
-        one = left.take(pa.array(rows_a[i]))
-        two = right.take(pa.array(rows_b[j]))
+        one = left.take(pa.array(i))
+        two = right.take(pa.array(j))
         before = pc.less_equal if include_self else pc.less
         kept = before(one.column(id_col + "1"), two.column(id_col + "2"))
         # keys carry the suffix of their side; both sides hold the same value
@@ -71,13 +67,16 @@ def cosine_pairs(
     """Unordered pairs of a block with cosine above ``limit`` (at least 0).
 
     Columns get suffixes 1 and 2 as in ``self_pairs``, without the vectors,
-    plus ``score``. Vectors of a block have one length; others never match.
+    plus ``score``. Only vectors of one length are compared: the length is part
+    of the key, so neither the road nor the tile size changes the result.
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
     df = df.filter(vectors.has_vector(F.col(vec))).dropna(subset=keys)
     rest = [c for c in df.columns if c not in keys and c != vec]
     names = [*keys, *[c + "1" for c in rest], *[c + "2" for c in rest]]
+    df = df.withColumn("_width", F.size(vec))
+    keys = [*keys, "_width"]
     hot = hot_keys(df, keys, native_rows)
     if hot.table is None:
         return _native(df, keys, id_col, vec, limit, include_self).select(*names, "score")
@@ -97,8 +96,7 @@ def _native(df, keys, id_col, vec, limit, include_self) -> DataFrame:
     a, b = suffixed(df, "1", keys), suffixed(df, "2", keys)
     score = vectors.cosine(F.col(vec + "1"), F.col(vec + "2"), F.col("_norm1"), F.col("_norm2"))
     one, two = F.col(id_col + "1"), F.col(id_col + "2")
-    same_length = F.size(vec + "1") == F.size(vec + "2")
-    pairs = a.join(b, keys).filter((one <= two if include_self else one < two) & same_length & (score > limit))
+    pairs = a.join(b, keys).filter((one <= two if include_self else one < two) & (score > limit))
     return pairs.withColumn("score", score)
 
 

@@ -18,9 +18,43 @@ from placeweave.schemas import DEFAULT_TAG, ensure_columns
     WHERE rn = 1""",
 )
 def upsert_latest(spark, sf_dir):
-    """Latest event per user, through the keyed replace."""
+    """Latest event per user: a table of first events takes in all events."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    return keyed.upsert_rows(events.limit(0), events, ["user_id"], ["ts", "event_id"]).drop("ts")
+    first = keyed.one_per_key(events, ["user_id"], [F.col("ts"), F.col("event_id")])
+    return keyed.upsert_rows(first, events, ["user_id"], ["ts", "event_id"]).drop("ts")
+
+
+@query(
+    "upsert_with_nulls",
+    sql="""WITH spent AS (SELECT o_custkey, CASE WHEN count(*) > 3 THEN max(o_orderpriority) END AS seg FROM orders GROUP BY o_custkey)
+    SELECT coalesce(c_custkey, o_custkey) AS c_custkey, c_name,
+           CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE seg END AS c_mktsegment
+    FROM customer FULL OUTER JOIN spent ON c_custkey = o_custkey""",
+)
+def upsert_with_nulls(spark, sf_dir):
+    """A null in the new row overwrites the stored value."""
+    many = F.count(F.lit(1)) > 3
+    new = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.when(many, F.max("o_orderpriority")).alias("c_mktsegment")
+    )
+    base = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return keyed.upsert_columns(base, new, ["c_custkey"], ["c_mktsegment"])
+
+
+@query(
+    "apply_results_duplicates",
+    sql="""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice DESC, l_linestatus DESC) AS rn FROM lineitem)
+    SELECT o_orderkey, CASE WHEN l_orderkey IS NULL THEN o_orderstatus ELSE l_linestatus END AS o_orderstatus, l_linenumber
+    FROM orders LEFT JOIN r ON o_orderkey = l_orderkey AND rn = 1""",
+)
+def apply_results_duplicates(spark, sf_dir):
+    """Several results of a key: the last one counts, rows stay single."""
+    results = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"), "l_linenumber",
+        "l_extendedprice",
+    )
+    base = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return keyed.apply_results(base, results, "o_orderkey", ["l_linenumber", "l_extendedprice", "o_orderstatus"]).drop("l_extendedprice")
 
 
 @query(

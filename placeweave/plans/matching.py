@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placeweave.functions import vectors
 from placeweave.functions.similarity import title_may_exceed, title_profile, title_scores
 from placeweave.operators import blocking, compare, tiers
-from placeweave.plans.places import PLACES_SQL, TEST_RULES, haversine_sql, places
+from placeweave.plans.places import PLACES_SQL, TEST_RULES, haversine_sql, places, spheroid_sql
 from placeweave.plans.registry import query, table
 from placeweave.session import settle
 
@@ -117,36 +116,30 @@ def pair_title_scores(spark, sf_dir):
 
 
 _PROFILES_SQL = f"""WITH {PLACES_SQL},
-    rows_ AS (SELECT cell, latitude, longitude, title, min(contentid) AS contentid
-              FROM poi GROUP BY cell, latitude, longitude, title)"""
+    rows_ AS (SELECT * FROM poi)"""
 
 
-def distinct_places(pois):
-    """One row, the smallest id, for rows that agree in place and title."""
-    return settle(
-        pois.groupBy("cell", "latitude", "longitude", "title").agg(
-            F.min("contentid").alias("contentid")
-        )
-    )
-
-
-@query(
-    "compare_pairs",
-    sql=f"""{_PROFILES_SQL}
+_COMPARE_SQL = f"""{_PROFILES_SQL}
     SELECT concat(a.contentid, b.contentid) AS duplicateid, a.contentid AS contentid1, b.contentid AS contentid2,
            a.cell, a.title AS title1, b.title AS title2,
            round(CAST(CAST(jaro_winkler_similarity(a.title, b.title) AS FLOAT) AS DOUBLE), 5) AS similarity_score,
            CAST(damerau_levenshtein(a.title, b.title) AS BIGINT) AS similarity_score_2,
            round({_DIST}, 2) AS distance_in_meters
     FROM rows_ a JOIN rows_ b ON a.cell = b.cell AND a.contentid < b.contentid
-    WHERE {_DIST} <= 100 AND jaro_winkler_similarity(a.title, b.title) > 0.7""",
-)
+    WHERE {_DIST} <= 100 AND jaro_winkler_similarity(a.title, b.title) > 0.7"""
+
+
+@query("compare_pairs", sql=_COMPARE_SQL)
 def compare_pairs(spark, sf_dir):
-    """The pair table of distinct places: same block, within the review
-    distance and above the loosest title threshold."""
-    base = distinct_places(places(spark, sf_dir))
+    """The pair table: same block, within the review distance and above the
+    loosest title threshold."""
+    return _compared(places(spark, sf_dir), "haversine")
+
+
+def _compared(base, distance, tile_rows=blocking.TILE_ROWS):
     pairs = compare.compare(
-        base, block="cell", max_metres=REVIEW_METRES, min_title_score=0.7, distance="haversine"
+        base, block="cell", max_metres=REVIEW_METRES, min_title_score=0.7, distance=distance,
+        tile_rows=tile_rows,
     )
     return pairs.select(
         "duplicateid", "contentid1", "contentid2", "cell",
@@ -157,6 +150,21 @@ def compare_pairs(spark, sf_dir):
     )
 
 
+_SPHEROID = spheroid_sql("a.latitude", "a.longitude", "b.latitude", "b.longitude")
+
+
+@query("compare_pairs_spheroid", sql=_COMPARE_SQL.replace(_DIST, _SPHEROID))
+def compare_pairs_spheroid(spark, sf_dir):
+    """The pair table with the default distance."""
+    return _compared(places(spark, sf_dir), "spheroid")
+
+
+@query("compare_pairs_tiled", sql=_COMPARE_SQL)
+def compare_pairs_tiled(spark, sf_dir):
+    """The pair table with blocks cut into small tiles."""
+    return _compared(places(spark, sf_dir), "haversine", tile_rows=3)
+
+
 _SCORED_SQL = f"""WITH {PLACES_SQL},
     pairs AS (
       SELECT a.contentid AS contentid1, b.contentid AS contentid2,
@@ -177,10 +185,10 @@ _SCORED_SQL = f"""WITH {PLACES_SQL},
     tags AS (SELECT DISTINCT contentid, tag FROM tagged)"""
 
 
-def place_tags(spark, sf_dir, pois=None):
+def place_tags(spark, sf_dir, pois=None, distance="haversine"):
     pois = places(spark, sf_dir) if pois is None else pois
     vecs = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "contentid")
-    return tiers.duplicate_tiers(pois, vecs, block="cell", rules=TEST_RULES, distance="haversine")
+    return tiers.duplicate_tiers(pois, vecs, block="cell", rules=TEST_RULES, distance=distance)
 
 
 @query("dedup_tiers", sql=f"{_SCORED_SQL} SELECT contentid, tag FROM tags")
@@ -194,3 +202,52 @@ def dedup_tiers(spark, sf_dir):
 )
 def tier_counts(spark, sf_dir):
     return tiers.tier_counts(place_tags(spark, sf_dir))
+
+
+@query(
+    "dedup_tiers_spheroid",
+    sql=f"{_SCORED_SQL.replace(_DIST, _SPHEROID)} SELECT contentid, tag FROM tags",
+)
+def dedup_tiers_spheroid(spark, sf_dir):
+    """The tiers with the default distance."""
+    return place_tags(spark, sf_dir, distance="spheroid")
+
+
+@query("tag_stored_pairs", sql=f"{_SCORED_SQL} SELECT contentid, tag FROM tags")
+def tag_stored_pairs(spark, sf_dir):
+    """The same tags from a stored, complete pair table and stored scores."""
+    pois = places(spark, sf_dir)
+    pairs = settle(compare.compare(pois, block="cell", distance="haversine"), "pairs")
+    vecs = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "contentid")
+    scores = settle(compare.score_vectors(pairs, vecs), "scores")
+    return tiers.tag_pairs(pairs, scores, TEST_RULES).select("contentid", "tag").distinct()
+
+
+@query(
+    "fill_pair_scores",
+    sql=f"""{_PROFILES_SQL}
+    SELECT a.contentid AS contentid1, b.contentid AS contentid2,
+           round(CAST(CAST(jaro_winkler_similarity(a.title, b.title) AS FLOAT) AS DOUBLE), 5) AS similarity_score,
+           round({_SPHEROID}, 1) AS distance_in_meters
+    FROM rows_ a JOIN rows_ b ON a.cell = b.cell AND a.contentid < b.contentid WHERE {_DIST} <= 100""",
+)
+def fill_pair_scores(spark, sf_dir):
+    """Scores and distances computed where a stored pair table lacks them."""
+    pois = places(spark, sf_dir)
+    near = blocking.near_pairs(
+        pois.drop("description"), "contentid", "latitude", "longitude", REVIEW_METRES, block="cell"
+    )
+    stored = settle(
+        near.select(
+            "contentid1", "contentid2",
+            F.lit(None).cast("float").alias("similarity_score"),
+            F.lit(None).cast("float").alias("distance_in_meters"),
+        ),
+        "stored",
+    )
+    filled = compare.fill_distances(compare.fill_title_scores(stored, pois), pois)
+    return filled.select(
+        "contentid1", "contentid2",
+        F.round(F.col("similarity_score").cast("double"), 5).alias("similarity_score"),
+        F.round(F.col("distance_in_meters").cast("double"), 1).alias("distance_in_meters"),
+    )

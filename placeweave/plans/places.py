@@ -66,3 +66,12 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"2*6371008.8e0*asin(sqrt(pow(sin(radians({lat2}-{lat1})/2),2)"
         f"+cos(radians({lat1}))*cos(radians({lat2}))*pow(sin(radians({lon2}-{lon1})/2),2)))"
     )
+
+
+def spheroid_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """The default distance: radii of WGS84 at the mean latitude."""
+    s2 = f"pow(sin(radians(({lat1}+{lat2})/2)),2)"
+    root = f"(1-{geo.ECCENTRICITY_2!r}*{s2})"
+    north = f"(radians({lat2}-{lat1})*{geo.SEMI_MAJOR!r}*(1-{geo.ECCENTRICITY_2!r})/pow({root},1.5e0))"
+    east = f"(radians({lon2}-{lon1})*{geo.SEMI_MAJOR!r}*cos(radians(({lat1}+{lat2})/2))/sqrt({root}))"
+    return f"sqrt(pow({north},2)+pow({east},2))"

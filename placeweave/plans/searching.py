@@ -8,7 +8,7 @@ from placeweave.functions import vectors
 from placeweave.operators import compare, keyed, search, tiers
 from placeweave.operators.tiers import TierRules
 from placeweave.operators.vector_join import cosine_pairs
-from placeweave.plans.matching import _DIST, _PROFILES_SQL, distinct_places
+from placeweave.plans.matching import _DIST, _PROFILES_SQL
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
 from placeweave.session import settle
@@ -33,6 +33,25 @@ def pair_vector_scores(spark, sf_dir):
     return pairs.select("contentid1", "contentid2", F.round("score", 6).alias("score"))
 
 
+@query(
+    "pair_vector_scores_tiled",
+    sql=f"""WITH {PLACES_SQL},
+    scored AS (SELECT a.contentid AS contentid1, b.contentid AS contentid2,
+        list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) AS s
+      FROM poi a JOIN embeddings x ON x.vec_id = a.contentid
+      JOIN poi b ON a.cell = b.cell AND a.contentid < b.contentid JOIN embeddings y ON y.vec_id = b.contentid)
+    SELECT contentid1, contentid2, round(s, 6) AS score FROM scored WHERE s > 0.1""",
+)
+def pair_vector_scores_tiled(spark, sf_dir):
+    """The same with blocks above four rows multiplied in tiles of eight."""
+    vecs = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("contentid"), F.col("embedding").alias("vec")
+    )
+    rows = settle(places(spark, sf_dir).select("contentid", "cell").join(vecs, "contentid"))
+    pairs = cosine_pairs(rows, ["cell"], "contentid", "vec", 0.1, native_rows=4, tile_rows=8)
+    return pairs.select("contentid1", "contentid2", F.round("score", 6).alias("score"))
+
+
 def _label_queries(vecs):
     """The first vector of each label."""
     return keyed.one_per_key(vecs, ["label"], [F.col("vec_id")])
@@ -87,24 +106,24 @@ _CLOSE_SQL = f"""{_PROFILES_SQL},
 
 
 def close_namesakes(pois):
-    """Pairs of distinct places within 50 m and above the title threshold."""
-    return compare.compare(
-        distinct_places(pois), block="cell", max_metres=50, min_title_score=0.85, distance="haversine"
+    """Pairs within 50 m and above the title threshold, scored once."""
+    return settle(
+        compare.compare(pois, block="cell", max_metres=50, min_title_score=0.85, distance="haversine")
     )
 
 
 @query(
     "merge_descriptions",
     sql=f"""{_CLOSE_SQL}
-    SELECT contentid1 AS contentid, 0 AS part, 1 AS parts,
-      concat(md5(p.description), '|', string_agg(md5(q.description), '|' ORDER BY contentid2)) AS description
-    FROM close_ JOIN poi p ON p.contentid = contentid1 JOIN poi q ON q.contentid = contentid2
-    GROUP BY contentid1, p.description""",
+    SELECT a.contentid, CAST(row_number() OVER (PARTITION BY a.contentid ORDER BY a.own DESC, a.partner) - 1 AS INTEGER) AS position,
+      a.partner, description AS piece
+    FROM (SELECT DISTINCT contentid1 AS contentid, contentid1 AS partner, true AS own FROM close_
+          UNION ALL SELECT contentid1, contentid2, false FROM close_) a JOIN poi p ON p.contentid = a.partner""",
 )
 def merge_descriptions(spark, sf_dir):
-    """Descriptions (their digests) of close namesakes joined to the first."""
+    """Descriptions of close namesakes in the order they are joined in."""
     pois = places(spark, sf_dir)
-    base = pois.select("contentid", F.md5(F.col("description").cast("binary")).alias("description"))
+    base = pois.select("contentid", "description")
     pairs = close_namesakes(pois).select("contentid1", "contentid2")
     return tiers.merge_descriptions(base, pairs, base.select("contentid"))
 
@@ -112,19 +131,17 @@ def merge_descriptions(spark, sf_dir):
 @query(
     "merge_and_prune",
     sql=f"""{_CLOSE_SQL}
-    SELECT contentid, md5(poi.description) AS own, coalesce(n, 0) AS merged
-    FROM poi LEFT JOIN (SELECT contentid1, count(*) AS n FROM close_ GROUP BY contentid1) c ON contentid1 = contentid
+    SELECT contentid, CASE WHEN merged IS NULL THEN description ELSE concat(description, '|', merged) END AS description
+    FROM poi LEFT JOIN (SELECT contentid1, string_agg(q.description, '|' ORDER BY contentid2) AS merged
+      FROM close_ JOIN poi q ON q.contentid = contentid2 GROUP BY contentid1) c ON contentid1 = contentid
     WHERE contentid NOT IN (SELECT contentid2 FROM close_)""",
 )
 def merge_and_prune(spark, sf_dir):
-    """Close namesakes removed, their descriptions counted at the survivor."""
+    """Close namesakes removed, their descriptions joined at the survivor."""
     pois = places(spark, sf_dir)
     pairs = close_namesakes(pois)
     tags = pairs.select(F.col("contentid2").alias("contentid"), F.lit("red").alias("tag")).distinct()
-    base = pois.select("contentid", F.md5(F.col("description").cast("binary")).alias("description"))
-    pruned = tiers.merge_and_prune(base, pairs, tags, TierRules())
-    pieces = F.split("description", r"\|")
-    return pruned.select("contentid", pieces[0].alias("own"), (F.size(pieces) - 1).cast("long").alias("merged"))
+    return tiers.merge_and_prune(pois.select("contentid", "description"), pairs, tags, TierRules())
 
 
 @query(
@@ -136,8 +153,10 @@ def merge_and_prune(spark, sf_dir):
 )
 def review_pairs(spark, sf_dir):
     """Pairs of listed ids within 100 m, with their vector score if any."""
-    base = distinct_places(places(spark, sf_dir))
-    pairs = compare.compare(base, block="cell", max_metres=100, min_title_score=0.85, distance="haversine")
+    base = places(spark, sf_dir)
+    pairs = settle(
+        compare.compare(base, block="cell", max_metres=100, min_title_score=0.85, distance="haversine")
+    )
     vecs = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "contentid")
     scores = compare.score_vectors(pairs, vecs)
     ids = table(spark, sf_dir, "labels").select("doc_id")

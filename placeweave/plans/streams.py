@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeweave.operators import blocking
-from placeweave.plans.matching import _DIST, _PROFILES_SQL, distinct_places
+from placeweave.plans.matching import _DIST, _PROFILES_SQL
 from placeweave.plans.places import places
 from placeweave.plans.registry import query, table
 from placeweave.session import scratch_path
@@ -27,12 +27,22 @@ def _as_files(spark, df, label: str, parts: int = 3):
 )
 def stream_incremental_pairs(spark, sf_dir):
     """Places arrive in batches; each is compared with all earlier ones."""
-    stream = _as_files(spark, distinct_places(places(spark, sf_dir)), "arrivals")
+    stream = _as_files(spark, places(spark, sf_dir).drop("description"), "arrivals")
     pairs = scratch_path(spark, "pairs")
 
-    def near(rows):
-        found = blocking.near_pairs(rows, "contentid", "latitude", "longitude", 50, block="cell")
-        return found.select("contentid1", "contentid2", "distance_m")
+    def near(new, old):
+        spot = "contentid", "latitude", "longitude", 50
+        found = blocking.near_pairs(new, *spot, block="cell").select("contentid1", "contentid2", "distance_m")
+        if old is None:
+            return found
+        across = blocking.near_pairs(new, *spot, block="cell", against=old)
+        return found.unionByName(
+            across.select(
+                F.least("contentid1", "contentid2").alias("contentid1"),
+                F.greatest("contentid1", "contentid2").alias("contentid2"),
+                "distance_m",
+            )
+        )
 
     jobs.incremental_compare(
         stream, scratch_path(spark, "base"), pairs, scratch_path(spark, "progress"), near
@@ -50,7 +60,9 @@ def stream_upsert(spark, sf_dir):
     stream = _as_files(spark, table(spark, sf_dir, "events"), "arrivals")
     path = scratch_path(spark, "latest")
     jobs.stream_upsert(stream, path, scratch_path(spark, "progress"), ["user_id"], ["ts", "event_id"]).awaitTermination()
-    latest = jobs.latest_versions(spark.read.parquet(path), ["user_id"], ["ts", "event_id"])
+    small = scratch_path(spark, "compacted")
+    jobs.compact(spark.read.parquet(path), small, ["user_id"], ["ts", "event_id"])
+    latest = jobs.latest_versions(spark.read.parquet(small), ["user_id"], ["ts", "event_id"])
     return latest.select("user_id", "event_id", "event_type")
 
 

@@ -126,11 +126,11 @@ def geojson_roundtrip(spark, sf_dir):
     sql="SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment",
 )
 def json_array_counts(spark, sf_dir):
-    """A small aggregate as one JSON array, read back as an array file."""
+    """An aggregate as one JSON array in part files, read back."""
     path = scratch_path(spark, "array")
     counts = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
     writers.export_json_array(counts, path)
-    return readers.read_json_array(spark, path, "c_mktsegment string, n long")
+    return readers.read_array_parts(spark, path, "c_mktsegment string, n long")
 
 
 @query(

@@ -63,4 +63,13 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._settled_at = path
+    return stored
+
+
+def discard(*settled: DataFrame) -> None:
+    """Delete the files of results of ``settle`` that nothing reads any more."""
+    for df in settled:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._settled_at)
+        path.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)

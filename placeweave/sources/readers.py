@@ -43,6 +43,13 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_array_parts(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Elements of a document that was written in part files, one per line."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^,", "").alias("value"))
+    framed = F.col("value").isin("[", "]", "]}", '{"type":"FeatureCollection","features":[')
+    return lines.filter(~framed).select(F.from_json("value", schema).alias("e")).select("e.*")
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = False
 ) -> DataFrame:

@@ -6,13 +6,14 @@ again after a failure replaces its own output and nothing is counted twice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from placeweave.operators.compare import without_known
 from placeweave.operators.keyed import one_per_key
 
 
@@ -25,16 +26,25 @@ def _start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     )
 
 
-def _earlier(batch: DataFrame, path: str, batch_id: int) -> DataFrame | None:
-    """Output of the batches before this one."""
-    if batch_id == 0:
-        return None
-    stored = batch.sparkSession.read.parquet(path)
-    return stored.filter(F.col("batch") < batch_id).drop("batch")
+def _run(checkpoint: str) -> str:
+    """Name of a job's outputs: a new checkpoint counts its batches from 0 again
+    and must not replace those of an earlier one."""
+    return hashlib.md5(checkpoint.encode()).hexdigest()[:16]
 
 
-def _store(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def _earlier(batch: DataFrame, path: str, run: str, batch_id: int) -> DataFrame | None:
+    """Output of the batches before this one and of other runs."""
+    try:
+        stored = batch.sparkSession.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return stored.filter((F.col("run") != run) | (F.col("batch") < batch_id)).drop("run", "batch")
+
+
+def _store(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
 
 
 def incremental_compare(
@@ -42,29 +52,27 @@ def incremental_compare(
     base_path: str,
     pairs_path: str,
     checkpoint: str,
-    make_pairs: Callable[[DataFrame], DataFrame],
+    make_pairs: Callable[[DataFrame, DataFrame | None], DataFrame],
     key: str = "contentid",
     block: str = "cell",
 ) -> StreamingQuery:
     """Compare each arriving batch with everything that arrived before.
 
-    ``make_pairs`` turns places into pairs with ``contentid1`` and
-    ``contentid2`` that share a ``block``; earlier places are read only for
-    blocks with arrivals. Known pairs are dropped, so only pairs with a new
-    place on one side at least are stored.
+    ``make_pairs`` gets the new places and the earlier ones (or None) of the
+    blocks with arrivals, and pairs the new ones with each other and with the
+    earlier ones; earlier places are not paired again.
     """
+    run = _run(checkpoint)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        old = _earlier(batch, base_path, batch_id)
-        fresh = batch if old is None else batch.join(old.select(key), key, "left_anti")
-        _store(fresh, base_path, batch_id)
-        stored = batch.sparkSession.read.parquet(base_path)
-        new = stored.filter(F.col("batch") == batch_id).drop("batch")
-        rows = new
+        old = _earlier(batch, base_path, run, batch_id)
+        arrived = batch.dropDuplicates([key])
+        fresh = arrived if old is None else arrived.join(old.select(key), key, "left_anti")
+        _store(fresh, base_path, run, batch_id)
+        new = batch.sparkSession.read.schema(batch.schema).parquet(f"{base_path}/run={run}/batch={batch_id}")
         if old is not None:
-            rows = old.join(new.select(block).distinct(), block, "left_semi").unionByName(new)
-        pairs = without_known(make_pairs(rows), _earlier(batch, pairs_path, batch_id))
-        _store(pairs, pairs_path, batch_id)
+            old = old.join(new.select(block).distinct(), block, "left_semi")
+        _store(make_pairs(new, old), pairs_path, run, batch_id)
 
     return _start(stream, work, checkpoint)
 
@@ -75,20 +83,28 @@ def stream_upsert(
     """Keep the latest version of each key.
 
     A batch appends its own winners as a new version of their keys;
-    ``latest_versions`` reads the table. Nothing is rewritten per batch.
+    ``latest_versions`` reads the table. Nothing is rewritten per batch;
+    ``compact`` writes the current rows alone to a new table from time to time.
     """
+    run = _run(checkpoint)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         newest = one_per_key(batch, keys, [F.col(c).desc_nulls_last() for c in order])
-        _store(newest, table_path, batch_id)
+        _store(newest, table_path, run, batch_id)
 
     return _start(stream, work, checkpoint)
 
 
 def latest_versions(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Current rows of a table kept by ``stream_upsert``."""
-    ranking: list[Column] = [*[F.col(c).desc_nulls_last() for c in order], F.col("batch").desc()]
-    return one_per_key(table, keys, ranking).drop("batch")
+    ranking: list[Column] = [*[F.col(c).desc_nulls_last() for c in order], F.col("batch").desc(), F.col("run")]
+    return one_per_key(table, keys, ranking).drop("run", "batch")
+
+
+def compact(table: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
+    """Current rows of a table kept by ``stream_upsert`` as a new table at
+    ``path``, which later batches may go on from."""
+    _store(latest_versions(table, keys, order), path, "compacted", 0)
 
 
 def first_seen(stream: DataFrame, key: str, time: str, delay: str = "10 minutes") -> DataFrame:
@@ -101,10 +117,11 @@ def first_seen(stream: DataFrame, key: str, time: str, delay: str = "10 minutes"
 def first_seen_ever(stream: DataFrame, path: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
     """Store the first arrival of each key, without a time limit and without
     state in memory: a batch is checked against what is stored."""
+    run = _run(checkpoint)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         arrivals = one_per_key(batch.filter(F.col(key).isNotNull()), [key], [F.col(c) for c in order])
-        old = _earlier(batch, path, batch_id)
-        _store(arrivals if old is None else arrivals.join(old.select(key), key, "left_anti"), path, batch_id)
+        old = _earlier(batch, path, run, batch_id)
+        _store(arrivals if old is None else arrivals.join(old.select(key), key, "left_anti"), path, run, batch_id)
 
     return _start(stream, work, checkpoint)

@@ -55,14 +55,6 @@ def test_cells_contain_their_points_and_parents(spark):
     assert row.parent == row.coarse and row.none is None and row.fine > row.coarse
 
 
-def test_h3_needs_its_package(spark):
-    try:
-        import h3  # noqa: F401
-    except ImportError:
-        with pytest.raises(ImportError):
-            geo.geo_cell(F.lit(1.0), F.lit(1.0), 8, grid="h3")
-
-
 @pytest.mark.parametrize("lat", [0.0, 40.7, -70.0])
 @pytest.mark.parametrize("dlat, dlon", [(1e-4, 0.0), (0.0, 1e-4), (3e-3, -4e-3), (0.05, 0.05)])
 def test_spheroid_close_to_geodesic(spark, lat, dlat, dlon):

@@ -173,16 +173,34 @@ def test_is_compared(world):
     assert compare.is_compared(pairs, sourced, "b").first().compared is False
 
 
-def test_merge_splits_long_lists_into_parts(spark):
+@pytest.mark.parametrize("native_rows, tile_rows", [(64, 1024), (1000, 1024), (3, 7), (10, 20)])
+def test_cosine_pairs_of_mixed_lengths(spark, native_rows, tile_rows):
+    rows = spark.range(100).selectExpr("id", "1 as cell", "if(id % 2 = 0, array(1F, 2F), array(1F, 2F, 3F)) as vec")
+    pairs = vector_join.cosine_pairs(rows, ["cell"], "id", "vec", 0.5, False, native_rows, tile_rows)
+    got = pairs.collect()
+    assert len(got) == 2 * (50 * 49 // 2) and all((r.id1 - r.id2) % 2 == 0 for r in got)
+    assert pairs.columns == ["cell", "id1", "id2", "score"]
+
+
+def test_merge_keeps_one_shape_and_partner_order(spark):
     base = spark.createDataFrame([(i, f"d{i}") for i in range(30)], "contentid long, description string")
     pairs = spark.createDataFrame([(0, i) for i in range(1, 30)], "contentid1 long, contentid2 long")
     ids = base.filter("contentid = 0").select("contentid")
-    whole = tiers.merge_descriptions(base, pairs, ids).collect()
+    rows = tiers.merge_descriptions(base, pairs, ids).orderBy("position").collect()
+    assert [tuple(r) for r in rows] == [(0, i, i, f"d{i}") for i in range(30)]
+    whole = tiers.merge_descriptions(base, pairs, ids, "|").collect()
     assert [r.description for r in whole] == ["|".join(f"d{i}" for i in range(30))]
-    parts = tiers.merge_descriptions(base, pairs, ids, pieces_per_part=10).orderBy("part").collect()
-    assert len(parts) == 3 and parts[0].description.startswith("d0|")
-    pieces = [p for r in parts for p in r.description.split("|")]
-    assert sorted(pieces) == sorted(f"d{i}" for i in range(30))
+
+
+@pytest.mark.parametrize("many, few", [(3000, 1), (1, 3000), (2500, 1500)])
+def test_uneven_block_join_copies_little(spark, many, few):
+    left = spark.range(many).selectExpr("id as a", "1 as k")
+    right = spark.range(few).selectExpr("id as b", "1 as k")
+    rows = blocking.block_join(left, right, ["k"], "a", "b", F.col("a") % 7 == F.col("b") % 7, tile_rows=100)
+    want = left.join(right, "k").filter(F.col("a") % 7 == F.col("b") % 7).count()
+    assert rows.count() == want == rows.distinct().count()
+    a, b = blocking.chunked(left, right, ["k"], "a", "b", tile_rows=100)[:2]
+    assert a.count() == many * -(-few // 100) and b.count() == few * -(-many // 100)
 
 
 def test_archive_and_survivors(world):

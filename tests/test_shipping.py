@@ -19,7 +19,7 @@ _LOAD = "import sys, pickle; sys.path.append(sys.argv[1]); pickle.loads(sys.stdi
         similarity.jaro_winkler.func,
         similarity.damerau_levenshtein.func,
         geo.distance_geodesic.func,
-        search._best_per_task([("q", [1.0])], 1, 1),
+        search._best_of_chunk(1),
         vector_join._similar("id", "v", 0.1, False, ["id1", "id2", "score"]),
     ],
 )

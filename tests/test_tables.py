@@ -27,10 +27,10 @@ def test_one_per_key_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 
 
-def test_upsert_columns_keeps_old_where_new_is_null(spark):
+def test_upsert_columns_overwrites_with_null(spark):
     base = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id int, x string, y int")
     new = spark.createDataFrame([(1, None, 7), (3, "c", None)], "id int, x string, y int")
-    assert _rows(keyed.upsert_columns(base, new, ["id"], ["x", "y"]), "id") == [(1, "a", 7), (2, "b", 2), (3, "c", None)]
+    assert _rows(keyed.upsert_columns(base, new, ["id"], ["x", "y"]), "id") == [(1, None, 7), (2, "b", 2), (3, "c", None)]
 
 
 @pytest.mark.parametrize("ids, kept", [([1], [2, 3]), ([1, None], []), ([], [1, 2, 3, None])])
@@ -163,9 +163,24 @@ def test_trigram_pairs_equal_brute_force(spark):
             assert _rows(got) == _rows(every.filter(F.col("s") >= threshold - 1e-12))
 
 
-@pytest.mark.parametrize("limit", [2048, 2])
-def test_top_k_equals_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(search, "QUERIES_PER_PASS", limit)
+def test_duplicate_results_leave_one_row(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string")
+    results = spark.createDataFrame([(1, "old", 1), (1, None, 2), (1, "older", 0)], "id int, x string, n int")
+    assert _rows(keyed.apply_results(base, results, "id", ["n"]), "id") == [(1, None, 2), (2, "b", None)]
+    assert keyed.upsert_columns(base, results, ["id"], ["x"]).count() == 2
+
+
+def test_top_k_of_copies_and_mixed_lengths(spark):
+    items = spark.range(3000).selectExpr("id", "if(id % 3 = 0, array(1F, 0F), array(1F, 0F, 0F)) as vec")
+    queries = spark.createDataFrame([("q", [1.0, 1.0])], "query_id string, vec array<float>")
+    got = search.search_top_k(items, queries, 5, item_id="id", vec="vec")
+    assert [r.id for r in got.orderBy("rank").collect()] == [0, 3, 6, 9, 12]
+
+
+@pytest.mark.parametrize("items_at_once, queries_at_once", [(8192, 512), (7, 2)])
+def test_top_k_equals_brute_force(spark, monkeypatch, items_at_once, queries_at_once):
+    monkeypatch.setattr(search, "ITEM_CHUNK", items_at_once)
+    monkeypatch.setattr(search, "QUERY_CHUNK", queries_at_once)
     rng = random.Random(9)
     rows = [(i, [rng.choice([0.0, 1.0, 2.0]) for _ in range(4)], i % 7, i % 3) for i in range(200)]
     items = spark.createDataFrame(rows, "contentid long, embedding array<float>, popular int, city int").repartition(5)

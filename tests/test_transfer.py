@@ -65,7 +65,9 @@ def test_geojson_collection_both_kinds(spark, tmp_path):
 def test_features_collection_and_styled_append(spark):
     df = spark.createDataFrame([("t", 1.0, 2.0, 5, "c")], "title string, latitude double, longitude double, cell_coarse long, city string")
     features = writers.to_geojson_features(df)
-    doc = json.loads(writers.feature_collection(features).first().value)
+    whole = scratch_path(spark, "collection")
+    writers.export_feature_collection(features, whole)
+    doc = json.loads(_document(spark, whole))
     assert doc["features"][0]["geometry"] == {"type": "Point", "coordinates": [2.0, 1.0]}
     both = writers.append_features(features, df)
     path = scratch_path(spark, "geojson")
@@ -74,9 +76,17 @@ def test_features_collection_and_styled_append(spark):
     assert sorted(styles, key=str) == sorted([None, "#FFC0CB"], key=str)
 
 
-def test_json_array_refuses_large_results(spark):
-    with pytest.raises(ValueError):
-        writers.export_json_array(spark.range(20), scratch_path(spark, "a"), max_rows=10)
+def _document(spark, path):
+    parts = spark.read.text(path).select("value", "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    return "\n".join(r.value for r in parts.orderBy("file_name", "at").collect())
+
+
+@pytest.mark.parametrize("rows, tasks", [(0, 1), (1, 3), (20, 5), (1000, 4)])
+def test_json_array_in_part_files(spark, rows, tasks):
+    path = scratch_path(spark, "a")
+    writers.export_json_array(spark.range(rows).repartition(tasks), path)
+    assert sorted(e["id"] for e in json.loads(_document(spark, path))) == list(range(rows))
+    assert readers.read_array_parts(spark, path, "id long").count() == rows
 
 
 def test_export_order(spark):
@@ -122,8 +132,13 @@ def _stream(spark, frames):
 def test_incremental_compare_equals_one_batch(spark):
     df = spark.range(90).selectExpr("id as contentid", "40.7 + (id % 9) / 1e4 as latitude", "-74 + (id % 7) / 1e4 as longitude", "id % 2 as cell")
 
-    def near(rows):
-        return blocking.near_pairs(rows, "contentid", "latitude", "longitude", 50, block="cell").select("contentid1", "contentid2")
+    def near(new, old=None):
+        spot = "contentid", "latitude", "longitude", 50
+        found = blocking.near_pairs(new, *spot, block="cell").select("contentid1", "contentid2")
+        if old is None:
+            return found
+        across = blocking.near_pairs(new, *spot, block="cell", against=old)
+        return found.unionByName(across.select(F.least("contentid1", "contentid2").alias("contentid1"), F.greatest("contentid1", "contentid2").alias("contentid2")))
 
     pairs = scratch_path(spark, "pairs")
     frames = [df.filter("contentid < 30"), df.filter("contentid between 30 and 59"), df.filter("contentid >= 55")]
@@ -138,6 +153,13 @@ def test_stream_upsert_late_arrival_loses(spark):
     path = scratch_path(spark, "latest")
     jobs.stream_upsert(_stream(spark, [first, late]), path, scratch_path(spark, "p"), ["k"], ["o"]).awaitTermination()
     assert _rows(jobs.latest_versions(spark.read.parquet(path), ["k"], ["o"])) == [(1, 5, "new"), (2, 1, "only")]
+    # a second run with a checkpoint of its own adds to the first one's output
+    newer = spark.createDataFrame([(1, 9, "newest")], "k int, o int, v string")
+    jobs.stream_upsert(_stream(spark, [newer]), path, scratch_path(spark, "p"), ["k"], ["o"]).awaitTermination()
+    small = scratch_path(spark, "compacted")
+    jobs.compact(spark.read.parquet(path), small, ["k"], ["o"])
+    assert _rows(jobs.latest_versions(spark.read.parquet(small), ["k"], ["o"])) == [(1, 9, "newest"), (2, 1, "only")]
+    assert spark.read.parquet(small).count() == 2
 
 
 def test_first_seen_ever(spark):
