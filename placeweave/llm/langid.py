@@ -9,7 +9,7 @@ labelled as such; a document's language is the one with the highest mean
 probability over its words, which is its score.
 
 The field is fitted on the driver by its exact likelihood, on word sequences
-that are put together from pieces of up to ``SAMPLE_PER_LANG`` texts per
+that are put together from pieces of about ``SAMPLE_PER_LANG`` texts per
 language (taken by hash among labelled texts of at most ``SAMPLE_BYTES`` bytes
 outside the held-out third). Prediction reads every text whole, in one pass
 without a shuffle, in windows of ``WINDOW`` words with ``CONTEXT`` words of
@@ -25,7 +25,6 @@ table gives an empty table.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -33,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from placeweave.functions.shipping import ship_by_value
+from placeweave.session import settle
 
 ship_by_value(__name__)
 
@@ -60,18 +59,46 @@ EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 def plain(word: str) -> str:
     """A word without what surrounds its letters, in lower case."""
-    word = EDGES.sub("", word).lower()
+    word = (word if word.isalpha() else EDGES.sub("", word)).lower()
     return word if len(word) <= LONGEST_WORD else word[: LONGEST_WORD // 2] + word[-LONGEST_WORD // 2 :]
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of the features of a plain word."""
-    marked = f"^{word}$"
-    names = ["w" + word]
-    names += ["p" + word[:k] for k in (1, 2, 3) if len(word) >= k]
-    names += ["s" + word[-k:] for k in (1, 2, 3) if len(word) >= k]
-    names += ["g" + marked[i : i + 3] for i in range(len(marked) - 2)]
-    return [zlib.crc32(n.encode("utf-8", "replace")) % BUCKETS for n in names]
+def feature_table(words: list[str]) -> np.ndarray:
+    """Buckets of the features of plain words, a row each: the word itself, its
+    first and last one to three letters, its trigrams with both ends marked.
+    Places without a feature hold ``BUCKETS``."""
+
+    def bucket(code: np.ndarray, kind: int) -> np.ndarray:
+        code = (code + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
+        code = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (code >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+    many, long = len(words), LONGEST_WORD
+    letters = np.array(words, f"U{long}").view(np.uint32).reshape(many, long).astype(np.uint64)
+    used = letters > 0
+    length = long - np.argmax(used[:, ::-1], axis=1)
+    length[~used.any(1)] = 0
+    shift = np.uint64(21)
+    whole = np.zeros(many, np.uint64)
+    for k in range(long):
+        whole = np.where(k < length, whole * np.uint64(1_000_003) + letters[:, k], whole)
+    columns = [bucket(whole, 1)]
+    rows = np.arange(many)
+    first, last = np.zeros(many, np.uint64), np.zeros(many, np.uint64)
+    for k in range(3):
+        first = (first << shift) | letters[:, k]
+        last = (last << shift) | letters[rows, np.maximum(length - 1 - k, 0)]
+        columns += [
+            np.where(length > k, bucket(first, 2 + k), BUCKETS),
+            np.where(length > k, bucket(last, 5 + k), BUCKETS),
+        ]
+    marked = np.zeros((many, long + 2), np.uint64)
+    marked[:, 1:-1] = letters
+    marked[:, 0] = ord("^")
+    marked[rows, length + 1] = ord("$")
+    grams = (marked[:, :-2] << (shift + shift)) | (marked[:, 1:-1] << shift) | marked[:, 2:]
+    inside = np.arange(long)[None, :] < length[:, None]
+    return np.column_stack([*columns, np.where(inside, bucket(grams, 8), BUCKETS)])
 
 
 def forward_backward(scores: np.ndarray, transitions: np.ndarray, lengths: np.ndarray):
@@ -105,12 +132,21 @@ class Model:
         self.lexicon = lexicon
         self.transitions = transitions
 
-    def score(self, word: str) -> np.ndarray:
-        if not word:
-            return np.zeros(len(self.languages))
-        found = self.weights[word_features(word)].sum(0)
-        entry = self.lexicon.get(word)
-        return found if entry is None else found + entry
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Scores of plain words, a row each; 0 for words without letters."""
+        found = np.zeros((len(words), len(self.languages)))
+        for low in range(0, len(words), 20_000):
+            part = words[low : low + 20_000]
+            table = feature_table(part)
+            for column in table.T:
+                found[low : low + len(part)] += self.weights[column]
+        for at, word in enumerate(words):
+            entry = self.lexicon.get(word)
+            if entry is not None:
+                found[at] += entry
+            elif not word:
+                found[at] = 0
+        return found
 
 
 def lexicon_of(sample: list[tuple[str, list[str]]], languages: list[str]) -> dict[str, np.ndarray]:
@@ -159,15 +195,12 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
     names = sorted({w for s in words for w in s})
     place = {w: i for i, w in enumerate(names)}
     ids = np.array([[place[w] for w in s] for s in words])
-    lists = [word_features(w) for w in names]
     # a word's own feature is left out of training for words met once, so that
     # new words are trusted to their parts
+    table = feature_table(names)
     often = np.bincount(ids.ravel(), minlength=len(names))
-    lists = [l if often[i] > 1 else l[1:] for i, l in enumerate(lists)]
-    widest = max(map(len, lists))
-    table = np.full((len(names), widest), BUCKETS)
-    for i, l in enumerate(lists):
-        table[i, : len(l)] = l
+    table[often <= 1, 0] = BUCKETS
+    widest = table.shape[1]
     lexicon = lexicon_of(sample, languages)
     given = np.array([lexicon.get(w, np.zeros(n)) for w in names])
     weights, squares = np.zeros((BUCKETS + 1, n)), np.full((BUCKETS + 1, n), 1e-2)
@@ -195,7 +228,7 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
             turn /= len(own)
             moved += turn**2
             transitions -= LEARNING_RATE * turn / np.sqrt(moved)
-    return Model(languages, weights[:BUCKETS].astype(np.float32), lexicon, transitions)
+    return Model(languages, weights.astype(np.float32), lexicon, transitions)
 
 
 class Labeller:
@@ -212,21 +245,20 @@ class Labeller:
         if len(self.rows) + len(fresh) > WORDS_KEPT:
             self.rows = {}
             fresh = words
-        by_plain: dict[str, np.ndarray] = {}
         size = len(self.rows) + len(fresh)
         if size > len(self.scores):
             grown = np.zeros((2 * size, self.scores.shape[1]))
             grown[: len(self.scores)] = self.scores
             self.scores = grown
             self.letters = np.concatenate([self.letters, np.zeros(len(grown) - len(self.letters), bool)])
-        for word in fresh:
-            bare = plain(word)
-            if bare not in by_plain:
-                by_plain[bare] = self.model.score(bare)
-            row = len(self.rows)
-            self.rows[word] = row
-            self.scores[row] = by_plain[bare]
-            self.letters[row] = bool(bare)
+        fresh = list(fresh)
+        bare = list(map(plain, fresh))
+        place = {w: i for i, w in enumerate(dict.fromkeys(bare))}
+        found = self.model.scores(list(place))
+        first = len(self.rows)
+        self.rows.update(zip(fresh, range(first, first + len(fresh))))
+        self.scores[first : first + len(fresh)] = found[[place[w] for w in bare]] if fresh else 0
+        self.letters[first : first + len(fresh)] = list(map(bool, bare))
 
     def probabilities(self, texts: list[list[str]]):
         """Per text (words given): probabilities of its words, and which have
@@ -298,13 +330,17 @@ def remainder(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
-    usable = docs.filter(
-        (remainder(F.col("doc_id")) != 1)
-        & F.col("lang").isNotNull()
-        & (F.octet_length("text") <= SAMPLE_BYTES)
-    ).select("lang", "text", F.xxhash64("text").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    chosen = usable.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_PER_LANG)
+    """About ``SAMPLE_PER_LANG`` labelled texts per language: those with the
+    lowest hashes, by a limit that follows from the number of labels."""
+    usable = docs.filter((remainder(F.col("doc_id")) != 1) & F.col("lang").isNotNull())
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    luck = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
+    chosen = (
+        usable.select("lang", "text", luck.alias("luck"))
+        .filter(F.octet_length("text") <= SAMPLE_BYTES)
+        .join(settle(sizes, "languages"), "lang")
+        .filter(F.col("luck") * F.col("n") < SAMPLE_PER_LANG)
+    )
     return sorted((r.lang, r.text) for r in chosen.select("lang", "text").collect())
 
 
