@@ -8,10 +8,11 @@ from placeweave.functions import vectors
 from placeweave.operators import compare, keyed, search, tiers
 from placeweave.operators.tiers import TierRules
 from placeweave.operators.vector_join import cosine_pairs
-from placeweave.plans.matching import _DIST, _PROFILES_SQL
+from placeweave.plans.matching import _DIST, _PROFILES_SQL, _SCORED_SQL, place_tags
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
-from placeweave.session import settle
+from placeweave.session import scratch_path, settle
+from placeweave.sources import readers, writers
 
 
 @query(
@@ -177,3 +178,54 @@ def incremental_anti_pairs(spark, sf_dir):
     sources = pois.select("contentid", "source")
     known = compare.lookup_sides(everything, sources, ["source"]).filter("source1 = source2")
     return compare.without_known(everything, known)
+
+
+@query(
+    "pair_table_export",
+    sql=f"""{_CLOSE_SQL} SELECT contentid1, contentid2 FROM close_""",
+)
+def pair_table_export(spark, sf_dir):
+    """The whole pair table as JSON lines, read back."""
+    path = scratch_path(spark, "pair-lines")
+    writers.export_jsonl(close_namesakes(places(spark, sf_dir)), path)
+    return readers.read_jsonl(spark, path, "contentid1 long, contentid2 long", "fail")
+
+
+@query(
+    "source_compared",
+    sql=f"""{_CLOSE_SQL}
+    SELECT count(*) > 0 AS compared FROM close_ JOIN poi ON contentid = contentid1 WHERE source = 'src1'""",
+)
+def source_compared(spark, sf_dir):
+    """Does any stored pair start at a place of one source?"""
+    pois = places(spark, sf_dir)
+    return compare.is_compared(close_namesakes(pois), pois.withColumnRenamed("source", "source_url"), "src1")
+
+
+@query(
+    "red_places",
+    sql=f"{_SCORED_SQL} SELECT contentid, title FROM tags JOIN poi USING (contentid) WHERE tag = 'red'",
+)
+def red_places(spark, sf_dir):
+    """Places that carry one of the tags."""
+    pois = places(spark, sf_dir)
+    archived = tiers.archive_duplicates(pois.select("contentid", "title"), place_tags(spark, sf_dir, pois))
+    return archived.filter("tag = 'red'").select("contentid", "title")
+
+
+@query(
+    "encode_missing_vectors",
+    sql=r"""SELECT doc_id, vec_id IS NOT NULL AS stored, 64 AS dimensions,
+      CASE WHEN vec_id IS NULL THEN len(list_filter(string_split(lower(regexp_replace(text, '[^\p{L}\p{N}_]+', ' ', 'g')), ' '), lambda w: w <> '')) END AS words
+    FROM documents LEFT JOIN embeddings ON vec_id = doc_id""",
+)
+def encode_missing_vectors(spark, sf_dir):
+    """Only rows without a stored vector are encoded; others keep theirs."""
+    stored = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(stored, "doc_id", "left")
+    kept = F.col("embedding").isNotNull()
+    encoded = vectors.add_embeddings(rows.withColumn("stored", kept), "text")
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).cast("long")
+    return encoded.select(
+        "doc_id", "stored", F.size("embedding").alias("dimensions"), F.when(~F.col("stored"), total).alias("words")
+    )

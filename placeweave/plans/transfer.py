@@ -185,3 +185,16 @@ def coordinates_present(spark, sf_dir):
     rows = keyed.apply_results(table(spark, sf_dir, "documents").select("doc_id"), vecs, "doc_id")
     present = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     return rows.groupBy(present.alias("present")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "multi_occupancy_export",
+    sql=f"""WITH {PLACES_SQL}
+    SELECT contentid, title, cell FROM poi WHERE cell IN (SELECT cell FROM poi GROUP BY cell HAVING count(*) > 1)""",
+)
+def multi_occupancy_export(spark, sf_dir):
+    """Places of shared cells as JSON lines, read back."""
+    path = scratch_path(spark, "shared-cells")
+    members = reports.multi_occupancy_members(places(spark, sf_dir).select("contentid", "title", "cell"))
+    writers.export_jsonl(members, path)
+    return readers.read_jsonl(spark, path, "contentid long, title string, cell long", "fail")
