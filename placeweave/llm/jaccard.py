@@ -46,6 +46,7 @@ SHINGLE = 4
 # Links: 100 * common >= 85 * union, that is 37 * common >= 17 * (sum of sizes).
 CHUNK = 512
 PAIRS_KEPT = 200_000
+FIRST_TILES = 12
 WORDS_KEPT = 500_000
 BROADCAST_NODES = 1_000_000  # at most 8 MB of node ids
 WIDEST_BITMAP = 1 << 16
@@ -296,17 +297,23 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _cross_pairs(batches):
     """Pairs of nodes of different components in each tile whose bitmaps leave a
     link possible; rows come sorted by key and tile. A tile of two chunks has
-    rows of side 0 and 1, met across. Pairs of lately seen tiles aren't looked
-    at again."""
+    rows of side 0 and 1, met across. A pair is left to an earlier tile where the
+    nodes' lists of their first tiles show one; in the first tile that they
+    share they never do, so every pair is looked at."""
     held: list[dict] = []
     seen: set = set()
     at = None
 
     def pairs(rows):
+        earlier = [{k for k in x["firsts"] if k < x["key"]} for x in rows]
         for i, x in enumerate(rows):
-            for y in rows[i + 1 :]:
+            for j in range(i + 1, len(rows)):
+                y = rows[j]
                 if x["component"] == y["component"] or x["across"] and x["side"] == y["side"]:
                     continue
+                # both are in an earlier tile, where they are looked at
+                if not earlier[i].isdisjoint(earlier[j]):
+                    continue
                 small, large = sorted((x["n"], y["n"]))
                 if 20 * small < 17 * large:
                     continue
@@ -338,14 +345,19 @@ def _cross_pairs(batches):
 
 
 def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of tiles with their bitmaps, large tiles as pairs of chunks."""
+    """Rows of tiles with their bitmaps and their first tiles, large tiles as
+    pairs of chunks."""
+    firsts = members.groupBy("node").agg(
+        F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_TILES).alias("firsts")
+    )
+    about = settle(sets.select("node", "bits").join(firsts, "node"), "tile-nodes")
     sizes = settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "tile-sizes")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     return (
         members.join(sizes, "key")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        .join(sets.select("node", "bits"), "node")
+        .join(about, "node")
         .select(
             "key",
             F.concat_ws("-", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tile"),
@@ -355,6 +367,7 @@ def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
             "n",
             "component",
             "bits",
+            "firsts",
         )
     )
 

@@ -85,11 +85,34 @@ def test_all_pairs(documents):
 
 def test_chunked_tiles_give_the_same(documents, monkeypatch):
     monkeypatch.setattr(jaccard, "PAIRS_KEPT", 5)
+    monkeypatch.setattr(jaccard, "FIRST_TILES", 2)
     monkeypatch.setattr(jaccard, "CHUNK", 4)
     monkeypatch.setattr(jaccard, "BROADCAST_NODES", 5)
     check(documents, corpus(2, 25, 8))
 
 
+@pytest.mark.parametrize("firsts", [0, 1, 3, 99])
+def test_every_crossing_pair_is_looked_at_once_at_least(firsts):
+    rng = random.Random(firsts)
+    keys = {n: sorted(rng.sample(range(40), rng.randint(3, 15))) for n in range(30)}
+    bits = jaccard.bitmap(np.arange(8, dtype=np.uint64))
+    rows = [
+        {"key": k, "tile": "0-0", "side": 0, "across": False, "node": n, "n": 8, "component": n // 2, "bits": bits, "firsts": own[:firsts]}
+        for n, own in keys.items()
+        for k in own
+    ]
+    rows.sort(key=lambda r: r["key"])
+    import pyarrow as pa
+
+    tiles = [pa.RecordBatch.from_pylist([r for r in rows if r["key"] == k]) for k in range(40) if any(r["key"] == k for r in rows)]
+    # one task per tile: nothing is remembered from tile to tile
+    got = [(p["a"], p["b"]) for t in tiles for batch in jaccard._cross_pairs([t]) for p in batch.to_pylist()]
+    want = {(a, b) for a in keys for b in keys if a < b and a // 2 != b // 2 and set(keys[a]) & set(keys[b])}
+    assert set(got) == want
+    if firsts == 99:
+        assert len(got) == len(want)
+
+
 def test_linked_sets_share_a_tile():
     rng = np.random.default_rng(0)
     linked = 0
