@@ -48,7 +48,7 @@ CHUNK = 512
 PAIRS_KEPT = 200_000
 FIRST_TILES = 12
 WORDS_KEPT = 500_000
-BROADCAST_NODES = 1_000_000  # at most 8 MB of node ids
+BROADCAST_ADDRESSES = 1_000_000  # longs: some 16 MB at most
 WIDEST_BITMAP = 1 << 16
 
 STEPS = np.array(
@@ -161,7 +161,8 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.encode(text, "utf-8").alias("text"), F.xxhash64(text).alias("address"))
 
 
 def _known_words() -> dict:
@@ -185,8 +186,13 @@ def _sets(batches):
             sizes.append(len(members))
             nodes.append(node_of(members) if len(members) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-            names=["doc_id", "n_shingles", "node"],
+            [
+                batch.column("doc_id"),
+                batch.column("address"),
+                pa.array(sizes, pa.int64()),
+                pa.array(nodes, pa.int64()),
+            ],
+            names=["doc_id", "address", "n_shingles", "node"],
         )
 
 
@@ -225,42 +231,30 @@ def _neighbours(batches):
             )
 
 
-def _wanted_sets(wanted):
-    def run(batches):
-        chosen = None if wanted is None else wanted.value
-        for batch in batches:
-            rows = {"node": [], "n": [], "bits": [], "members": []}
-            for text in batch.column("text").to_pylist():
-                members = shingle_set(text, _known_words())
-                if not len(members):
-                    continue
-                node = node_of(members)
-                if chosen is not None:
-                    at = np.searchsorted(chosen, node)
-                    if at == len(chosen) or chosen[at] != node:
-                        continue
-                rows["node"].append(node)
+def _whole_sets(batches):
+    for batch in batches:
+        rows = {"node": [], "n": [], "bits": [], "members": []}
+        for text in batch.column("text").to_pylist():
+            members = shingle_set(text, _known_words())
+            if len(members):
+                rows["node"].append(node_of(members))
                 rows["n"].append(len(members))
                 rows["bits"].append(bitmap(members))
                 rows["members"].append(members.tobytes())
-            yield _batch(rows, {"node": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "members": pa.binary()})
-
-    return run
-
-
-def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, bits, members) of ``nodes`` (settled, distinct), one row each.
-    A short list of nodes goes to the workers, a long one is joined."""
+        yield _batch(rows, {"node": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "members": pa.binary()})
+
+
+def _sets_of(docs: DataFrame, base: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, bits, members), one row each, of ``nodes``. Their texts are
+    found by address before they are read; a short list of addresses is
+    broadcast, a long one joined."""
+    addresses = base.join(nodes, "node", "left_semi").select("address").distinct()
+    addresses = settle(addresses, "addresses")
+    if addresses.limit(BROADCAST_ADDRESSES + 1).count() <= BROADCAST_ADDRESSES:
+        addresses = F.broadcast(addresses)
+    texts = _texts(docs).join(addresses, "address", "left_semi").select("text")
     schema = "node long, n long, bits binary, members binary"
-    known = nodes.limit(BROADCAST_NODES + 1).count()
-    wanted = None
-    if known <= BROADCAST_NODES:
-        ids = np.sort(np.array([r.node for r in nodes.collect()], np.int64))
-        wanted = docs.sparkSession.sparkContext.broadcast(ids)
-    found = _texts(docs).mapInArrow(_wanted_sets(wanted), schema)
-    if wanted is None:
-        found = found.join(nodes, "node", "left_semi")
-    return settle(found.dropDuplicates(["node"]), "sets")
+    return settle(texts.mapInArrow(_whole_sets, schema).dropDuplicates(["node"]), "sets")
 
 
 def _keep(test):
@@ -378,7 +372,9 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     base = settle(
         _texts(docs).mapInArrow(
             _sets,
-            T.StructType([id_field, T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())]),
+            T.StructType(
+                [id_field, *[T.StructField(c, T.LongType()) for c in ("address", "n_shingles", "node")]]
+            ),
         ),
         "nodes",
     )
@@ -392,7 +388,7 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     nodes = settle(
         chain.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted-nodes"
     )
-    sets = _sets_of(docs, nodes)
+    sets = _sets_of(docs, base, nodes)
     near = settle(
         chain.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near"
     )

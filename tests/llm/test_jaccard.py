@@ -87,7 +87,7 @@ def test_chunked_tiles_give_the_same(documents, monkeypatch):
     monkeypatch.setattr(jaccard, "PAIRS_KEPT", 5)
     monkeypatch.setattr(jaccard, "FIRST_TILES", 2)
     monkeypatch.setattr(jaccard, "CHUNK", 4)
-    monkeypatch.setattr(jaccard, "BROADCAST_NODES", 5)
+    monkeypatch.setattr(jaccard, "BROADCAST_ADDRESSES", 5)
     check(documents, corpus(2, 25, 8))
 
 
