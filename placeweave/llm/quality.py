@@ -268,23 +268,29 @@ def _add_key(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(keys, same, "left").drop("k_lang", "k_source")
 
 
-def judge(stats: DataFrame) -> DataFrame:
-    """``stats`` (lang, source, stats and any others; settled, read repeatedly)
-    with ``base_failed``, ``distance`` (null without an estimate) and ``kept``.
+def estimates_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys of the (language, source) pairs and the estimate of every key, from
+    settled rows (lang, source, stats)."""
+    keys, sound = _keyed(stats)
+    x = F.array(*_vector(F.col("stats")))
+    rows = _add_key(sound.select("lang", "source", "stats"), keys).filter("key is not null")
+    return keys, mcd_estimates(settle(rows.select("key", x.alias("x")), "mcd-rows"))
+
+
+def judge(rows: DataFrame, keys: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``rows`` (lang, source, stats and any others) with ``base_failed``,
+    ``distance`` (null without an estimate) and ``kept``.
 
     Column names ``key``, ``k_lang``, ``k_source``, ``estimate``,
     ``base_failed``, ``distance`` and ``kept`` must be free."""
-    keys, sound = _keyed(stats)
     x = F.array(*_vector(F.col("stats")))
-    rows = _add_key(sound.select("lang", "source", "stats"), keys).filter("key is not null")
-    estimates = mcd_estimates(settle(rows.select("key", x.alias("x")), "mcd-rows"))
-    failed = base_failed(F.col("stats"))
-    judged = _add_key(stats, keys).join(estimates, "key", "left")
     far = F.when(
         F.col("estimate").isNotNull(), _distance(x, F.col("estimate"), len(COORDINATES))
     )
     return (
-        judged.withColumn("base_failed", failed)
+        _add_key(rows, keys)
+        .join(estimates, "key", "left")
+        .withColumn("base_failed", base_failed(F.col("stats")))
         .withColumn("distance", far)
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True)))
         .drop("key", "estimate")
@@ -296,15 +302,16 @@ def quality_report(docs: DataFrame) -> DataFrame:
     stats = settle(
         docs.select("doc_id", "lang", "source", text_stats(F.col("text")).alias("stats")), "stats"
     )
-    return judge(stats).select(
+    return judge(stats, *estimates_of(stats)).select(
         "doc_id", *[F.col("stats")[c].alias(c) for c in STATS], "base_failed", "distance", "kept"
     )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their columns and nothing else."""
+    """The documents that pass, with their columns and nothing else. Texts are
+    read twice, for the estimates and for the verdict, and never stored."""
+    narrow = docs.select("lang", "source", text_stats(F.col("text")).alias("stats"))
+    known = estimates_of(settle(narrow, "stats"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    stats = settle(
-        docs.select("lang", "source", text_stats(F.col("text")).alias("stats"), row), "stats"
-    )
-    return judge(stats).filter("kept").select("row.*")
+    rows = docs.select("lang", "source", text_stats(F.col("text")).alias("stats"), row)
+    return judge(rows, *known).filter("kept").select("row.*")
