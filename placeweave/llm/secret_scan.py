@@ -41,20 +41,66 @@ ASSIGN_LEAST = 6
 # least lengths can stand in the patterns.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+PEM = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+# Lines of a key without an END: what may stand before one (also as ``\\n`` in a
+# quoted string), header lines, and base64 of a line's usual length or less.
+PEM_LEAD = re.compile(r"""(?:\\[nrt]|[\s>#*;|"',+]|(?:--+|//+)(?=[\x20\t]))*+""")
+PEM_HEADER = re.compile(r"(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\n\\]*+")
+PEM_LINE = re.compile(r"[A-Za-z0-9+/]++={0,2}|=[A-Za-z0-9+/]{4}(?![A-Za-z0-9+/])")
+PEM_LINE_END = re.compile(r"""["',+;]*+[\x20\t]*+(?:\\[nr]|[\r\n]|\Z)""")
+PEM_LEAST = 16
 PREFIXED = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}")
 
-# Rule version to the kinds it finds.
-RULES = {"base@1": ("assign", "access", "hex"), "keys@1": ("pem", "prefixed")}
+# Rule version to the kinds it finds. keys@1 found the BEGIN line of a key only.
+RULES = {"base@1": ("assign", "access", "hex"), "keys@1.1": ("pem", "prefixed")}
 
 LEDGER_SCHEMA = "blob binary, rule_version string, findings array<struct<start:int,rank:int,end:int>>"
 
 
+def _key_end(text: str, at: int) -> int:
+    """End of the key material from ``at`` on, where no END line shows it: lines
+    of base64, of which a short one is the last."""
+    end, material = at, False
+    while True:
+        start = PEM_LEAD.match(text, end).end()
+        header = None if material else PEM_HEADER.match(text, start)
+        if header:
+            end = header.end()
+            continue
+        line = PEM_LINE.match(text, start)
+        if not line:
+            return end
+        whole = PEM_LINE_END.match(text, line.end())
+        size = line.end() - start
+        if size >= PEM_LEAST:
+            end, material = line.end(), True
+        elif whole or material and (size % 4 == 0 or line[0][0] == "="):
+            # OpenPGP has a checksum after the short line
+            checksum = PEM_LINE.match(text, PEM_LEAD.match(text, line.end()).end())
+            return checksum.end() if checksum and checksum[0][0] == "=" else line.end()
+        else:
+            return end
+
+
+def private_keys(text: str) -> list[tuple[int, int]]:
+    """Spans of private keys: from BEGIN to END, or to the end of the material
+    where the text or the next BEGIN comes before an END."""
+    spans = []
+    marks = list(PEM.finditer(text)) if "PRIVATE KEY" in text else []
+    for at, mark in enumerate(marks):
+        if mark[1] == "BEGIN":
+            closed = at + 1 < len(marks) and marks[at + 1][1] == "END"
+            spans.append((mark.start(), marks[at + 1].end() if closed else _key_end(text, mark.end())))
+    return spans
+
+
 def find(text: str, kind: str) -> list[tuple[int, int]]:
     """Spans of a kind, leftmost and non-overlapping."""
     if kind == "assign":
         return [m.span() for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
-    pattern = {"access": ACCESS, "hex": HEX, "pem": PEM, "prefixed": PREFIXED}[kind]
+    if kind == "pem":
+        return private_keys(text)
+    pattern = {"access": ACCESS, "hex": HEX, "prefixed": PREFIXED}[kind]
     return [m.span() for m in pattern.finditer(text)]
 
 

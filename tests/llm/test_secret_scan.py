@@ -1,7 +1,9 @@
 """Secret scans against the stated patterns, and the ledger's increments."""
 
 import hashlib
+import random
 import re
+import string
 
 from placeweave.llm import secret_scan
 
@@ -93,6 +95,47 @@ def test_redaction_covers_every_span(documents, odd_rows):
             assert text.startswith(parts[0]) and text.endswith(parts[-1])
 
 
+def test_no_byte_of_a_private_key_is_left(documents):
+    rng = random.Random(7)
+
+    def material(n):
+        return "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(n))
+
+    rows, keys = [], {}
+    labels = ["RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"]
+    for i, label in enumerate(labels):
+        lines = [material(64) for _ in range(25)] + [material(18) + "=="]
+        if "PGP" in label:
+            lines = ["Version: GnuPG v2", "", *lines, "=" + material(4)]
+        begin, end = f"-----BEGIN {label}-----", f"-----END {label}-----"
+        forms = [
+            "\n".join([begin, *lines, end]),
+            "\n".join([begin, *lines]),
+            "\r\n".join([begin, *lines, end]),
+            "\\n".join(['"' + begin, *lines, end + '"']),
+            "\\n".join(['"' + begin, *lines]) + '"',
+            "\n".join(f"    # {line}" for line in (begin, *lines)),
+            "\n".join(f"// {line}" for line in (begin, *lines)),
+            " ".join([begin, *lines, end]),
+            "\n".join([begin, *lines[:-1]]) + "\n" + "\n".join([begin, *lines, end]),
+        ]
+        for k, form in enumerate(forms):
+            rows.append((10 * i + k, f"Some words before.\n{form}\n\nAfter the key, more words.", "en", "s"))
+            keys[10 * i + k] = [line for line in lines if line and "GnuPG" not in line]
+    got = {r.doc_id: r.text for r in secret_scan.redact(documents(rows)).collect()}
+    for doc, lines in keys.items():
+        assert not [line for line in lines if line in got[doc]], doc
+        assert got[doc].startswith("Some words before.") and got[doc].endswith("After the key, more words.")
+        assert "BEGIN" not in got[doc] and not re.search("[A-Za-z0-9+/]{12}", got[doc])
+
+
+def test_text_after_an_open_private_key_stays():
+    begin = "-----BEGIN RSA PRIVATE KEY-----"
+    assert secret_scan.find(f"The line {begin} opens a key.", "pem") == [(9, 40)]
+    many = f"{begin}\n" * 20_000
+    assert len(secret_scan.find(many, "pem")) == 20_000
+
+
 def test_empty_table(documents):
     assert secret_scan.secret_report(documents([])).collect() == []
     assert secret_scan.redact(documents([])).collect() == []
