@@ -6,9 +6,12 @@ labels are observed, and candidate words (with digits or an at sign, or equal to
 the local part of an address of the text). Neighbouring nodes share a chain
 potential; distant nodes with the same key (the same digits, or the same local
 part) share a skip potential, so that a number that is an observed phone number
-elsewhere in the text is one here too. Loopy message passing runs over all
-documents of a batch at once; each node has at most one skip edge backwards, so
-the graph grows with the text and not with the square of its repeats.
+elsewhere in the text is one here too. A word is linked to the observed nodes of
+its key next to it on both sides, whatever stands between, or to the first node
+of its key where none is observed: evidence is one or two steps from every
+repeat, unobserved repeats don't outvote it, and the graph grows with the text
+and not with the square of its repeats. Loopy message passing runs over all
+documents of a batch at once.
 
 Shape and context weights, chain and skip potentials are fitted on the driver on
 about ``SAMPLE_DOCS`` texts of at most ``SAMPLE_BYTES`` bytes, taken by hash.
@@ -60,6 +63,7 @@ ROUNDS = 8
 DAMPING = 0.5
 CHAIN_REACH = 60  # characters between neighbours that share a potential
 ALTERED_WEIGHT = 0.15
+OBSERVED = -1e9  # of the labels that an observed node has not: no number of repeats outweighs it
 CONTEXTS = 32
 FEATURES = 22 + 2 * CONTEXTS
 
@@ -173,6 +177,21 @@ def features(text: str, start: int, end: int, piece: str | None = None) -> np.nd
     return x
 
 
+def _keys_of(text: str, nodes) -> list[str]:
+    """Key of every node. A word with digits is a repeat of an address where its
+    letters are the local part of one, wherever that stands."""
+    keys = [_key(text[s:e], None if label is None else label - 1) for s, e, label in nodes]
+    for at, (s, e, label) in enumerate(nodes):
+        if not keys[at] and label is None:
+            keys[at] = "a" + text[s:e].lower()
+    known = {k for k in keys if k[:1] == "a"}
+    for at, (s, e, label) in enumerate(nodes):
+        if label is None and keys[at][:1] == "d" and not text[s:e].isdigit():
+            as_local = "a" + text[s:e].lower()
+            keys[at] = as_local if as_local in known else keys[at]
+    return keys
+
+
 def document_graph(text: str):
     """Base spans and, where the text has candidates, nodes and edges: nodes are
     (start, end, label or None), edges (earlier, later, is skip)."""
@@ -181,19 +200,29 @@ def document_graph(text: str):
     if not words:
         return base, [], []
     nodes = sorted([(s, e, k + 1) for k, s, e in base] + [(s, e, None) for s, e in words], key=lambda n: n[:2])
-    edges, last = [], {}
-    for at, (start, end, label) in enumerate(nodes):
+    keys = _keys_of(text, nodes)
+    edges, after, first, following = [], {}, {}, []
+    for at in range(len(nodes) - 1, -1, -1):
+        following.append(after.get(keys[at]))
+        first[keys[at]] = at
+        if nodes[at][2] is not None:
+            after[keys[at]] = at
+    following.reverse()
+    before = {}
+    for at, (start, _, label) in enumerate(nodes):
         if at and start - nodes[at - 1][1] <= CHAIN_REACH:
             edges.append((at - 1, at, 0))
-        key = _key(text[start:end], None if label is None else label - 1)
-        if not key and label is None:
-            key = "a" + text[start:end].lower()
-        elif label is None and "@" not in text[start:end] and not text[start:end].isdigit() and ("a" + text[start:end].lower()) in last:
-            key = "a" + text[start:end].lower()
-        if key:
-            if key in last and last[key] != at:
-                edges.append((last[key], at, 1))
-            last[key] = at
+        key = keys[at]
+        if not key:
+            continue
+        if key in before:
+            edges.append((before[key], at, 1))
+        if label is not None:
+            before[key] = at
+        elif following[at] is not None:
+            edges.append((at, following[at], 1))
+        elif key not in before and first[key] != at:
+            edges.append((first[key], at, 1))
     return base, nodes, edges
 
 
@@ -285,7 +314,7 @@ def read_texts(texts: list[str], model: dict[str, np.ndarray]):
             if label is None:
                 unary.append(features(text, s, e) @ model["weights"])
             else:
-                unary.append(np.where(np.arange(len(LABELS)) == label, 0.0, -30.0))
+                unary.append(np.where(np.arange(len(LABELS)) == label, 0.0, OBSERVED))
         edges += [(first + u, first + v, t) for u, v, t in links]
     added = [[] for _ in texts]
     if owners:

@@ -86,6 +86,33 @@ def test_repeats_of_observed_data_are_added():
     assert none == []
 
 
+def test_every_repeat_of_an_observed_datum_is_found():
+    rng = random.Random(4)
+    texts = []
+    for _ in range(300):
+        n = "".join(rng.choice("0123456789") for _ in range(7))
+        both = f"+1 (201) 555-{n[:4]} then more, number {n} and jo.x{n[:2]}@mail.example.com end"
+        texts.append(f"words here {both}, once again {both}")
+    model = pii.fit(texts)
+    filler = "some words lie in between here and there " * 3
+    cases = [
+        ("+1 (201) 555-7788", "12015557788"),
+        ("mary.k77@mail.example.com", "mary.k77"),
+        ("jo1234567@mail.example.com", "jo1234567"),
+    ]
+    for whole, short in cases:
+        for before, after in ((0, 1), (0, 50), (50, 0), (25, 25)):
+            text = filler + f"{short} {filler}" * before + f"{whole} {filler}" + f"{short} {filler}" * after
+            ((base, added),) = pii.read_texts([text], model)
+            assert named(base) == brute(text)
+            assert [text[s:e] for _, s, e in added] == [short] * (before + after), (whole, before, len(added))
+    # linear in the text, and numbers that nothing observes stay out
+    text = "order 20394857 " * 2000
+    _, nodes, edges = pii.document_graph(text)
+    assert len(nodes) == 2000 and len(edges) < 3 * 2000
+    assert pii.read_texts([text], model)[0][1] == []
+
+
 def test_messages_match_exact_marginals_on_a_tree():
     import itertools
 
