@@ -11,6 +11,12 @@ A line break ends a sentence unless the next line goes on in lower case, so
 licence texts may be wrapped. All of it is column expressions on one row: no
 shuffle, whatever the source of a document holds.
 
+Licence texts of several sentences are also looked for as runs of words in the
+whole text, whatever its line breaks, indents, comment marks, list marks and
+capitals; ``licences`` has what either way finds, and MIT for its title on a line
+of its own. Counts and sequence are those of the sentences as cut above, and so
+is the SQL, which doesn't know the runs or the title.
+
 Defined cases: null and empty texts have no sentences and no licences; repeated
 rows are scanned alike; an empty table gives an empty table; a sentence that is
 repeated is in the sequence as often.
@@ -79,6 +85,23 @@ RULES = [
     ("CC0-1.0", ("cc0-notice",)),
 ]
 
+# Beyond the sequence: licence texts in any layout (wrapped, indented, commented,
+# with list marks), found as runs of words. Wordings that sentences don't give:
+RUNS = {
+    "apache-grant-asf": "licenses this file to you under the apache license version 2 0 the license",
+    "apache-copy-https": "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    "mit-as-is-2": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and non infringement",
+}
+SAME_AS = {
+    "apache-grant-asf": "apache-grant",
+    "apache-copy-https": "apache-copy",
+    "mit-as-is-2": "mit-as-is",
+}
+TITLE_RULE = ("MIT", "|mit-title|")
+COMMENT_WORD = "(?im)^[\\x20\\x09]*(?:dnl|rem|c)(?=[\\x20\\x09])"
+NAMED = "neither the name of (?:[a-z0-9]+ ){1,16}?nor the names of its contributors "
+NAMED_AS = "neither the name of the copyright holder nor the names of its contributors "
+
 BREAK = "\x01"
 # Three passes, the same ones in the SQL below: ends of sentences, line breaks
 # that don't go on in lower case, then everything but letters and digits.
@@ -107,6 +130,23 @@ def _known(found: Column) -> Column:
     return F.array_compact(ids)
 
 
+def _run_sequence(text: Column) -> Column:
+    """Identifiers of the long licence sentences (those of rules of more than one)
+    found as runs of words, in order, as ``|a|b|``."""
+    long = {i for _, ids in RULES if len(ids) > 1 for i in ids}
+    runs = {s: i for i, s in SENTENCES.items() if i in long} | {s: SAME_AS[i] for i, s in RUNS.items()}
+    table = F.create_map(*[F.lit(v) for v in chain(*runs.items())])
+    # of two runs that start alike, the longer one
+    any_run = " (" + "|".join(sorted(runs, key=len, reverse=True)) + ")(?= )"
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), COMMENT_WORD, " ")
+    plain = F.concat(F.lit(" "), F.lower(F.regexp_replace(bare, "[^A-Za-z0-9]+", " ")), F.lit(" "))
+    plain = F.regexp_replace(plain, NAMED, NAMED_AS)
+    found = F.regexp_extract_all(plain, F.lit(any_run), F.lit(1))
+    ids = F.transform(found, lambda s: F.try_element_at(table, s))
+    wanted = F.lower(F.coalesce(text, F.lit(""))).rlike("permission|redistribution|apache|free software")
+    return F.when(wanted, F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))).otherwise(F.lit("|"))
+
+
 def _sequence_text(ids: tuple[str, ...]) -> str:
     return "|" + "|".join(ids) + "|"
 
@@ -124,16 +164,29 @@ def scan(text: Column) -> Column:
     """Struct: n_sentences, n_known, sequence, licences (sorted, by comma)."""
     rules = list(rule_names())
 
-    def matched(state: Column) -> Column:
+    def hits(ids: Column) -> list[Column]:
         # each longer rule is taken out before the rules inside it are looked for
         found = []
         for rule in rules:
             sequence, longer = _hit(rule, rules)
-            rest = state["sequence"]
+            rest = ids
             for other in longer:
                 rest = F.replace(rest, F.lit(other), F.lit("|"))
             found.append(F.when(F.contains(rest, F.lit(sequence)), F.lit(rule_names()[rule])))
-        names = F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
+        return found
+
+    def matched(state: Column) -> Column:
+        name, title = TITLE_RULE
+        found = [*hits(state["sequence"]), F.when(F.contains(state["sequence"], F.lit(title)), F.lit(name))]
+        # nothing by runs without a run: most texts
+        by_runs = bind(state["runs"], lambda ids: F.when(ids != "|", F.array(*hits(ids))))
+        # a licence text that runs show whole isn't also the shorter one inside it
+        names = F.array_compact(F.concat(F.array(*found), F.coalesce(by_runs, F.array().cast("array<string>"))))
+        cut_short = F.coalesce(F.array_contains(by_runs, "BSD-3-Clause"), F.lit(False)) & ~F.coalesce(
+            F.array_contains(by_runs, "BSD-2-Clause"), F.lit(False)
+        )
+        names = F.when(cut_short, F.array_remove(names, "BSD-2-Clause")).otherwise(names)
+        names = F.array_sort(F.array_distinct(names))
         return F.struct(
             state["n_sentences"].alias("n_sentences"),
             state["n_known"].alias("n_known"),
@@ -149,6 +202,7 @@ def scan(text: Column) -> Column:
             F.size(found).cast("long").alias("n_sentences"),
             F.size(ids).cast("long").alias("n_known"),
             joined.alias("sequence"),
+            _run_sequence(text).alias("runs"),
         )
 
     return bind(
