@@ -10,9 +10,10 @@ probability over its words, which is its score.
 
 The field is fitted on the driver by its exact likelihood, on word sequences
 that are put together from pieces of about ``SAMPLE_PER_LANG`` texts per
-language (taken by hash among labelled texts of at most ``SAMPLE_BYTES`` bytes
-outside the held-out third). Prediction reads every text whole, in one pass
-without a shuffle, in windows of ``WINDOW`` words with ``CONTEXT`` words of
+language (taken by hash among labelled texts outside the held-out third; of those
+of more than ``SAMPLE_BYTES`` bytes, an excerpt of about that size). Prediction
+reads every text whole, words of more than ``LONGEST_WORD`` characters as
+consecutive pieces, in one pass without a shuffle, in windows of ``WINDOW`` words with ``CONTEXT`` words of
 context on both sides, so the longest text needs no more memory than others.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0,
@@ -59,8 +60,19 @@ EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 def plain(word: str) -> str:
     """A word without what surrounds its letters, in lower case."""
-    word = (word if word.isalpha() else EDGES.sub("", word)).lower()
-    return word if len(word) <= LONGEST_WORD else word[: LONGEST_WORD // 2] + word[-LONGEST_WORD // 2 :]
+    word = word if word.isalpha() else EDGES.sub("", word)
+    low = word.lower()
+    # a capital that would become two characters stays one
+    return low if len(low) <= LONGEST_WORD else "".join(c.lower()[0] for c in word)
+
+
+def split_words(text: str) -> list[str]:
+    """Words of a text; runs of more than ``LONGEST_WORD`` characters (scripts
+    without spaces, above all) as consecutive pieces."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST_WORD:
+        return words
+    return [w[k : k + LONGEST_WORD] for w in words for k in range(0, len(w), LONGEST_WORD)]
 
 
 def feature_table(words: list[str]) -> np.ndarray:
@@ -184,7 +196,7 @@ def training_sequences(sample, languages, rng):
 
 def fit(rows: list[tuple[str, str]]) -> Model | None:
     """The model from (lang, text) rows; None without a word to learn from."""
-    sample = [(lang, [w for w in map(plain, text.split()) if w]) for lang, text in rows]
+    sample = [(lang, [w for w in map(plain, split_words(text)) if w]) for lang, text in rows]
     sample = [(lang, words) for lang, words in sample if words]
     languages = sorted({lang for lang, _ in sample})
     if not languages:
@@ -302,7 +314,7 @@ def _report(model: Model | None):
                     own.append(known[at])
                     held += len(texts[known[at]]) // 5
                     at += 1
-                found, letters = labeller.probabilities([texts[i].split() for i in own])
+                found, letters = labeller.probabilities([split_words(texts[i]) for i in own])
                 for i, p, has in zip(own, found, letters):
                     if has.any():
                         p = p[has]
@@ -335,9 +347,16 @@ def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
     usable = docs.filter((remainder(F.col("doc_id")) != 1) & F.col("lang").isNotNull())
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     luck = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
+    # of a long text an excerpt of about that size, from a place by its hash, less
+    # the words that its ends cut
+    size, letters = F.octet_length("text"), F.char_length("text")
+    width = F.floor(F.lit(float(SAMPLE_BYTES)) * letters / size).cast("int")
+    start = F.pmod(F.xxhash64("text", F.lit("excerpt")), F.greatest(letters - width, F.lit(1))).cast("int") + 1
+    excerpt = F.regexp_replace(F.substr("text", start, width), "^\\S{1,32}\\s|\\s\\S{1,32}$", "")
+    text = F.when(size <= SAMPLE_BYTES, F.col("text")).otherwise(excerpt).alias("text")
     chosen = (
-        usable.select("lang", "text", luck.alias("luck"))
-        .filter(F.octet_length("text") <= SAMPLE_BYTES)
+        usable.filter(F.octet_length("text").isNotNull())
+        .select("lang", text, luck.alias("luck"))
         .join(settle(sizes, "languages"), "lang")
         .filter(F.col("luck") * F.col("n") < SAMPLE_PER_LANG)
     )
@@ -362,8 +381,8 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 
 def label_words(model: Model, texts: list[str]) -> list[list[tuple[str, str]]]:
-    """(word, language) of the words of each text."""
-    split = [t.split() for t in texts]
+    """(word, language) of the words and pieces of each text."""
+    split = [split_words(t) for t in texts]
     found, _ = Labeller(model).probabilities(split)
     return [
         [(w, model.languages[k]) for w, k in zip(words, p.argmax(1))] for words, p in zip(split, found)

@@ -73,6 +73,32 @@ def test_windows_change_nothing_of_note(monkeypatch):
     assert np.abs(whole - cut).max() < 0.01
 
 
+def test_long_runs_are_read_whole():
+    rows = [(lang, text) for _, text, lang, _ in corpus(300, 2)]
+    model = langid.fit(rows)
+    rng = random.Random(5)
+    ends, middle = text_of(rng, "bb", 4).replace(" ", ""), text_of(rng, "aa", 400).replace(" ", "")
+    run = ends[:16] + middle + ends[-16:]
+    assert "".join(langid.split_words(run)) == run and max(map(len, langid.split_words(run))) <= 32
+    labels = [l for _, l in langid.label_words(model, [run])[0]]
+    assert np.mean([l == "aa" for l in labels]) > 0.9
+    assert langid.split_words(" a  bc\n") == ["a", "bc"]
+    assert len(langid.plain("\u0130" * 32)) == 32
+
+
+def test_languages_of_long_texts_only_are_learned(documents):
+    rng = random.Random(8)
+    rows = [(i, text_of(rng, "aa", 40), "aa", "s") for i in range(60)]
+    rows += [(100 + i, text_of(rng, "bb", 3000), "bb", "s") for i in range(20)]
+    assert all(len(t) > langid.SAMPLE_BYTES for _, t, lang, _ in rows if lang == "bb")
+    docs = documents(rows)
+    sample = langid.training_rows(docs)
+    assert {lang for lang, _ in sample} == {"aa", "bb"}
+    assert max(len(t) for _, t in sample) <= langid.SAMPLE_BYTES
+    got = {r.doc_id: r.lang_pred for r in langid.language_report(docs).collect()}
+    assert all(got[d] == lang for d, _, lang, _ in rows)
+
+
 def test_nothing_to_learn_from(documents):
     assert langid.language_report(documents([])).collect() == []
     got = langid.language_report(documents([(1, "words here", None, "s"), (3, "more", None, "s")])).collect()
