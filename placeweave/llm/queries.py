@@ -14,6 +14,7 @@ from placeweave.llm import (
     pii,
     quality,
     secret_scan,
+    token_alignment,
     token_trees,
 )
 from placeweave.plans.registry import table
@@ -63,6 +64,10 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_report(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_secret_scans": op2_secret_scans,
@@ -74,6 +79,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_license_scans": op10_license_scans,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLES: dict[str, str] = {"op10_license_scans": licenses.oracle_sql()}
