@@ -8,6 +8,7 @@ from placeweave.llm import (
     embeddings,
     jaccard,
     langid,
+    lexical_search,
     licenses,
     mixing,
     packing,
@@ -68,6 +69,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_report(_documents(spark, sf_dir))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_secret_scans": op2_secret_scans,
@@ -80,6 +85,10 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_license_scans": op10_license_scans,
     "op11_token_alignment": op11_token_alignment,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLES: dict[str, str] = {"op10_license_scans": licenses.oracle_sql()}
+ORACLES: dict[str, str] = {
+    "op10_license_scans": licenses.oracle_sql(),
+    "op13_lexical_search": lexical_search.oracle_sql(),
+}
