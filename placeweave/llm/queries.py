@@ -15,6 +15,7 @@ from placeweave.llm import (
     pii,
     quality,
     secret_scan,
+    substring_dedup,
     token_alignment,
     token_trees,
 )
@@ -69,6 +70,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_report(_documents(spark, sf_dir))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_report(_documents(spark, sf_dir))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -85,10 +90,12 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_license_scans": op10_license_scans,
     "op11_token_alignment": op11_token_alignment,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op10_license_scans": licenses.oracle_sql(),
+    "op12_substring_dedup": substring_dedup.oracle_sql(),
     "op13_lexical_search": lexical_search.oracle_sql(),
 }
