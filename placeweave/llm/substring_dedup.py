@@ -442,7 +442,7 @@ def repeated_passages(
 def oracle_sql() -> str:
     return """
 with docs as (
-    select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\x09-\\x0D]+'), x -> x <> '') as words
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+') as words
     from documents
 ),
 windows as (
