@@ -73,3 +73,18 @@ def discard(*settled: DataFrame) -> None:
     for df in settled:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._settled_at)
         path.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Results that one computation settles and later deletes together."""
+
+    def __init__(self) -> None:
+        self.held: list[DataFrame] = []
+
+    def settle(self, df: DataFrame, label: str = "settled") -> DataFrame:
+        self.held.append(settle(df, label))
+        return self.held[-1]
+
+    def clear(self) -> None:
+        discard(*self.held)
+        self.held = []
