@@ -51,13 +51,17 @@ PAIRS_AT_ONCE = 1 << 15
 STEP = 2.0**-20
 
 
-@lru_cache
+# Plain dictionaries: they travel to workers with the functions that use them.
+_ROTATIONS: dict[int, np.ndarray] = {}
+
+
 def rotation(width: int) -> np.ndarray:
-    q, r = np.linalg.qr(np.random.default_rng(SEED).normal(size=(width, width)))
-    return q * np.sign(np.diag(r))
+    if width not in _ROTATIONS:
+        q, r = np.linalg.qr(np.random.default_rng(SEED).normal(size=(width, width)))
+        _ROTATIONS[width] = q * np.sign(np.diag(r))
+    return _ROTATIONS[width]
 
 
-@lru_cache
 def blocks(width: int) -> list[tuple[int, int, float, int]]:
     """(start, end, range, largest whole squared distance) of each block."""
     out = []

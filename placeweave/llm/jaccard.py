@@ -1,9 +1,11 @@
 """N-gram Jaccard join: size-banded tiles, bitmap bounds, exact intersections.
 
-A document's set holds 64-bit hashes of its four-word shingles. Two sets link
-when their Jaccard similarity is at least 0.85. Sizes of linked sets differ by
-less than one band, where a band's upper end is its lower end over 0.85, so
-linked sets share one of the overlapping pairs of neighbouring bands.
+A document's set holds 64-bit hashes of its shingles of ``words`` words. Two
+sets link when their Jaccard similarity is at least ``percent`` percent (a
+``Rule``; four words and 85 unless another is given). Sizes of linked sets
+differ by less than one band, where a band's upper end is its lower end over the
+similarity, so linked sets share one of the overlapping pairs of neighbouring
+bands.
 
 Inside a pair of bands the difference of two linked sets has at most H members.
 The hash range is cut into more than H slices: linked sets agree in all of some
@@ -19,7 +21,7 @@ a slice mixes the passage with the rest of the text.
    between sets of different components is missed.
 
 Defined cases: null and blank texts have an empty set, link with nothing and
-are their own component; fewer than four words make one shingle of them all;
+are their own component; fewer words than a shingle has make one of them all;
 rows with equal sets are one node, whatever their ids; a null id stays null
 unless a linked row has an id; an empty table gives an empty table. Two shingles
 or sets count as equal when their 64-bit hashes are.
@@ -27,23 +29,22 @@ or sets count as equal when their 64-bit hashes are.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import bisect
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeweave.functions.shipping import ship_by_value
 from placeweave.llm.components import connected
 from placeweave.llm.tokenizing import kept_by_worker
-from placeweave.session import settle
+from placeweave.session import Scratch, discard, settle
 
 ship_by_value(__name__)
 
-SHINGLE = 4
-# Links: 100 * common >= 85 * union, that is 37 * common >= 17 * (sum of sizes).
 CHUNK = 512
 PAIRS_KEPT = 200_000
 FIRST_TILES = 12
@@ -70,64 +71,91 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: bytes, words: dict) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text in UTF-8. ``bytes`` lower-cases
-    A-Z and splits at the six white-space characters, no others."""
-    tokens = text.lower().split()
-    if not tokens:
-        return np.empty(0, np.uint64)
-    codes = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
-    width = min(SHINGLE, len(codes))
-    total = np.full(len(codes) - width + 1, np.uint64(width))
-    for k in range(width):
-        total += codes[k : len(codes) - width + 1 + k] * STEPS[k]
-    return np.unique(_mix(total))
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least similarity of linked sets in percent:
+    100 * common >= percent * union."""
+
+    words: int = 4
+    percent: int = 85
+    band_starts: list = field(default_factory=list, compare=False, repr=False)
+
+    def __post_init__(self):
+        self.band_starts.append(1)
+        while self.band_starts[-1] < 1 << 40:
+            self.band_starts.append(self.band_starts[-1] * 100 // self.percent + 1)
+
+    def shingle_set(self, text: bytes, words: dict) -> np.ndarray:
+        """Sorted distinct shingle hashes of a text in UTF-8. ``bytes`` lower-cases
+        A-Z and splits at the six white-space characters, no others."""
+        tokens = text.lower().split()
+        if not tokens:
+            return np.empty(0, np.uint64)
+        codes = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
+        width = min(self.words, len(codes))
+        total = np.full(len(codes) - width + 1, np.uint64(width))
+        for k in range(width):
+            step = STEPS[k % len(STEPS)] + np.uint64(2 * (k // len(STEPS)))
+            total += codes[k : len(codes) - width + 1 + k] * step
+        return np.unique(_mix(total))
+
+    def slices_of(self, band: int) -> tuple[int, int]:
+        """Slices of the pair (band, band + 1), and how many may be empty in a set
+        before empty slices count as content too. No slices: only equal sets link."""
+        largest = self.band_starts[band + 1] - 1
+        both = largest + largest * 100 // self.percent
+        differing = both * (100 - self.percent) // (100 + self.percent)
+        spare = 1 + differing // 12
+        return (differing + 1 + spare, spare) if differing else (0, 0)
+
+    def tile_keys(self, members: np.ndarray) -> np.ndarray:
+        """Tiles of a set: at least one is common to two sets that link."""
+        band = bisect.bisect_right(self.band_starts, len(members)) - 1
+        mixed = _mix(members ^ np.uint64(0x5851F42D4C957F2D))
+        out = []
+        for first in (band, band - 1):
+            count, spare = self.slices_of(first) if first >= 0 else (0, 0)
+            if not count:
+                continue
+            part = ((members >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            sums = np.add.reduceat(mixed, starts)
+            where = part[starts]
+            if count - len(where) > spare:
+                empty = np.setdiff1d(np.arange(count, dtype=np.uint64), where)
+                where = np.concatenate((where, empty))
+                sums = np.concatenate((sums, np.zeros(len(empty), np.uint64)))
+            place = where * STEPS[0] + np.uint64(first * int(STEPS[1]) % (1 << 64))
+            out.append(_mix(_mix(sums + place) + place))
+        return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
+    def sizes_fit(self, n_a: int, n_b: int) -> bool:
+        return 100 * min(n_a, n_b) >= self.percent * max(n_a, n_b)
 
-@lru_cache
-def band_starts() -> list[int]:
-    starts = [1]
-    while starts[-1] < 1 << 40:
-        starts.append(starts[-1] * 20 // 17 + 1)
-    return starts
+    def enough(self, common: int, n_a: int, n_b: int) -> bool:
+        return (100 + self.percent) * common >= self.percent * (n_a + n_b)
 
+    def may_link(self, n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> bool:
+        """Whether the bound on the overlap leaves a link possible."""
+        width = 8 * min(len(bits_a), len(bits_b))
+        a = _folded(int.from_bytes(bits_a, "little"), 8 * len(bits_a), width)
+        b = _folded(int.from_bytes(bits_b, "little"), 8 * len(bits_b), width)
+        common = (a & b).bit_count()
+        return self.enough(min(n_a - a.bit_count(), n_b - b.bit_count()) + common, n_a, n_b)
 
-def slices_of(band: int) -> tuple[int, int]:
-    """Slices of the pair (band, band + 1), and how many may be empty in a set
-    before empty slices count as content too. No slices: only equal sets link."""
-    largest = band_starts()[band + 1] - 1
-    differing = (largest + largest * 20 // 17) * 3 // 37
-    spare = 1 + differing // 12
-    return (differing + 1 + spare, spare) if differing else (0, 0)
+    def links(self, a: np.ndarray, b: np.ndarray) -> bool:
+        return self.enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
 
+    def members_link(self, a: bytes, b: bytes) -> bool:
+        return self.links(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
 
-def node_of(members: np.ndarray) -> int:
-    """Address of a set (signed, as Spark's longs are)."""
-    return int(_mix(np.array([_mix(members).sum() + np.uint64(len(members))], np.uint64)).view(np.int64)[0])
 
+RULE = Rule()
 
-def tile_keys(members: np.ndarray) -> np.ndarray:
-    """Tiles of a set: at least one is common to two sets that link."""
-    import bisect
 
-    band = bisect.bisect_right(band_starts(), len(members)) - 1
-    mixed = _mix(members ^ np.uint64(0x5851F42D4C957F2D))
-    out = []
-    for first in (band, band - 1):
-        count, spare = slices_of(first) if first >= 0 else (0, 0)
-        if not count:
-            continue
-        part = ((members >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        sums = np.add.reduceat(mixed, starts)
-        where = part[starts]
-        if count - len(where) > spare:
-            empty = np.setdiff1d(np.arange(count, dtype=np.uint64), where)
-            where = np.concatenate((where, empty))
-            sums = np.concatenate((sums, np.zeros(len(empty), np.uint64)))
-        place = where * STEPS[0] + np.uint64(first * int(STEPS[1]) % (1 << 64))
-        out.append(_mix(_mix(sums + place) + place))
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+def node_of(members: np.ndarray) -> int:
+    """Address of a set (signed, as Spark's longs are)."""
+    return int(_mix(np.array([_mix(members).sum() + np.uint64(len(members))], np.uint64)).view(np.int64)[0])
 
 
 def bitmap(members: np.ndarray) -> bytes:
@@ -145,21 +173,6 @@ def _folded(bits: int, width: int, to: int) -> int:
     return bits
 
 
-def may_link(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> bool:
-    """Whether the bound on the overlap leaves a link possible."""
-    width = 8 * min(len(bits_a), len(bits_b))
-    a = _folded(int.from_bytes(bits_a, "little"), 8 * len(bits_a), width)
-    b = _folded(int.from_bytes(bits_b, "little"), 8 * len(bits_b), width)
-    common = (a & b).bit_count()
-    most = min(n_a - a.bit_count(), n_b - b.bit_count()) + common
-    return 37 * most >= 17 * (n_a + n_b)
-
-
-def links(a: np.ndarray, b: np.ndarray) -> bool:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 37 * common >= 17 * (len(a) + len(b))
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", F.encode(text, "utf-8").alias("text"), F.xxhash64(text).alias("address"))
@@ -178,40 +191,46 @@ def _batch(columns: dict, kinds: dict) -> pa.RecordBatch:
     )
 
 
-def _sets(batches):
-    for batch in batches:
-        sizes, nodes = [], []
-        for text in batch.column("text").to_pylist():
-            members = shingle_set(text, _known_words())
-            sizes.append(len(members))
-            nodes.append(node_of(members) if len(members) else None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("address"),
-                pa.array(sizes, pa.int64()),
-                pa.array(nodes, pa.int64()),
-            ],
-            names=["doc_id", "address", "n_shingles", "node"],
-        )
-
-
-def _tile_rows(batches):
-    for batch in batches:
-        keys, nodes, sizes = [], [], []
-        for text in batch.column("text").to_pylist():
-            members = shingle_set(text, _known_words())
-            if not len(members):
-                continue
-            own = tile_keys(members)
-            keys.append(own)
-            nodes.append(np.full(len(own), node_of(members)))
-            sizes.append(np.full(len(own), len(members), np.int32))
-        if keys:
+def _sets(rule: Rule):
+    def run(batches):
+        for batch in batches:
+            sizes, nodes = [], []
+            for text in batch.column("text").to_pylist():
+                members = rule.shingle_set(text, _known_words())
+                sizes.append(len(members))
+                nodes.append(node_of(members) if len(members) else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(v)) for v in (keys, sizes, nodes)], names=["key", "n", "node"]
+                [
+                    batch.column("doc_id"),
+                    batch.column("address"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(nodes, pa.int64()),
+                ],
+                names=["doc_id", "address", "n_shingles", "node"],
             )
 
+    return run
+
+
+def _tile_rows(rule: Rule):
+    def run(batches):
+        for batch in batches:
+            keys, nodes, sizes = [], [], []
+            for text in batch.column("text").to_pylist():
+                members = rule.shingle_set(text, _known_words())
+                if not len(members):
+                    continue
+                own = rule.tile_keys(members)
+                keys.append(own)
+                nodes.append(np.full(len(own), node_of(members)))
+                sizes.append(np.full(len(own), len(members), np.int32))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(v)) for v in (keys, sizes, nodes)], names=["key", "n", "node"]
+                )
+
+    return run
+
 
 def _neighbours(batches):
     """Pairs of different nodes that follow each other in a tile; rows come
@@ -231,30 +250,33 @@ def _neighbours(batches):
             )
 
 
-def _whole_sets(batches):
-    for batch in batches:
-        rows = {"node": [], "n": [], "bits": [], "members": []}
-        for text in batch.column("text").to_pylist():
-            members = shingle_set(text, _known_words())
-            if len(members):
-                rows["node"].append(node_of(members))
-                rows["n"].append(len(members))
-                rows["bits"].append(bitmap(members))
-                rows["members"].append(members.tobytes())
-        yield _batch(rows, {"node": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "members": pa.binary()})
-
-
-def _sets_of(docs: DataFrame, base: DataFrame, nodes: DataFrame) -> DataFrame:
+def _whole_sets(rule: Rule):
+    def run(batches):
+        for batch in batches:
+            rows = {"node": [], "n": [], "bits": [], "members": []}
+            for text in batch.column("text").to_pylist():
+                members = rule.shingle_set(text, _known_words())
+                if len(members):
+                    rows["node"].append(node_of(members))
+                    rows["n"].append(len(members))
+                    rows["bits"].append(bitmap(members))
+                    rows["members"].append(members.tobytes())
+            yield _batch(rows, {"node": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "members": pa.binary()})
+
+    return run
+
+
+def _sets_of(docs: DataFrame, base: DataFrame, nodes: DataFrame, rule: Rule, held: Scratch) -> DataFrame:
     """(node, n, bits, members), one row each, of ``nodes``. Their texts are
     found by address before they are read; a short list of addresses is
     broadcast, a long one joined."""
     addresses = base.join(nodes, "node", "left_semi").select("address").distinct()
-    addresses = settle(addresses, "addresses")
+    addresses = held.settle(addresses, "addresses")
     if addresses.limit(BROADCAST_ADDRESSES + 1).count() <= BROADCAST_ADDRESSES:
         addresses = F.broadcast(addresses)
     texts = _texts(docs).join(addresses, "address", "left_semi").select("text")
     schema = "node long, n long, bits binary, members binary"
-    return settle(texts.mapInArrow(_whole_sets, schema).dropDuplicates(["node"]), "sets")
+    return held.settle(texts.mapInArrow(_whole_sets(rule), schema).dropDuplicates(["node"]), "sets")
 
 
 def _keep(test):
@@ -270,11 +292,7 @@ def _keep(test):
     return run
 
 
-def _members_link(a: bytes, b: bytes) -> bool:
-    return links(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule, held: Scratch) -> DataFrame:
     """The linked ones of ``pairs`` (a, b), settled: bitmaps first."""
     kind = "a long, b long"
 
@@ -284,68 +302,70 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             rows = rows.join(side, end)
         return rows.select("a", "b", *[f"{c}_{end}" for end in ("a", "b") for c in columns])
 
-    possible = settle(with_columns(pairs, "n", "bits").mapInArrow(_keep(may_link), kind), "possible")
-    return settle(with_columns(possible, "members").mapInArrow(_keep(_members_link), kind), "links")
+    possible = held.settle(with_columns(pairs, "n", "bits").mapInArrow(_keep(rule.may_link), kind), "possible")
+    return held.settle(with_columns(possible, "members").mapInArrow(_keep(rule.members_link), kind), "links")
 
 
-def _cross_pairs(batches):
+def _cross_pairs(rule: Rule):
     """Pairs of nodes of different components in each tile whose bitmaps leave a
     link possible; rows come sorted by key and tile. A tile of two chunks has
     rows of side 0 and 1, met across. A pair is left to an earlier tile where the
     nodes' lists of their first tiles show one; in the first tile that they
     share they never do, so every pair is looked at."""
-    held: list[dict] = []
-    seen: set = set()
-    at = None
-
-    def pairs(rows):
-        earlier = [{k for k in x["firsts"] if k < x["key"]} for x in rows]
-        for i, x in enumerate(rows):
-            for j in range(i + 1, len(rows)):
-                y = rows[j]
-                if x["component"] == y["component"] or x["across"] and x["side"] == y["side"]:
-                    continue
-                # both are in an earlier tile, where they are looked at
-                if not earlier[i].isdisjoint(earlier[j]):
-                    continue
-                small, large = sorted((x["n"], y["n"]))
-                if 20 * small < 17 * large:
-                    continue
-                pair = (x["node"], y["node"]) if x["node"] < y["node"] else (y["node"], x["node"])
-                if pair not in seen:
-                    seen.add(pair)
-                    if may_link(x["n"], x["bits"], y["n"], y["bits"]):
-                        yield pair
-
-    def flush(out):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"]
-        )
+    def run(batches):
+        held: list[dict] = []
+        seen: set = set()
+        at = None
+
+        def pairs(rows):
+            earlier = [{k for k in x["firsts"] if k < x["key"]} for x in rows]
+            for i, x in enumerate(rows):
+                for j in range(i + 1, len(rows)):
+                    y = rows[j]
+                    if x["component"] == y["component"] or x["across"] and x["side"] == y["side"]:
+                        continue
+                    # both are in an earlier tile, where they are looked at
+                    if not earlier[i].isdisjoint(earlier[j]):
+                        continue
+                    if not rule.sizes_fit(x["n"], y["n"]):
+                        continue
+                    pair = (x["node"], y["node"]) if x["node"] < y["node"] else (y["node"], x["node"])
+                    if pair not in seen:
+                        seen.add(pair)
+                        if rule.may_link(x["n"], x["bits"], y["n"], y["bits"]):
+                            yield pair
+
+        def flush(out):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
 
-    out: set = set()
-    for batch in batches:
-        for row in batch.to_pylist():
-            here = row["key"], row["tile"]
-            if here != at:
-                out.update(pairs(held))
-                held, at = [], here
-            held.append(row)
-        if len(seen) > PAIRS_KEPT:
-            yield flush(out)
-            out.clear()
-            seen.clear()
-    out.update(pairs(held))
-    yield flush(out)
-
-
-def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
+        out: set = set()
+        for batch in batches:
+            for row in batch.to_pylist():
+                here = row["key"], row["tile"]
+                if here != at:
+                    out.update(pairs(held))
+                    held, at = [], here
+                held.append(row)
+            if len(seen) > PAIRS_KEPT:
+                yield flush(out)
+                out.clear()
+                seen.clear()
+        out.update(pairs(held))
+        yield flush(out)
+
+    return run
+
+
+def _tiles(members: DataFrame, sets: DataFrame, held: Scratch) -> DataFrame:
     """Rows of tiles with their bitmaps and their first tiles, large tiles as
     pairs of chunks."""
     firsts = members.groupBy("node").agg(
         F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_TILES).alias("firsts")
     )
-    about = settle(sets.select("node", "bits").join(firsts, "node"), "tile-nodes")
-    sizes = settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "tile-sizes")
+    about = held.settle(sets.select("node", "bits").join(firsts, "node"), "tile-nodes")
+    sizes = held.settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "tile-sizes")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     return (
         members.join(sizes, "key")
@@ -366,36 +386,38 @@ def _tiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def shingle_components(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id)."""
-    id_field = docs.schema["doc_id"]
-    base = settle(
+def _owned(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(doc_id, address, n_shingles, component) per row; component: a node, null
+    without words. Settled, everything on the way to it deleted."""
+    held = Scratch()
+    base = held.settle(
         _texts(docs).mapInArrow(
-            _sets,
+            _sets(rule),
             T.StructType(
-                [id_field, *[T.StructField(c, T.LongType()) for c in ("address", "n_shingles", "node")]]
+                [docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("address", "n_shingles", "node")]]
             ),
         ),
         "nodes",
     )
-    rows = _texts(docs).select("text").mapInArrow(_tile_rows, "key long, n int, node long")
-    chain = settle(
+    rows = _texts(docs).select("text").mapInArrow(_tile_rows(rule), "key long, n int, node long")
+    chain = held.settle(
         rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(
             _neighbours, "key long, a long, b long"
         ),
         "neighbours",
     )
-    nodes = settle(
+    nodes = held.settle(
         chain.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted-nodes"
     )
-    sets = _sets_of(docs, base, nodes)
-    near = settle(
+    sets = _sets_of(docs, base, nodes, rule, held)
+    near = held.settle(
         chain.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near"
     )
-    first = _verified(near, sets)
+    first = _verified(near, sets, rule, held)
     labels = connected(first)
+    held.held.append(labels)
 
-    known = settle(
+    known = held.settle(
         sets.select("node", "n").join(labels, "node", "left").select(
             "node", "n", F.coalesce("component", "node").alias("component")
         ),
@@ -405,27 +427,35 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     b = known.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
     split = chain.join(a, "a").join(b, "b").filter("c_a <> c_b").select("key").distinct()
     members = (
-        chain.join(settle(split, "split-tiles"), "key", "left_semi")
+        chain.join(held.settle(split, "split-tiles"), "key", "left_semi")
         .select("key", F.explode(F.array("a", "b")).alias("node"))
         .distinct()
         .join(known, "node")
     )
-    tiles = _tiles(settle(members, "members"), sets)
+    tiles = _tiles(held.settle(members, "members"), sets, held)
     crossing = (
         tiles.repartition("key", "tile")
         .sortWithinPartitions("key", "tile")
-        .mapInArrow(_cross_pairs, "a long, b long")
+        .mapInArrow(_cross_pairs(rule), "a long, b long")
         .distinct()
         .join(near, ["a", "b"], "left_anti")
     )
-    second = _verified(settle(crossing, "crossing"), sets)
+    second = _verified(held.settle(crossing, "crossing"), sets, rule, held)
     labels = connected(first.unionByName(second))
+    held.held.append(labels)
     owned = settle(
         base.join(labels, "node", "left").select(
-            "doc_id", "n_shingles", F.coalesce("component", "node").alias("component")
+            "doc_id", "address", "n_shingles", F.coalesce("component", "node").alias("component")
         ),
         "owned",
     )
+    held.clear()
+    return owned
+
+
+def shingle_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id)."""
+    owned = _owned(docs, rule)
     least = settle(
         owned.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")),
         "least",
@@ -437,12 +467,38 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id is that of their group, with their columns.
-    Documents without words or without an id all stay, and so do rows that
-    repeat a kept id."""
-    found = settle(shingle_components(docs), "groups")
-    lost = settle(
-        found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "lost"
+def _row_key(docs: DataFrame) -> list[Column]:
+    """A row by its id and text, without nulls."""
+    return [
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k0"),
+        F.col("doc_id").isNull().alias("k1"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2"),
+    ]
+
+
+def keep_one_each(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """One row of each group, with its columns: that of the smallest id (null
+    last), then of the smallest text hash; of rows equal in both any one.
+    Rows without words all stay."""
+    found = _owned(docs, rule)
+    owned = found.filter("component is not null")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "address")
+    kept = owned.groupBy("component").agg(F.min(place).alias("kept"))
+    verdict = owned.withColumn("place", place).groupBy("component", "place").agg(F.count(F.lit(1)).alias("rows"))
+    verdict = verdict.join(kept, "component").select(
+        F.coalesce(F.col("place.doc_id").cast("string"), F.lit("")).alias("k0"),
+        F.col("place.none").alias("k1"),
+        F.col("place.address").alias("k2"),
+        (F.col("place") != F.col("kept")).alias("lost"),
+        "rows",
     )
-    return docs.join(lost, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    verdict = settle(verdict.filter("lost or rows > 1"), "verdict")
+    discard(found)
+    keys = ["k0", "k1", "k2"]
+    rows = docs.select(*_row_key(docs), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    left = rows.join(verdict.filter("lost").select(*keys), keys, "left_anti")
+    repeated = verdict.filter("not lost").select(*keys)
+    if not repeated.isEmpty():
+        once = left.join(repeated, keys, "left_semi").dropDuplicates(keys)
+        left = left.join(repeated, keys, "left_anti").unionByName(once)
+    return left.select("row.*")

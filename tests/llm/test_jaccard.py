@@ -106,7 +106,7 @@ def test_every_crossing_pair_is_looked_at_once_at_least(firsts):
 
     tiles = [pa.RecordBatch.from_pylist([r for r in rows if r["key"] == k]) for k in range(40) if any(r["key"] == k for r in rows)]
     # one task per tile: nothing is remembered from tile to tile
-    got = [(p["a"], p["b"]) for t in tiles for batch in jaccard._cross_pairs([t]) for p in batch.to_pylist()]
+    got = [(p["a"], p["b"]) for t in tiles for batch in jaccard._cross_pairs(jaccard.RULE)([t]) for p in batch.to_pylist()]
     want = {(a, b) for a in keys for b in keys if a < b and a // 2 != b // 2 and set(keys[a]) & set(keys[b])}
     assert set(got) == want
     if firsts == 99:
@@ -122,16 +122,16 @@ def test_linked_sets_share_a_tile():
         drop = int(rng.integers(0, max(1, n * 0.17) + 1))
         add = int(rng.integers(0, max(1, n * 0.17) + 1))
         b = np.unique(np.concatenate((a[drop:], rng.integers(0, 1 << 63, add).astype(np.uint64))))
-        if len(b) and jaccard.links(a, b):
+        if len(b) and jaccard.RULE.links(a, b):
             linked += 1
             same = jaccard.node_of(a) == jaccard.node_of(b)
-            assert same or set(jaccard.tile_keys(a)) & set(jaccard.tile_keys(b))
-            assert jaccard.may_link(len(a), jaccard.bitmap(a), len(b), jaccard.bitmap(b))
+            assert same or set(jaccard.RULE.tile_keys(a)) & set(jaccard.RULE.tile_keys(b))
+            assert jaccard.RULE.may_link(len(a), jaccard.bitmap(a), len(b), jaccard.bitmap(b))
     assert linked > 1000
 
 
 def test_bands_hold_linked_sizes():
-    starts = jaccard.band_starts()
+    starts = jaccard.RULE.band_starts
     for a in range(1, 3000):
         band = max(i for i, s in enumerate(starts[:80]) if s <= a)
         assert a * 20 // 17 < starts[band + 2]
@@ -139,7 +139,7 @@ def test_bands_hold_linked_sizes():
 
 def test_one_of_each_group_stays(documents):
     rows = corpus(3, 20, 6) + [(9000, None, "en", "s"), (9001, "", "en", "s"), (None, "no id here at all", "en", "s")]
-    docs = documents(rows).withColumnRenamed("lang", "node")
+    docs = documents(rows).withColumnRenamed("lang", "node").withColumnRenamed("source", "row")
     out = jaccard.keep_one_each(docs)
     assert out.columns == docs.columns
     kept = [r.doc_id for r in out.collect()]
@@ -147,6 +147,35 @@ def test_one_of_each_group_stays(documents):
     assert sorted(kept, key=lambda d: (d is None, d)) == sorted(want, key=lambda d: (d is None, d))
 
 
+def test_repeated_and_missing_ids(documents):
+    a, b, c = ("".join(f"{x}{i} " for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, a), (None, "alone " * 3), (None, "alone " * 3), (8, ""), (8, "")]
+    out = jaccard.keep_one_each(documents([(*r, "en", "s") for r in rows]))
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (7, c), (None, "alone " * 3), (8, ""), (8, "")], key=str)
+
+
+def test_another_rule(documents):
+    rule = jaccard.Rule(words=5, percent=80)
+    rng = random.Random(4)
+    rows = []
+    for g in range(25):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(4, 120))]
+        for _ in range(5):
+            rows.append((len(rows), " ".join(edited(rng, words, rng.choice([0, 0.01, 0.03]))), "en", "s"))
+    sets = [rule.shingle_set(t.encode(), jaccard._Words()) for _, t, *_ in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((group[i], group[j]))
+                group = [low if x == high else x for x in group]
+    got = {r.doc_id: r.component_id for r in jaccard.shingle_components(documents(rows), rule).collect()}
+    assert [got[i] for i in range(len(rows))] == group
+    assert {r.doc_id for r in jaccard.keep_one_each(documents(rows), rule).collect()} == set(group)
+
+
 def test_empty_table(documents):
     assert jaccard.shingle_components(documents([])).collect() == []
 
