@@ -25,7 +25,6 @@ table gives an empty table.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -54,13 +53,21 @@ CONTEXT = 32
 WORDS_AT_ONCE = 500_000
 WORDS_KEPT = 300_000
 
-LETTER = re.compile(r"[^\W\d_]")
-EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numbers such as U+00BD are none."""
+    return any(map(str.isalpha, text))
 
 
 def plain(word: str) -> str:
     """A word without what surrounds its letters, in lower case."""
-    word = word if word.isalpha() else EDGES.sub("", word)
+    if not word.isalpha():
+        low, high = 0, len(word)
+        while low < high and not word[low].isalpha():
+            low += 1
+        while low < high and not word[high - 1].isalpha():
+            high -= 1
+        word = word[low:high]
     low = word.lower()
     # a capital that would become two characters stays one
     return low if len(low) <= LONGEST_WORD else "".join(c.lower()[0] for c in word)
@@ -306,7 +313,7 @@ def _report(model: Model | None):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             names, scores, switches = [UNKNOWN] * len(texts), [0.0] * len(texts), [0] * len(texts)
-            known = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if labeller else []
+            known = [i for i, t in enumerate(texts) if t and has_letter(t)] if labeller else []
             at = 0
             while at < len(known):
                 own, held = [], 0

@@ -38,7 +38,7 @@ def test_forward_backward_against_enumeration():
 
 
 def test_held_out_accuracy_and_odd_rows(documents, odd_rows):
-    rows = corpus(400) + [(5000 + (d or 0), t, None, s) for d, t, _, s in odd_rows] + [(None, "ba bo", "aa", "s")]
+    rows = corpus(400) + [(5000 + (d or 0), t, None, s) for d, t, _, s in odd_rows] + [(None, "ba bo", "aa", "s"), (6001, "½ ² ③ Ⅳ", "aa", "s"), (6002, "½ba bo²", "aa", "s")]
     got = {r.doc_id: r for r in langid.language_report(documents(rows).withColumnRenamed("source", "score")).collect()}
     assert len(got) == len({r[0] for r in rows})
     right = []
