@@ -322,7 +322,7 @@ def covered(n_words: int, starts: list[int], length: int) -> np.ndarray:
 def _judged(docs: DataFrame, length: int, prefix: int, group_suffixes: int) -> DataFrame:
     """The rows of ``docs`` with their verdict; all columns wait in ``row``."""
     verdicts = _verdicts(docs, length, prefix, group_suffixes)
-    rows = _keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
+    rows = _keyed(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
     return rows.join(verdicts, ["id", "key"], "left").select("doc_id", "text", "whole", "starts", "row")
 
 
