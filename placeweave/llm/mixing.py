@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from placeweave.llm.texts import bind, fresh_name, words
-from placeweave.session import settle
+from placeweave.llm.texts import bind, words
+from placeweave.session import discard, settle
 
 MIX_PERCENT = 150
 WEIGHTS = (5, 2, 1)
@@ -260,34 +260,40 @@ def mix_report(docs: DataFrame) -> DataFrame:
     )
 
 
+def _key(doc_id: Column, source: Column, size: Column) -> list[Column]:
+    """What equal rows have in common, without nulls, so that plain joins and
+    windows on it share an exchange."""
+    return [
+        F.coalesce(doc_id.cast("string"), F.lit("")).alias("k0"),
+        doc_id.isNull().alias("k1"),
+        F.coalesce(source, F.lit("")).alias("k2"),
+        source.isNull().alias("k3"),
+        size.alias("k4"),
+    ]
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their
     columns and nothing else. Documents without words are not in a mix."""
-    size, number, copies = (fresh_name(docs, n) for n in ("mix_size", "mix_number", "mix_copies"))
-    with_size = docs.withColumn(size, F.size(words(F.col("text"))).cast("long"))
-    sized = settle(with_size.select("doc_id", "source", F.col(size).alias("size")), "sizes")
-    drawn = draw_copies(sized).select(
-        F.col("doc_id").alias("k_doc"),
-        F.col("source").alias("k_source"),
-        F.col("size").alias("k_size"),
-        F.col("m").alias("k_m"),
-        F.col("copies").alias("k_copies"),
-    ).filter("k_copies > 0")
-    drawn = settle(drawn, "drawn")
+    size = F.size(words(F.col("text"))).cast("long")
+    sized = settle(docs.select("doc_id", "source", size.alias("size")), "sizes")
+    keys = ["k0", "k1", "k2", "k3", "k4"]
+    drawn = draw_copies(sized).filter("copies > 0")
+    drawn = settle(drawn.select(*_key(F.col("doc_id"), F.col("source"), F.col("size")), "m", "copies"), "drawn")
+    discard(sized)
     # rows that agree in id, source and size are numbered; an id is one document
     # as a rule, so such a group is a row or two
-    equal = Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64("text"))
-    numbered = with_size.withColumn(number, F.row_number().over(equal) - 1)
-    met = numbered.join(
-        drawn,
-        numbered["doc_id"].eqNullSafe(drawn["k_doc"])
-        & numbered["source"].eqNullSafe(drawn["k_source"])
-        & (numbered[size] == drawn["k_size"]),
+    rows = docs.select(
+        *_key(F.col("doc_id"), F.col("source"), size),
+        F.xxhash64("text").alias("at"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
-    times = _share(F.col("k_copies"), F.col("k_m"), F.col(number))
+    numbered = rows.withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("at")) - 1)
+    times = _share(F.col("copies"), F.col("m"), F.col("number"))
     return (
-        met.withColumn(copies, times)
-        .filter(F.col(copies) > 0)
-        .withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        numbered.join(drawn, keys)
+        .withColumn("times", times)
+        .filter("times > 0")
+        .withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+        .select("row.*")
     )
