@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeweave.functions.shipping import ship_by_value
+from placeweave.llm.chunks import slices
 from placeweave.llm.tokenizing import END_ID, ID_TYPE, TOKENIZER, chunk_encoder
 
 ship_by_value(__name__)
@@ -40,7 +41,7 @@ WINDOW = 2048
 TIERS = (2048, 1024, 512, 256)
 GROUP_BYTES = 1 << 20
 STEP_TOKENS = 32 * WINDOW
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 8 << 20
 
 
 def piece_crc(ids: np.ndarray) -> int:
@@ -51,14 +52,13 @@ def piece_crc(ids: np.ndarray) -> int:
 def _tokenise(tokenizer: str, id_type: str):
     def run(batches):
         encoder = chunk_encoder(tokenizer, id_type)
-        end = np.array([END_ID], id_type).tobytes()
-        width = np.dtype(id_type).itemsize
+        end = np.array([END_ID], id_type)
         for batch in batches:
-            for low in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(low, TEXTS_AT_ONCE)
+            for part in slices(batch, "text", BYTES_AT_ONCE):
                 rows, starts, lengths, crcs, rests, totals = [], [], [], [], [], []
-                for row, coded in enumerate(encoder.encode(part.column("text").to_pylist())):
-                    ids = np.frombuffer(coded + end, id_type)
+                flat, at = encoder.encode(part.column("text"))
+                for row in range(part.num_rows):
+                    ids = np.append(flat[at[row] : at[row + 1]], end)
                     cut = len(ids) - len(ids) % WINDOW
                     for start in range(0, cut, WINDOW):
                         rows.append(row)
@@ -72,7 +72,7 @@ def _tokenise(tokenizer: str, id_type: str):
                         starts.append(cut)
                         lengths.append(len(ids) - cut)
                         crcs.append(0)
-                        rests.append((coded + end)[cut * width :])
+                        rests.append(ids[cut:].tobytes())
                         totals.append(len(ids))
                 take = pa.array(rows, pa.int32())
                 yield pa.RecordBatch.from_arrays(
