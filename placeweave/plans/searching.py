@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeweave.functions import vectors
-from placeweave.operators import compare, keyed, search, tiers
+from placeweave.operators import compare, search, tiers, vector_index
 from placeweave.operators.tiers import TierRules
 from placeweave.operators.vector_join import cosine_pairs
 from placeweave.plans.matching import _DIST, _PROFILES_SQL, _SCORED_SQL, place_tags
@@ -53,39 +53,74 @@ def pair_vector_scores_tiled(spark, sf_dir):
     return pairs.select("contentid1", "contentid2", F.round("score", 6).alias("score"))
 
 
-def _label_queries(vecs):
-    """The first vector of each label."""
-    return keyed.one_per_key(vecs, ["label"], [F.col("vec_id")])
+_ASKED_SQL = """asked AS (SELECT * FROM embeddings WHERE vec_id % 50 = 0)"""
+
+
+def _asked(vecs):
+    """The query vectors: every fiftieth id, against all rows."""
+    return vecs.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label", "embedding")
 
 
 @query(
     "topk_vectors",
-    sql="""WITH q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings) WHERE rn = 1),
-    scored AS (SELECT q.label AS query_id, e.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS s FROM q, embeddings e),
+    sql=f"""WITH {_ASKED_SQL},
+    scored AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS s FROM asked q, embeddings e),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM scored)
     SELECT query_id, vec_id, round(s, 6) AS score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10""",
 )
 def topk_vectors(spark, sf_dir):
-    """Ten most similar items of one query vector per label."""
+    """Ten most similar items of each query vector."""
     vecs = table(spark, sf_dir, "embeddings")
-    queries = _label_queries(vecs).select(F.col("label").alias("query_id"), "embedding")
-    hits = search.search_top_k(vecs.select("vec_id", "embedding"), queries, 10, item_id="vec_id")
+    hits = search.search_top_k(vecs.select("vec_id", "embedding"), _asked(vecs), 10, item_id="vec_id")
     return hits.withColumn("score", F.round("score", 6))
 
 
 @query(
     "topk_filtered",
-    sql="""WITH q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings) WHERE rn = 1),
+    sql=f"""WITH {_ASKED_SQL},
     scored AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS s
-      FROM q JOIN embeddings e ON e.label = q.label),
+      FROM asked q JOIN embeddings e ON e.label = q.label),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM scored)
     SELECT query_id, vec_id, round(s, 6) AS score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5""",
 )
 def topk_filtered(spark, sf_dir):
     """Five most similar items that share the query's label."""
     vecs = table(spark, sf_dir, "embeddings")
-    queries = _label_queries(vecs).select(F.col("vec_id").alias("query_id"), "label", "embedding")
-    hits = search.search_top_k(vecs, queries, 5, item_id="vec_id", filters=["label"])
+    hits = search.search_top_k(vecs, _asked(vecs), 5, item_id="vec_id", filters=["label"])
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query(
+    "topk_index_recall",
+    sql=f"""WITH {_ASKED_SQL}
+    SELECT count(*) AS queries, CAST(count(*) * least(10, (SELECT count(*) FROM embeddings)) AS BIGINT) AS neighbours,
+      true AS reached FROM asked""",
+)
+def topk_index_recall(spark, sf_dir):
+    """Search by inverted lists, measured against the exact search: at least
+    nine of ten neighbours are found."""
+    vecs = table(spark, sf_dir, "embeddings")
+    index = vector_index.build_index(vecs, "vec_id")
+    exact = index.search(_asked(vecs), 10, exact=True)
+    measured = vector_index.recall_of(index.search(_asked(vecs), 10), exact, "query_id", "vec_id")
+    return measured.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("reached"))
+
+
+@query(
+    "topk_index_all_lists",
+    sql=f"""WITH {_ASKED_SQL},
+    scored AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS s
+      FROM asked q JOIN embeddings e ON e.label = q.label),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, vec_id, round(s, 6) AS score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10""",
+)
+def topk_index_all_lists(spark, sf_dir):
+    """The index with every list looked into gives the exact neighbours."""
+    vecs = table(spark, sf_dir, "embeddings")
+    index = vector_index.build_index(vecs, "vec_id", lists=8)
+    for found in index.centroids.values():
+        found.probes = len(found.rows)
+    hits = index.search(_asked(vecs), 10, filters=["label"])
     return hits.withColumn("score", F.round("score", 6))
 
 
