@@ -9,7 +9,8 @@ there. The sample is sparser than the table, its neighbours lie further apart,
 so the table's recall is no lower as a rule; ``recall_of`` measures it.
 
 Vectors of different lengths never meet; a length that the sample lacks has one
-list. Null, empty and zero vectors are left out, as in the exact search.
+list. As in the exact search, null and empty vectors are left out and a vector
+of zeros scores 0.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ from placeweave.plans.geography import nation_areas
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
 from placeweave.session import scratch_path
-from placeweave.sources import readers, writers
+from placeweave.sources import keyed_table, readers, writers
 
 
 @query(
@@ -147,6 +147,28 @@ def upsert_table(spark, sf_dir):
     return readers.read_table(spark, path)
 
 
+@query(
+    "keyed_table_versions",
+    sql="""SELECT c_custkey, c_name, 1 AS version FROM customer
+    UNION ALL SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'REPLACED' ELSE c_name END, 2 FROM customer
+    UNION ALL SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'REPLACED' ELSE c_name END, 3 FROM customer
+      WHERE c_nationkey <> 7""",
+)
+def keyed_table_versions(spark, sf_dir):
+    """Three versions of a keyed table: created, rows replaced, rows deleted."""
+    customers = table(spark, sf_dir, "customer")
+    stored = keyed_table.KeyedTable.create(
+        customers.select("c_custkey", "c_name"), scratch_path(spark, "keyed"), ["c_custkey"], buckets=16
+    )
+    stored.upsert(customers.filter("c_mktsegment = 'BUILDING'").select("c_custkey", F.lit("REPLACED").alias("c_name")))
+    stored.delete(customers.filter("c_nationkey = 7").select("c_custkey"))
+    out = None
+    for version in stored.versions():
+        rows = stored.read(version).withColumn("version", F.lit(version))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     "clustered_export",
     sql=f"WITH {PLACES_SQL} SELECT cell, count(*) AS count FROM poi GROUP BY cell HAVING count(*) >= 3",

@@ -41,7 +41,7 @@ def test_recall_and_all_lists(items):
     asked = items.filter("contentid % 20 = 0").withColumnRenamed("contentid", "query_id")
     exact = index.search(asked, 10, exact=True)
     measured = vector_index.recall_of(index.search(asked, 10), exact, "query_id", "contentid").first()
-    assert measured.queries == 80 and measured.recall >= 0.9
+    assert measured.queries == 79 and measured.recall >= 0.9
     assert index.centroids[12].probes < len(index.centroids[12].rows)
     for one in index.centroids.values():
         one.probes = len(one.rows)
