@@ -224,6 +224,47 @@ def in_edges(lat: Column, lon: Column, edges: Column) -> Column:
     return F.exists(F.array(bound), lambda p: _even_odd(p["y"], p["x"], p["edges"]))
 
 
+def crossings_east(lat: Column, lon: Column, to: Column, edges: Column) -> Column:
+    """Edges that the way from a point east to longitude ``to`` crosses."""
+    meets = lambda e: (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+    return F.size(
+        F.filter(edges, lambda e: ((e["y1"] > lat) != (e["y2"] > lat)) & (lon < meets(e)) & (meets(e) <= to))
+    )
+
+
+def crossings_north(lon: Column, low: Column, high: Column, edges: Column) -> Column:
+    """Edges that the way north from ``low`` to ``high`` crosses."""
+    meets = lambda e: (e["y2"] - e["y1"]) * (lon - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+    return F.size(
+        F.filter(edges, lambda e: ((e["x1"] > lon) != (e["x2"] > lon)) & (low <= meets(e)) & (meets(e) < high))
+    )
+
+
+def in_cell(lat: Column, lon: Column, south: Column, east: Column, odd: Column, edges: Column) -> Column:
+    """``in_edges`` for a point of a cell that knows its own edges and whether
+    its south-east corner is inside: the way from there goes up and west."""
+    bound = F.struct(
+        lat.alias("y"), lon.alias("x"), south.alias("south"), east.alias("east"), odd.alias("odd"), edges.alias("edges")
+    )
+
+    def inside(p: Column) -> Column:
+        met = crossings_east(p["y"], p["x"], p["east"], p["edges"]) + crossings_north(
+            p["east"], p["south"], p["y"], p["edges"]
+        )
+        return (p["odd"] != (met % 2 == 1)) & ~_on_edge(p["y"], p["x"], p["edges"])
+
+    return F.exists(F.array(bound), inside)
+
+
+def _on_edge(lat: Column, lon: Column, edges: Column) -> Column:
+    return F.exists(
+        edges,
+        lambda e: ((e["x2"] - e["x1"]) * (lat - e["y1"]) == (e["y2"] - e["y1"]) * (lon - e["x1"]))
+        & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])),
+    )
+
+
 def _even_odd(lat: Column, lon: Column, edges: Column) -> Column:
     crossings = F.size(
         F.filter(
@@ -232,13 +273,7 @@ def _even_odd(lat: Column, lon: Column, edges: Column) -> Column:
             & (lon < (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]),
         )
     )
-    on_edge = F.exists(
-        edges,
-        lambda e: ((e["x2"] - e["x1"]) * (lat - e["y1"]) == (e["y2"] - e["y1"]) * (lon - e["x1"]))
-        & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])),
-    )
-    return (crossings % 2 == 1) & ~on_edge
+    return (crossings % 2 == 1) & ~_on_edge(lat, lon, edges)
 
 
 def in_polygon(lat: Column, lon: Column, rings: Column) -> Column:

@@ -2,44 +2,107 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placeweave.functions import geo
 from placeweave.operators.blocking import TILE_ROWS, block_join
+from placeweave.session import settle
+
+BOUNDARY_LEVEL = 18  # finest cells of a cover
+LEAF_EDGES = 16  # a border cell with so few edges isn't split
+DEEPEST = 8  # levels below the polygon's first cells
+MARGIN = 1e-9  # degrees
+
+
+def _box(level: Column, row: Column, col: Column) -> list[Column]:
+    """South, west, north and east of a cell."""
+    size = F.lit(180.0) / F.pow(F.lit(2.0), level)
+    return [row * size - 90.0, col * size - 180.0, (row + 1) * size - 90.0, (col + 1) * size - 180.0]
+
+
+def _edges_in(edges: Column, south: Column, west: Column, north: Column, east: Column) -> Column:
+    """Edges that reach into the cell: their own box meets it, and its corners
+    are not all on one side of their line."""
+
+    def meets(e: Column) -> Column:
+        side = lambda x, y: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+        corners = [side(x, y) for x in (west, east) for y in (south, north)]
+        return (
+            (F.greatest(e["y1"], e["y2"]) >= south - MARGIN)
+            & (F.least(e["y1"], e["y2"]) <= north + MARGIN)
+            & (F.greatest(e["x1"], e["x2"]) >= west - MARGIN)
+            & (F.least(e["x1"], e["x2"]) <= east + MARGIN)
+            & (F.least(*corners) <= MARGIN)
+            & (F.greatest(*corners) >= -MARGIN)
+        )
 
-BOUNDARY_LEVEL = 12
+    return F.filter(edges, meets)
 
 
 def boundary_cover(polygons: DataFrame, id_col: str, rings: str = "rings", level: int = BOUNDARY_LEVEL) -> DataFrame:
-    """Grid cells a polygon may touch: ``(id, _row, _col, edges)``.
+    """Cells of several sizes that cover each polygon: ``(id, _level, _row,
+    _col, _odd, edges)``, settled.
 
-    Each row of cells carries only the edges that reach into it, which are
-    all a point of that row needs for the even-odd test.
+    A polygon starts with at most four cells of about its own size. Cells with
+    more than ``LEAF_EDGES`` edges are split into sixteen, down to ``level`` or
+    ``DEEPEST`` levels below the first; cells without edges are inside as a whole or go. So large inner cells carry
+    nothing, border cells their own edges and, as ``_odd``, whether their
+    south-east corner is inside: the cover grows with the border, not the area.
     """
-    size = geo.cell_size(level)
-    low = F.array_min(F.transform("edges", lambda e: F.least(e["y1"], e["y2"])))
-    high = F.array_max(F.transform("edges", lambda e: F.greatest(e["y1"], e["y2"])))
     outlined = (
         polygons.filter(F.col(rings).isNotNull())
         .select(F.col(id_col), geo.edges_of(F.col(rings)).alias("edges"))
         .filter(F.size("edges") > 0)
     )
-    rows = outlined.withColumn(
-        "_row", F.explode(F.sequence(geo.cell_row(low, level), geo.cell_row(high, level)))
-    )
-    south = F.col("_row") * size - 90.0
-    inside = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= south - 1e-9)
-        & (F.least(e["y1"], e["y2"]) <= south + size + 1e-9),
-    )
-    rows = rows.withColumn("edges", inside).filter(F.size("edges") > 0)
-    west = F.array_min(F.transform("edges", lambda e: F.least(e["x1"], e["x2"])))
-    east = F.array_max(F.transform("edges", lambda e: F.greatest(e["x1"], e["x2"])))
-    return rows.withColumn(
-        "_col", F.explode(F.sequence(geo.cell_col(west, level), geo.cell_col(east, level)))
+    ends = {
+        "_south": F.array_min(F.transform("edges", lambda e: F.least(e["y1"], e["y2"]))),
+        "_north": F.array_max(F.transform("edges", lambda e: F.greatest(e["y1"], e["y2"]))),
+        "_west": F.array_min(F.transform("edges", lambda e: F.least(e["x1"], e["x2"]))),
+        "_east": F.array_max(F.transform("edges", lambda e: F.greatest(e["x1"], e["x2"]))),
+    }
+    outlined = settle(outlined.withColumns(ends), "outlines")
+    extent = F.greatest(F.col("_north") - F.col("_south"), F.col("_east") - F.col("_west"), F.lit(1e-9))
+    first = F.least(F.floor(F.log2(F.lit(180.0) / extent) / 2) * 2, F.lit(level - level % 2))
+    cells = outlined.withColumn("_level", F.greatest(first, F.lit(0)).cast("int"))
+    cells = cells.withColumn("_last", F.least(F.col("_level") + DEEPEST, F.lit(level)))
+    size = F.lit(180.0) / F.pow(F.lit(2.0), F.col("_level"))
+    span = lambda low, high, base: F.sequence(
+        F.floor((F.col(low) + base) / size).cast("long"), F.floor((F.col(high) + base) / size).cast("long")
     )
+    cells = cells.withColumn("_row", F.explode(span("_south", "_north", 90.0)))
+    cells = cells.withColumn("_col", F.explode(span("_west", "_east", 180.0)))
+    south, west, north, east = _box(F.col("_level"), F.col("_row"), F.col("_col"))
+    cells = cells.select(
+        id_col, "_last", "_level", "_row", "_col",
+        (geo.crossings_east(south, east, F.lit(400.0), F.col("edges")) % 2 == 1).alias("_odd"),
+        _edges_in(F.col("edges"), south, west, north, east).alias("_e"),
+    ).withColumnRenamed("_e", "edges")
+    done = []
+    while True:
+        cells = settle(cells.filter((F.size("edges") > 0) | F.col("_odd")), "cells")
+        splits = (F.size("edges") > LEAF_EDGES) & (F.col("_level") + 2 <= F.col("_last"))
+        done.append(cells.filter(~splits))
+        parents = cells.filter(splits)
+        if parents.isEmpty():
+            return settle(reduce(DataFrame.unionByName, done).drop("_last"), "cover")
+        quarter = F.sequence(F.lit(0), F.lit(3))
+        parents = parents.withColumn("_dr", F.explode(quarter)).withColumn("_dc", F.explode(quarter))
+        from_south, _, _, from_east = _box(F.col("_level"), F.col("_row"), F.col("_col"))
+        inner = F.col("_level") + 2, F.col("_row") * 4 + F.col("_dr"), F.col("_col") * 4 + F.col("_dc")
+        south, west, north, east = _box(*inner)
+        # from the corner of the large cell up its side, then west to the small one's
+        met = geo.crossings_north(from_east, from_south, south, F.col("edges")) + geo.crossings_east(
+            south, east, from_east, F.col("edges")
+        )
+        # under new names first: inside lambdas an alias hides the column it reuses
+        cells = parents.select(
+            id_col, "_last", inner[0].alias("_l"), inner[1].alias("_r"), inner[2].alias("_c"),
+            (F.col("_odd") != (met % 2 == 1)).alias("_o"),
+            _edges_in(F.col("edges"), south, west, north, east).alias("_e"),
+        ).toDF(id_col, "_last", "_level", "_row", "_col", "_odd", "edges")
 
 
 def boundary_join(
@@ -53,18 +116,31 @@ def boundary_join(
 ) -> DataFrame:
     """Points with each polygon that contains them.
 
-    An equi-join on the cell and an exact test of what is left. Spark
-    broadcasts the cover when its measured size is small and splits crowded
-    cells otherwise.
+    An equi-join on the cell, once per size of cells in the cover, and a test
+    against the edges of the cell. Spark broadcasts the cover when its measured
+    size is small and splits crowded cells otherwise.
     """
-    placed = points.withColumns(
-        {"_row": geo.cell_row(F.col(lat), level), "_col": geo.cell_col(F.col(lon), level)}
-    )
     cover = boundary_cover(polygons, polygon_id, rings, level)
+    # at most one per level, whatever the number of polygons
+    levels = sorted(r["_level"] for r in cover.select("_level").distinct().collect())
+    at = [
+        F.struct(
+            F.lit(n).alias("_level"),
+            geo.cell_row(F.col(lat), n).alias("_row"),
+            geo.cell_col(F.col(lon), n).alias("_col"),
+        )
+        for n in levels
+    ]
+    kind = "array<struct<_level: int, _row: bigint, _col: bigint>>"
+    cells = F.array(*at) if at else F.array()
+    placed = points.withColumn("_cell", F.explode(cells.cast(kind)))
+    placed = placed.withColumns({c: F.col(f"_cell.{c}") for c in ("_level", "_row", "_col")}).drop("_cell")
+    south, _, _, east = _box(F.col("_level"), F.col("_row"), F.col("_col"))
+    inside = geo.in_cell(F.col(lat), F.col(lon), south, east, F.col("_odd"), F.col("edges"))
     return (
-        placed.join(cover, ["_row", "_col"])
-        .filter(geo.in_edges(F.col(lat), F.col(lon), F.col("edges")))
-        .drop("_row", "_col", "edges")
+        placed.join(cover, ["_level", "_row", "_col"])
+        .filter(inside)
+        .drop("_level", "_row", "_col", "_odd", "edges")
     )
 
 
@@ -164,6 +240,75 @@ def coverage_status(
     )
 
 
+def _searched(
+    points: DataFrame, searches: DataFrame, area: str, point_id: str, radius_m: float, per_search: int
+) -> DataFrame:
+    """Distinct (area, point) of searches that return their nearest places up
+    to a number, as paged services do."""
+    hits = nearby(points, searches.withColumn("_search", F.struct(area, "step_east", "step_north")), radius_m, point_id, "_search")
+    nearest = Window.partitionBy("_search").orderBy(F.round("distance_m", 3), point_id)
+    hits = hits.withColumn("_turn", F.row_number().over(nearest)).filter(F.col("_turn") <= per_search)
+    return hits.select(F.col(f"_search.{area}").alias(area), point_id).distinct()
+
+
+def refine_coverage(
+    points: DataFrame,
+    centers: DataFrame,
+    area: str,
+    point_id: str,
+    lat: str = "latitude",
+    lon: str = "longitude",
+    area_m: float = 2000,
+    finest_m: float = 250,
+    per_search: int = 60,
+    sparse: int = 50,
+    full: int = 100,
+) -> DataFrame:
+    """Search each area again on ever finer grids until it is covered:
+    ``(area, round, step_m, searches, places, status)``.
+
+    The first round searches once around the centre, ``area_m`` wide; an area
+    with at least ``sparse`` places is done. In the others a grid of half the
+    step before covers the area, searched a step wide, until ``full`` places are
+    known or the step would fall below ``finest_m``. A search returns its
+    ``per_search`` nearest places, so finer grids find more. Areas that are
+    open and what they found are tables of the round; an area without places
+    counts as 0.
+    """
+    todo = centers.select(area, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+    found = None
+    done = []
+    step, number = float(area_m), 0
+    while True:
+        if number == 0:
+            grid = todo.select(
+                area, F.lit(0).alias("step_east"), F.lit(0).alias("step_north"),
+                F.col("_lat").alias("latitude"), F.col("_lon").alias("longitude"),
+            )
+        else:
+            grid = coverage_grid(todo, area, "_lat", "_lon", step, area_m)
+        hits = _searched(points, grid, area, point_id, step, per_search)
+        if found is not None:
+            hits = found.join(todo.select(area), area, "left_semi").unionByName(hits).distinct()
+        found = settle(hits, "covered")
+        counts = found.groupBy(area).agg(F.count(F.lit(1)).alias("places"))
+        state = todo.join(counts, area, "left").withColumn("places", F.coalesce("places", F.lit(0).cast("long")))
+        state = settle(state, "areas")
+        last = step / 2 < finest_m
+        enough = F.lit(True) if last else F.col("places") >= (sparse if number == 0 else full)
+        done.append(
+            state.filter(enough).select(
+                area, F.lit(number).alias("round"), F.lit(step).alias("step_m"),
+                F.lit(1 if number == 0 else (2 * int(area_m / step) + 1) ** 2).alias("searches"), "places",
+                F.when(F.col("places") < sparse, "sparse").when(F.col("places") < full, "ok").otherwise("full").alias("status"),
+            )
+        )
+        todo = state.filter(~enough).drop("places")
+        if last or todo.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        step, number = step / 2, number + 1
+
+
 def areas_with_cells(points: DataFrame, cells: DataFrame, cell: str = "cell") -> DataFrame:
     """Points whose cell is listed."""
     return points.join(cells.select(cell), cell, "left_semi")

@@ -211,6 +211,56 @@ def coverage_status(spark, sf_dir):
     )
 
 
+def _refined_sql(area_m: int, rounds: int, per_search: int, sparse: int, full: int) -> str:
+    """The rounds one after another, each on the areas that are still open."""
+    steps, done = [], []
+    for r in range(rounds):
+        step, n = area_m / 2**r, 2**r
+        own = f"open{r}"
+        if r == 0:
+            steps.append(f"{own} AS (SELECT n_name, lat, lon FROM areas)")
+            steps.append(f"grid{r} AS (SELECT n_name, 0 AS i, 0 AS j, lat AS y, lon AS x FROM {own})")
+        else:
+            limit = sparse if r == 1 else full
+            steps.append(f"{own} AS (SELECT n_name, lat, lon FROM state{r - 1} WHERE places < {limit})")
+            steps.append(
+                f"north{r} AS (SELECT n_name, i, j, lon, lat + degrees(j*{step}e0/({_RADII[0].format(y='lat')})) AS y "
+                f"FROM {own}, range({-n}, {n + 1}) e(i), range({-n}, {n + 1}) m(j))"
+            )
+            steps.append(
+                f"grid{r} AS (SELECT n_name, i, j, y, lon + degrees(i*{step}e0/({_RADII[1].format(y='y')})) AS x FROM north{r})"
+            )
+        apart = haversine_sql("p.latitude", "p.longitude", "g.y", "g.x")
+        steps.append(
+            f"hits{r} AS (SELECT n_name, contentid FROM (SELECT n_name, contentid, row_number() OVER "
+            f"(PARTITION BY n_name, i, j ORDER BY round({apart}, 3), contentid) AS turn "
+            f"FROM grid{r} g JOIN poi p ON {apart} <= {step}e0) WHERE turn <= {per_search})"
+        )
+        before = f" UNION SELECT n_name, contentid FROM found{r - 1} SEMI JOIN {own} USING (n_name)" if r else ""
+        steps.append(f"found{r} AS (SELECT n_name, contentid FROM hits{r}{before or ' UNION SELECT NULL, NULL WHERE false'})")
+        steps.append(
+            f"state{r} AS (SELECT o.n_name, o.lat, o.lon, count(contentid) AS places "
+            f"FROM {own} o LEFT JOIN found{r} USING (n_name) GROUP BY ALL)"
+        )
+        kept = "true" if r == rounds - 1 else f"places >= {sparse if r == 0 else full}"
+        done.append(
+            f"SELECT n_name, CAST({r} AS INTEGER) AS round, {step}e0 AS step_m, "
+            f"CAST({1 if r == 0 else (2 * n + 1) ** 2} AS INTEGER) AS searches, places, "
+            f"CASE WHEN places < {sparse} THEN 'sparse' WHEN places < {full} THEN 'ok' ELSE 'full' END AS status "
+            f"FROM state{r} WHERE {kept}"
+        )
+    return f"WITH {PLACES_SQL}, {_AREAS_SQL}, " + ",\n".join(steps) + "\n" + " UNION ALL ".join(done)
+
+
+@query("coverage_refined", sql=_refined_sql(4000, 3, 3, 4, 12))
+def coverage_refined(spark, sf_dir):
+    """Areas searched on finer grids until they have twelve places."""
+    return spatial.refine_coverage(
+        places(spark, sf_dir), nation_areas(spark, sf_dir), "n_name", "contentid", "lat", "lon",
+        area_m=4000, finest_m=1000, per_search=3, sparse=4, full=12,
+    )
+
+
 @query(
     "geojson_features",
     sql=f"""WITH {PLACES_SQL}

@@ -109,3 +109,45 @@ def test_index_fills_only_missing_cells(spark):
     rows = {r.id: r for r in ingest.index_cells(df).collect()}
     assert rows[1].cell_coarse == 5 and rows[2].cell_coarse is not None
     assert rows[3].cell_coarse is None and rows[1].cell_fine == rows[2].cell_fine
+
+
+def _star(n, radius, lat=40.7, lon=-74.0, jags=0.4):
+    """A closed, jagged ring with ``n`` corners."""
+    spokes = [(2 * math.pi * k / n, radius * (1 - jags + jags * ((k * 7919) % 13) / 13)) for k in range(n)]
+    ring = [(lon + r * math.cos(a), lat + r * math.sin(a)) for a, r in spokes]
+    return [{"x": x, "y": y} for x, y in [*ring, ring[0]]]
+
+
+def test_cover_of_several_sizes(spark):
+    rows = [
+        ("big", [_star(400, 1.5)]),
+        ("holed", [_star(60, 0.4), _star(50, 0.2)]),
+        ("small", [_star(7, 0.01)]),
+        ("point", [[{"x": -74.0, "y": 40.7}] * 3]),
+        ("none", None),
+        ("empty", []),
+    ]
+    polygons = spark.createDataFrame(rows, "name string, rings array<array<struct<x: double, y: double>>>")
+    points = spark.range(6_000).selectExpr(
+        "id", "39.1 + (id * 7 % 1201) * 0.00271 as latitude", "-75.6 + (id * 11 % 1187) * 0.00277 as longitude"
+    )
+    near = spark.range(900).selectExpr("id + 20000 as id", "40.69 + (id % 30) / 1.5e3 as latitude", "-74.01 + floor(id / 30) / 1.5e3 as longitude")
+    points = points.unionByName(near).unionByName(spark.createDataFrame([(1, None, None)], points.schema))
+    for level in (18, 7, 2):
+        got = spatial.boundary_join(points, polygons, "name", level=level).select("name", "id")
+        want = points.crossJoin(polygons).filter(geo.in_polygon(F.col("latitude"), F.col("longitude"), F.col("rings")))
+        assert sorted(got.collect()) == sorted(want.select("name", "id").collect())
+    assert spatial.boundary_join(points, polygons.limit(0), "name").collect() == []
+
+
+def test_cover_grows_with_the_border(spark):
+    schema = "name string, rings array<array<struct<x: double, y: double>>>"
+    size = lambda n, radius: spatial.boundary_cover(
+        spark.createDataFrame([("a", [_star(n, radius, jags=0.01)])], schema), "name"
+    )
+    one, wide, fine = size(300, 0.5), size(300, 4.0), size(2400, 0.5)
+    assert wide.count() < 4 * one.count()
+    assert fine.count() < 16 * one.count()
+    edges = fine.agg(F.sum(F.size("edges")).alias("n"), F.max(F.size("edges")).alias("most")).first()
+    assert edges.n < 4 * 2400 and edges.most <= spatial.LEAF_EDGES
+    assert fine.filter("size(edges) = 0").count() > 0
