@@ -337,3 +337,19 @@ def vector_text_parse(spark, sf_dir):
     stored = table(spark, sf_dir, "embeddings").select("vec_id", F.to_json("embedding").alias("json"))
     vec = vectors.parse_vector(F.col("json"))
     return stored.select("vec_id", F.size(vec).cast("long").alias("dimensions"), F.round(vectors.norm(vec), 5).alias("norm"))
+
+
+@query(
+    "enrichment_gate",
+    sql="""SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000""",
+)
+def enrichment_gate(spark, sf_dir):
+    """Rows that were geocoded and have a place id."""
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus") == "F").otherwise(
+            F.when(F.col("o_orderstatus") == "F", F.lit(True))
+        ).alias("is_geo_coded"),
+        F.when(F.col("o_totalprice") > 100000, F.col("o_custkey").cast("string")).alias("place_id"),
+    )
+    return docs.ready_for_details(rows).select("o_orderkey")

@@ -9,7 +9,7 @@ from placeweave.operators import compare, search, tiers, vector_index
 from placeweave.operators.tiers import TierRules
 from placeweave.operators.vector_join import cosine_pairs
 from placeweave.plans.matching import _DIST, _PROFILES_SQL, _SCORED_SQL, place_tags
-from placeweave.plans.places import PLACES_SQL, places
+from placeweave.plans.places import PLACES_SQL, haversine_sql, places
 from placeweave.plans.registry import query, table
 from placeweave.session import scratch_path, settle
 from placeweave.sources import readers, writers
@@ -264,3 +264,50 @@ def encode_missing_vectors(spark, sf_dir):
     return encoded.select(
         "doc_id", "stored", F.size("embedding").alias("dimensions"), F.when(~F.col("stored"), total).alias("words")
     )
+
+
+_SEARCH_SQL = f"""WITH {PLACES_SQL},
+    item AS (SELECT contentid, latitude, longitude, category, CAST(embedding AS DOUBLE[]) AS v FROM poi JOIN embeddings ON vec_id = contentid),
+    found AS (SELECT q.contentid AS query_id, i.contentid, list_cosine_similarity(q.v, i.v) AS s
+      FROM item q JOIN item i ON i.category = q.category WHERE q.contentid % 50 = 0),
+    hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, contentid) AS rank FROM found QUALIFY rank <= 5)"""
+
+
+def _place_search(spark, sf_dir):
+    """Search among places of the query's category; metadata of customers, of
+    parts where these have none; other places within a kilometre."""
+    vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("contentid"), "embedding")
+    items = settle(places(spark, sf_dir).select("contentid", "latitude", "longitude", "category").join(vecs, "contentid"))
+    queries = items.filter("contentid % 50 = 0").select(F.col("contentid").alias("query_id"), "category", "embedding")
+    stored = table(spark, sf_dir, "customer").filter("c_acctbal > 5000").select(
+        F.col("c_custkey").alias("contentid"), F.col("c_name").alias("name")
+    )
+    live = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("contentid"), F.col("p_name").alias("name"))
+    return search.place_search(items, queries, 5, stored, live, ["name"], filters=["category"])
+
+
+@query(
+    "place_search_hits",
+    sql=f"""{_SEARCH_SQL}
+    SELECT query_id, contentid, round(s, 6) AS score, CAST(rank AS INTEGER) AS rank, coalesce(c_name, p_name) AS name
+    FROM hits LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) ON c_custkey = contentid
+      LEFT JOIN part ON p_partkey = contentid""",
+)
+def place_search_hits(spark, sf_dir):
+    """Hits of a place search with their names."""
+    hits = _place_search(spark, sf_dir)["hits"]
+    return hits.select("query_id", "contentid", F.round("score", 6).alias("score"), "rank", "name")
+
+
+@query(
+    "place_search_around",
+    sql=f"""{_SEARCH_SQL},
+    centre AS (SELECT DISTINCT item.* FROM item JOIN hits USING (contentid))
+    SELECT c.contentid AS hit_id, i.contentid, round({haversine_sql('i.latitude', 'i.longitude', 'c.latitude', 'c.longitude')}, 2) AS distance_m
+    FROM centre c JOIN item i ON {haversine_sql('i.latitude', 'i.longitude', 'c.latitude', 'c.longitude')} <= 1000
+      AND i.contentid <> c.contentid""",
+)
+def place_search_around(spark, sf_dir):
+    """Places within a kilometre of the hits."""
+    around = _place_search(spark, sf_dir)["around"]
+    return around.select("hit_id", "contentid", F.round("distance_m", 2).alias("distance_m"))

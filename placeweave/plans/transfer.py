@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from placeweave import schemas
 from placeweave.operators import ingest, keyed, reports
 from placeweave.plans.geography import nation_areas
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
-from placeweave.session import scratch_path
+from placeweave.session import scratch_path, settle
 from placeweave.sources import keyed_table, readers, writers
 
 
@@ -220,3 +226,51 @@ def multi_occupancy_export(spark, sf_dir):
     members = reports.multi_occupancy_members(places(spark, sf_dir).select("contentid", "title", "cell"))
     writers.export_jsonl(members, path)
     return readers.read_jsonl(spark, path, "contentid long, title string, cell long", "fail")
+
+
+@query(
+    "saved_grouped_table",
+    sql=f"WITH {PLACES_SQL} SELECT cell, count(*) AS count FROM poi GROUP BY cell HAVING count(*) > 1",
+)
+def saved_grouped_table(spark, sf_dir):
+    """A grouped query kept as a catalogue table, read back by its name."""
+    name = f"shared_cells_{uuid.uuid4().hex}"
+    writers.save_as_table(reports.block_occupancy(places(spark, sf_dir).select("contentid", "cell"), min_count=2), name)
+    kept = settle(readers.read_table(spark, name))
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+@query(
+    "catalogue_listing",
+    sql="""SELECT 'listed_nation' AS table_name, count(*) AS rows FROM nation
+    UNION ALL SELECT 'listed_orders', count(*) FROM orders UNION ALL SELECT 'listed_supplier', count(*) FROM supplier""",
+)
+def catalogue_listing(spark, sf_dir):
+    """Names from the catalogue, each with the rows of its table."""
+    for name in ("nation", "orders", "supplier"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"listed_{name}")
+    counts = [
+        spark.table(f"listed_{name}").agg(F.lit(f"listed_{name}").alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for name in ("nation", "orders", "supplier")
+    ]
+    return readers.list_tables(spark).join(reduce(DataFrame.unionByName, counts), "table_name")
+
+
+@query(
+    "table_from_schema",
+    sql=f"""WITH {PLACES_SQL}
+    SELECT contentid, title, cell, CAST(NULL AS VARCHAR) AS tag, 'first' AS batch FROM poi WHERE contentid % 2 = 0
+    UNION ALL SELECT contentid, title, cell, CAST(NULL AS VARCHAR), 'clone' FROM poi WHERE contentid % 2 = 1""",
+)
+def table_from_schema(spark, sf_dir):
+    """A table made from a schema and one made like it, both filled."""
+    kind = T.StructType.fromDDL("contentid long, title string, cell long, tag string, batch string")
+    first, clone = scratch_path(spark, "made"), scratch_path(spark, "cloned")
+    schemas.empty_table(spark, kind).write.parquet(first)
+    schemas.empty_like(readers.read_table(spark, first)).write.parquet(clone)
+    pois = places(spark, sf_dir)
+    for path, odd, batch in ((first, 0, "first"), (clone, 1, "clone")):
+        rows = pois.filter(F.pmod("contentid", F.lit(2)) == odd).withColumn("batch", F.lit(batch))
+        schemas.conform(rows, readers.read_table(spark, path).schema).write.mode("append").parquet(path)
+    return readers.read_table(spark, first).unionByName(readers.read_table(spark, clone))
