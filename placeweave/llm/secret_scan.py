@@ -34,7 +34,7 @@ ship_by_value(__name__)
 # The three base kinds, in the order of equal starts, then more.
 KINDS = ("assign", "access", "hex", "pem", "prefixed")
 ASSIGN = re.compile(
-    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
 ASSIGN_LEAST = 6
 # A run that is long enough from its start is a run's first match, so the

@@ -139,3 +139,9 @@ def test_text_after_an_open_private_key_stays():
 def test_empty_table(documents):
     assert secret_scan.secret_report(documents([])).collect() == []
     assert secret_scan.redact(documents([])).collect() == []
+
+
+def test_only_ascii_letters_have_two_cases(documents):
+    rows = [(1, "to\u212aen = abcdef123", "en", "s"), (2, "\u017fecret = abcdef123", "en", "s"), (3, "ToKeN = abcdef123", "en", "s")]
+    got = {r.doc_id: r.n_assign for r in secret_scan.secret_report(documents(rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 1}
