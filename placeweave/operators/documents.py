@@ -7,6 +7,8 @@ expects one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,9 @@ PLACE_FIELDS = [
     ("icon_background_color", "iconBackgroundColor", "string"),
     ("short_formatted_address", "shortFormattedAddress", "string"),
     ("pure_service_area_business", "pureServiceAreaBusiness", "boolean"),
+    ("place_formatted_address", "formattedAddress", "string"),
+    ("place_types", "types", "[]"),
+    ("place_address_components", "addressComponents", "[]"),
 ]
 
 _NAME = "struct<text:string,languageCode:string>"
@@ -89,8 +94,9 @@ def _text(c: Column, missing: str | None) -> Column:
 
 
 def flatten_place_details(df: DataFrame, json_col: str, missing: str | None = None) -> DataFrame:
-    """Place documents to 28 columns; the source column is dropped. Rows
-    whose text is not JSON keep nulls."""
+    """Place documents to 31 columns; the source column is dropped. The
+    viewport has both corners, ``{}`` for an absent one. Text that is not JSON
+    counts as a document without any key."""
     fields = ",".join(
         f"{key}:{'string' if kind in ('{}', '[]') else kind}" for _, key, kind in PLACE_FIELDS
     )
@@ -105,6 +111,10 @@ def flatten_place_details(df: DataFrame, json_col: str, missing: str | None = No
     for name, key, kind in PLACE_FIELDS:
         value = F.col(f"_doc.{key}")
         out[name] = F.coalesce(value, F.lit(kind)) if kind in ("{}", "[]") else _text(value, missing)
+    corner = lambda name: F.coalesce(
+        F.get_json_object(F.col("_doc.viewport"), f"$.{name}"), F.lit("{}")
+    )
+    out["viewport"] = F.concat(F.lit('{"low":'), corner("low"), F.lit(',"high":'), corner("high"), F.lit("}"))
     out["latitude"] = _text(spot["latitude"], missing)
     out["longitude"] = _text(spot["longitude"], missing)
     for name, key in (("display_name", "displayName"), ("primary_type_display_name", "primaryTypeDisplayName")):
@@ -160,28 +170,68 @@ def pivot_address_components(df: DataFrame, json_col: str) -> DataFrame:
     parts = F.from_json(
         json_col, "array<struct<longText:string,shortText:string,types:array<string>>>"
     )
-    rows = df.withColumn("_parts", parts)
-    out, filled = {}, []
-    for order, kind in enumerate(ADDRESS_TYPES):
-        of_kind = F.filter("_parts", lambda c: F.array_contains(c["types"], kind))
-        last = F.try_element_at(of_kind, F.lit(-1))
-        value = F.when(last.isNotNull(), F.coalesce(last["longText"], F.lit("")))
-        out[ADDRESS_COLUMN_NAMES.get(kind, kind)] = value
+    rows = df.withColumn("_parts", parts).withColumn("_kinds", _first_and_last(F.col("_parts")))
+    filled = F.array_sort(
+        F.transform("_kinds", lambda k: F.struct(k["first"], k["order"], k["long"]))
+    )
+    rows = rows.withColumns(
+        {
+            "_filled": F.array_join(F.transform(filled, lambda f: f["long"]), ", "),
+            "_kinds": F.map_from_entries(F.transform("_kinds", lambda k: F.struct(k["kind"], k))),
+        }
+    )
+    out = {}
+    for kind in ADDRESS_TYPES:
+        of_kind = F.try_element_at("_kinds", F.lit(kind))
+        out[ADDRESS_COLUMN_NAMES.get(kind, kind)] = of_kind["long"]
         if kind == STATE_TYPE:
-            out["state"] = F.when(last.isNotNull(), F.coalesce(last["shortText"], F.lit("")))
-        first = F.array_position(
-            F.transform("_parts", lambda c: F.array_contains(c["types"], kind)), True
+            out["state"] = of_kind["short"]
+    out["formatted_address"] = F.col("_filled")
+    return rows.withColumns(out).drop("_parts", "_kinds", "_filled", json_col)
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` evaluated once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _first_and_last(parts: Column) -> Column:
+    """One entry per known type that occurs: its number in ``ADDRESS_TYPES``,
+    the place of its first component, the texts of its last one."""
+    known = F.array(*[F.lit(kind) for kind in ADDRESS_TYPES])
+    blank = F.lit("")
+    entries = F.flatten(
+        F.transform(
+            parts,
+            lambda c, at: F.transform(
+                F.coalesce(c["types"], F.array().cast("array<string>")),
+                lambda kind: F.struct(
+                    kind.alias("kind"),
+                    at.alias("first"),
+                    F.coalesce(c["longText"], blank).alias("long"),
+                    F.coalesce(c["shortText"], blank).alias("short"),
+                ),
+            ),
         )
-        filled.append(
-            F.when(
-                value.isNotNull(),
-                F.struct(first.alias("first"), F.lit(order).alias("kind"), value.alias("value")),
-            )
+    )
+
+    def summed(kind: Column, own: Column) -> Column:
+        last = F.try_element_at(own, F.lit(-1))
+        return F.struct(
+            kind.alias("kind"),
+            F.array_position(known, kind).alias("order"),
+            own[0]["first"].alias("first"),
+            last["long"].alias("long"),
+            last["short"].alias("short"),
+        )
+
+    def of(all_entries: Column) -> Column:
+        kinds = F.array_intersect(F.transform(all_entries, lambda e: e["kind"]), known)
+        return F.transform(
+            kinds, lambda kind: bind(F.filter(all_entries, lambda e: e["kind"] == kind), lambda own: summed(kind, own))
         )
-    ordered = F.array_sort(F.array_compact(F.array(*filled)))
-    joined = F.array_join(F.transform(ordered, lambda f: f["value"]), ", ")
-    out["formatted_address"] = F.when(F.col("_parts").isNotNull(), joined)
-    return rows.withColumns(out).drop("_parts", json_col)
+
+    return bind(entries, of)
 
 
 def first_component(components: Column, kind: str) -> Column:
@@ -302,6 +352,18 @@ def reconcile_ids(base: DataFrame, candidates: DataFrame, key: str = "contentid"
     ).drop("candidate_id")
 
 
+def alternate_details(
+    reconciled: DataFrame, details: DataFrame, place: str = "place_id", json_col: str = "place_details"
+) -> DataFrame:
+    """Adds ``alt_place_details``, the stored document of the alternate place;
+    null where there is no alternate id or no document. ``details`` has one
+    document per place id; of several, the greatest text counts."""
+    known = details.filter(F.col(place).isNotNull() & F.col(json_col).isNotNull())
+    known = known.groupBy(F.col(place).alias("_place")).agg(F.max(json_col).alias("alt_place_details"))
+    rows = reconciled.drop("alt_place_details")
+    return rows.join(known, F.col("alt_place_id") == F.col("_place"), "left").drop("_place")
+
+
 def fallback_enrich(
     base: DataFrame, primary: DataFrame, secondary: DataFrame, key: str, columns: list[str]
 ) -> DataFrame:

@@ -117,7 +117,7 @@ def alt_geocoder_map(spark, sf_dir):
 @query(
     "doc_flatten",
     sql="""SELECT p_partkey, p_name AS place_name, CASE WHEN p_size > 10 THEN CAST(p_retailprice AS VARCHAR) ELSE 'N/A' END AS place_rating,
-      CAST(p_size AS VARCHAR) AS user_rating_count, p_type AS primary_type, 'N/A' AS website_uri, '[]' AS reviews, '{}' AS viewport,
+      CAST(p_size AS VARCHAR) AS user_rating_count, p_type AS primary_type, 'N/A' AS website_uri, '[]' AS reviews, '{"low":{},"high":{}}' AS viewport,
       p_brand AS display_text, 'N/A' AS display_language, 1 AS landmarks, p_brand AS landmark_name, 'N/A' AS landmark_relation, 0 AS areas
     FROM part""",
 )
@@ -232,6 +232,71 @@ def id_reconcile(spark, sf_dir):
     return docs.reconcile_ids(base, candidates).drop("place_id")
 
 
+@query(
+    "alternate_details",
+    sql="""WITH c AS (SELECT e.event_id AS contentid, CAST(e.user_id AS VARCHAR) AS place_id,
+        CASE WHEN e.value > 0 THEN CAST(e.user_id % 200 AS VARCHAR) END AS candidate FROM events e),
+      d AS (SELECT CAST(c_custkey AS VARCHAR) AS place_id, c_name, c_acctbal FROM customer WHERE c_acctbal > 0)
+    SELECT contentid, CASE WHEN candidate <> c.place_id THEN candidate END AS alt_place_id,
+      CASE WHEN candidate = c.place_id THEN true END AS is_place_id_same,
+      CASE WHEN candidate <> c.place_id THEN c_name END AS alt_name,
+      CASE WHEN candidate <> c.place_id THEN c_acctbal END AS alt_rating
+    FROM c LEFT JOIN d ON d.place_id = candidate""",
+)
+def alternate_details(spark, sf_dir):
+    """The documents of alternate places next to the ids; ids without a
+    document and equal ids get none."""
+    events = table(spark, sf_dir, "events")
+    base = events.select(F.col("event_id").alias("contentid"), F.col("user_id").cast("string").alias("place_id"))
+    candidates = events.filter("value > 0").select(
+        F.col("event_id").alias("contentid"), (F.col("user_id") % 200).cast("string").alias("candidate_id")
+    )
+    document = F.struct(F.col("c_name").alias("name"), F.col("c_acctbal").alias("rating"))
+    details = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
+        F.col("c_custkey").cast("string").alias("place_id"), F.to_json(document).alias("place_details")
+    )
+    found = docs.alternate_details(docs.reconcile_ids(base, candidates), details)
+    return found.select(
+        "contentid", "alt_place_id", "is_place_id_same",
+        F.get_json_object("alt_place_details", "$.name").alias("alt_name"),
+        F.get_json_object("alt_place_details", "$.rating").cast("double").alias("alt_rating"),
+    )
+
+
+@query(
+    "stored_place_details",
+    sql="""SELECT p_partkey AS contentid, p_name AS place_name,
+      CASE WHEN p_size > 10 THEN concat(p_brand, ', ', p_type) ELSE CASE WHEN p_size <= 5 THEN 'old' ELSE 'N/A' END END AS place_formatted_address,
+      CASE WHEN p_size > 10 THEN concat('["', p_type, '","', p_brand, '"]') ELSE CASE WHEN p_size <= 5 THEN 'old' ELSE '[]' END END AS place_types,
+      CASE WHEN p_size > 10 THEN p_brand ELSE NULL END AS component_name,
+      CASE WHEN p_size > 5 THEN concat('{"low":', CASE WHEN p_size > 10 THEN concat('{"latitude":', p_size, '}') ELSE '{}' END, ',"high":{}}') ELSE 'old' END AS viewport
+    FROM part""",
+)
+def stored_place_details(spark, sf_dir):
+    """Documents upserted into the stored details: address, types, components
+    and viewport; parts without a document keep what is stored."""
+    part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "contentid")
+    full = F.col("p_size") > 10
+    component = F.struct(F.col("p_brand").alias("longText"), F.array(F.lit("route")).alias("types"))
+    document = F.struct(
+        F.col("p_name").alias("name"),
+        F.when(full, F.concat_ws(", ", "p_brand", "p_type")).alias("formattedAddress"),
+        F.when(full, F.array("p_type", "p_brand")).alias("types"),
+        F.when(full, F.array(component)).alias("addressComponents"),
+        F.when(full, F.struct(F.struct(F.col("p_size").alias("latitude")).alias("low"))).alias("viewport"),
+    )
+    fresh = part.filter("p_size > 5").select("contentid", F.to_json(document).alias("doc"))
+    names = ["contentid", "place_name", "place_formatted_address", "place_types", "place_address_components", "viewport"]
+    details = docs.flatten_place_details(fresh, "doc", missing="N/A").select(*names)
+    stored = part.select(
+        "contentid", F.col("p_name").alias("place_name"), *[F.lit("old").alias(c) for c in names[2:4]],
+        F.lit("[]").alias(names[4]), F.lit("old").alias("viewport"),
+    )
+    return docs.upsert_details(stored, details).select(
+        *names[:4], F.get_json_object(names[4], "$[0].longText").alias("component_name"), "viewport"
+    )
+
+
 @query(
     "fallback_enrich",
     sql="""SELECT o_orderkey, coalesce(c_name, p_name) AS name, coalesce(c_acctbal, p_retailprice) AS amount, c_custkey IS NOT NULL AS meta_present

@@ -86,6 +86,33 @@ def test_address_components(spark):
     assert rows[2].formatted_address == "" and rows[3].formatted_address is None and one.route is None
 
 
+def test_address_components_odd_shapes(spark):
+    odd = [
+        None,
+        {"longText": None, "shortText": None, "types": ["country", "country"]},
+        {"longText": "x", "types": None},
+        {"longText": "y", "types": [None, "unheard_of"]},
+        {"longText": "Z", "types": ["locality", "route"]},
+    ]
+    df = spark.createDataFrame([(1, json.dumps(odd)), (2, "no json")], "id int, j string")
+    rows = {r.id: r for r in documents.pivot_address_components(df, "j").collect()}
+    assert (rows[1].country, rows[1].route, rows[1].city, rows[1].state) == ("", "Z", "Z", None)
+    assert rows[1].formatted_address == ", Z, Z" and rows[2].city is None
+
+
+def test_alternate_details(spark):
+    base = spark.createDataFrame(
+        [("a", "1", "2"), ("b", "1", "1"), ("c", "1", None), ("d", None, "7"), ("e", "1", "2")],
+        "contentid string, place_id string, candidate_id string")
+    found = documents.reconcile_ids(base.drop("candidate_id"), base)
+    details = spark.createDataFrame(
+        [("2", "{1}"), ("2", "{2}"), ("1", "{3}"), (None, "{4}"), ("7", None)], "place_id string, place_details string")
+    out = documents.alternate_details(found, details)
+    assert sorted((r.contentid, r.alt_place_details) for r in out.collect()) == [
+        ("a", "{2}"), ("b", None), ("c", None), ("d", None), ("e", "{2}")]
+    assert documents.alternate_details(found.limit(0), details.limit(0)).count() == 0
+
+
 def test_geocode_first_component_and_failed_lookup(spark):
     result = {
         "address_components": [
@@ -106,7 +133,7 @@ def test_place_details_defaults(spark):
     df = spark.createDataFrame([(1, json.dumps(doc)), (2, "not json")], "id int, j string")
     row = documents.flatten_place_details(df, "j", missing="N/A").filter("id = 1").first()
     assert (row.place_name, row.latitude, row.longitude, row.place_rating) == ("x", "1.0", "N/A", "N/A")
-    assert row.reviews == "[]" and json.loads(row.viewport) == {"low": {"latitude": 3}}
+    assert row.reviews == "[]" and json.loads(row.viewport) == {"low": {"latitude": 3}, "high": {}}
     assert row.address_descriptor.areas[0].containment == "WITHIN" and row.address_descriptor.landmarks == []
     typed = documents.flatten_place_details(df, "j").filter("id = 1").first()
     assert typed.latitude == 1.0 and typed.place_rating is None
