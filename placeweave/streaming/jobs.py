@@ -7,19 +7,31 @@ again after a failure replaces its own output and nothing is counted twice.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from placeweave.operators.keyed import one_per_key
 
 
-def _start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def _start(
+    stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(work)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -114,14 +126,64 @@ def first_seen(stream: DataFrame, key: str, time: str, delay: str = "10 minutes"
     return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def _ids_of_other_runs(spark: SparkSession, path: str, checkpoint: str, schema: T.StructType, key: str) -> DataFrame:
+    """What other runs stored at ``path`` as a second source of the stream. The
+    list is written beside the checkpoint at its first start and stays, so a
+    restart has the same sources."""
+    place = f"{checkpoint}/earlier"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.sc().hadoopConfiguration()).exists(done):
+        listed = spark.createDataFrame([], T.StructType([schema[key]]))
+        stored = _earlier(listed, path, _run(checkpoint), 0)
+        ids = listed if stored is None else stored.select(key).distinct()
+        ids.write.mode("overwrite").parquet(place)
+    return spark.readStream.schema(T.StructType([schema[key]])).parquet(place)
+
+
 def first_seen_ever(stream: DataFrame, path: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
-    """Store the first arrival of each key, without a time limit and without
-    state in memory: a batch is checked against what is stored."""
+    """Store the first arrival of each key, without a time limit.
+
+    The state holds one row per key in RocksDB; a batch looks up its own keys
+    there and reads nothing that is stored. Of the rows of a key in one batch
+    the first in ``order`` counts; tasks send one row per key, so a frequent
+    key is no special case. Null keys are dropped. Ids that other runs stored
+    at ``path`` are read once, with the first batch of a checkpoint.
+    """
     run = _run(checkpoint)
+    spark = stream.sparkSession
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    arrivals = stream.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.lit(1).alias("_new"), F.struct(*order).alias("_order"), row.alias("_row")
+    )
+    before = _ids_of_other_runs(spark, path, checkpoint, stream.schema, key).select(
+        F.col(key).alias("_key"),
+        F.lit(0).alias("_new"),
+        *[F.lit(None).cast(arrivals.schema[c].dataType).alias(c) for c in ("_order", "_row")],
+    )
+    # one value per batch, the same when a batch is run again
+    timed = arrivals.unionByName(before).withColumn("_at", F.current_timestamp())
+    firsts = timed.groupBy("_key").agg(
+        F.min_by(F.struct("_new", "_row"), F.struct("_at", "_new", "_order")).alias("_first"),
+        F.min("_at").alias("_since"),
+        F.max("_at").alias("_until"),
+    )
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        arrivals = one_per_key(batch.filter(F.col(key).isNotNull()), [key], [F.col(c) for c in order])
-        old = _earlier(batch, path, run, batch_id)
-        _store(arrivals if old is None else arrivals.join(old.select(key), key, "left_anti"), path, run, batch_id)
+        fresh = batch.filter("_first._new = 1 and _since = _until").select("_first._row.*")
+        _store(fresh, path, run, batch_id)
 
-    return _start(stream, work, checkpoint)
+    with _state_on_disk(spark):
+        return _start(firsts, work, checkpoint, "update")
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB and store changes only."""
+    earlier = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in earlier.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

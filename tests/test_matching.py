@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeweave.functions import geo, vectors
-from placeweave.operators import blocking, compare, keyed, tiers, vector_join
+from placeweave.operators import blocking, compare, keyed, search, tiers, vector_join
 from placeweave.operators.tiers import TierRules
 
 RULES = TierRules()
@@ -220,3 +220,36 @@ def test_vector_scores_empty_and_missing(spark):
     assert _set(compare.score_vectors(pairs, vecs), "contentid1", "contentid2", "score") == {
         ("a", "b", 0.0), ("a", "d", 0.0), ("b", "b", 0.0)
     }
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most", [0, 1, 3])
+def test_edit_pairs_match_brute_force(spark, most):
+    rng = random.Random(most)
+    titles = ["", "a", "ab", "é", "aaaa", "aaaaaaaa", "bababababa"]
+    titles += ["".join(rng.choice("abé") for _ in range(rng.randint(0, 14))) for _ in range(120)]
+    for t in titles[20:60]:
+        at = rng.randint(0, len(t))
+        titles.append(t[:at] + rng.choice(["x", "", "ab"]) + t[at + rng.randint(0, 2):])
+    rows = [(i, t) for i, t in enumerate(titles)] + [(900, None), (None, "only"), (901, titles[-1]), (902, titles[-1])]
+    df = spark.createDataFrame(rows, "id long, title string").withColumns({"size": F.lit(1), "part": F.lit("p")})
+    smallest = {}
+    for i, t in rows:
+        if t is not None and i is not None:
+            smallest.setdefault(t, i)
+    want = set()
+    for a, i in smallest.items():
+        for b, j in smallest.items():
+            if i < j and _edits(a, b) <= most:
+                want.add((i, j, _edits(a, b)))
+    got = [tuple(r) for r in search.edit_pairs(df, "id", "title", most, tile_rows=16).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert search.edit_pairs(df.limit(0), "id", "title", most).count() == 0

@@ -167,3 +167,23 @@ def test_first_seen_ever(spark):
     path = scratch_path(spark, "seen")
     jobs.first_seen_ever(_stream(spark, frames), path, scratch_path(spark, "p"), "id", ["n"]).awaitTermination()
     assert [r[0] for r in _rows(spark.read.parquet(path).select("id"))] == ["a", "b"]
+
+
+def test_first_seen_ever_over_restarts_and_runs(spark):
+    kind = "id string, n int, extra map<string,int>"
+    path, progress, arrivals = (scratch_path(spark, x) for x in ("seen", "p", "arrivals"))
+
+    def arrive(rows, checkpoint):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(kind).parquet(arrivals)
+        query = jobs.first_seen_ever(stream, path, checkpoint, "id", ["n"])
+        query.awaitTermination()
+        return sorted((r.id, r.n) for r in spark.read.parquet(path).collect())
+
+    assert arrive([("a", 2, {"x": 1}), ("a", 1, None)] * 50, progress) == [("a", 1)]
+    assert arrive([("a", 0, None), ("b", None, None)], progress) == [("a", 1), ("b", None)]
+    # another checkpoint reads all arrivals again, and stores the new id only
+    other = scratch_path(spark, "p")
+    assert arrive([("c", 7, None)], other) == [("a", 1), ("b", None), ("c", 7)]
+    assert arrive([("c", 1, None), ("d", 1, None)], other) == [("a", 1), ("b", None), ("c", 7), ("d", 1)]
+    assert all(spark.conf.get(name, None) != value for name, value in jobs.STATE_SETTINGS.items())
