@@ -4,7 +4,9 @@ Statistics of each text are turned into a vector of five nearly normal
 coordinates. For every (language, source) the minimum-covariance-determinant
 estimate of centre and scatter is found by concentration steps: keep the three
 quarters of the rows with the smallest Mahalanobis distance, estimate again,
-repeat; a last step reweights. Rows beyond ``CUTOFF`` are rejected.
+repeat; a last step reweights. Rows beyond the cut of their group are rejected:
+``TAIL`` times the distance that nine tenths of the group's rows stay below,
+within ``CUTS``, so a group with heavy tails is judged less strictly.
 
 Everything is DataFrame aggregation. A step moves one partial aggregate per
 task and group, so a source that holds a third of all rows is no special case;
@@ -13,9 +15,10 @@ logarithmic distance bins and so counts every row.
 
 Defined cases: null text counts as empty and fails the base rule (fewer than
 ten words); null languages and sources are groups of their own; a pair with
-fewer than ``MIN_GROUP`` rows is judged with the other small pairs of its
-language, and where these are still too few no row is rejected as an outlier;
-repeated rows are judged alike; an empty table gives an empty table.
+fewer than ``MIN_GROUP`` sound rows is judged with the other small pairs of its language,
+where these are still too few by the estimate of all rows of the language, and
+where these are too by that of all rows; repeated rows are judged alike; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ MAX_REPEAT_PERCENT = 20
 SYMBOLS = "[#*$%&|<>]"
 
 MIN_GROUP = 60
+EVERYTHING = "a"
 KEEP_SHARE = 0.75
 STEPS = 4
 BINS_PER_OCTAVE = 16
@@ -42,9 +46,12 @@ BINS_PER_OCTAVE = 16
 # whole, and the 97.5 % point of chi-square.
 CONSISTENCY = 1.41
 REWEIGHT_BELOW = 12.83
-# Squared distance beyond which a text is rejected. Far above the chi-square
-# points, since clean texts have heavier tails than a normal law.
-CUTOFF = 80.0
+# A group's cut, as a multiple of the squared distance at ``TAIL_SHARE`` of its
+# rows (9.24 for normal rows), and its bounds. Clean texts have heavier tails than
+# a normal law, so even the lower bound is beyond the chi-square points.
+TAIL = 4.0
+TAIL_SHARE = 0.9
+CUTS = (30.0, 80.0)
 
 # Coordinate name, smallest scale (standard deviation) it is measured with.
 COORDINATES = {
@@ -195,25 +202,41 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return rows.join(estimates, "key").select("key", "x", far.alias("d"))
 
 
-def _inner_share(measured: DataFrame) -> DataFrame:
-    """Rows of ``measured`` in the bins that make up ``KEEP_SHARE`` of a key."""
-    step = F.floor(BINS_PER_OCTAVE * F.log2(F.col("d") + 1e-9)).alias("bin")
-    counts = measured.groupBy("key", step).agg(F.count(F.lit(1)).alias("n"))
+def _limits(measured: DataFrame, share: float) -> DataFrame:
+    """(key, top): the last of the lowest bins that make up ``share`` of a key."""
+    counts = measured.groupBy("key", _bin().alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     upwards = Window.partitionBy("key").orderBy("bin")
     whole = Window.partitionBy("key")
     limits = (
         counts.withColumn("below", F.sum("n").over(upwards) - F.col("n"))
         .withColumn("total", F.sum("n").over(whole))
-        .filter(F.col("below") < KEEP_SHARE * F.col("total"))
+        .filter(F.col("below") < share * F.col("total"))
         .groupBy("key")
         .agg(F.max("bin").alias("top"))
     )
-    limits = settle(limits, "mcd-limits")
-    return measured.join(limits, "key").filter(step <= F.col("top")).select("key", "x")
+    return settle(limits, "mcd-limits")
+
+
+def _bin() -> Column:
+    return F.floor(BINS_PER_OCTAVE * F.log2(F.col("d") + 1e-9))
+
+
+def _inner_share(measured: DataFrame) -> DataFrame:
+    """Rows of ``measured`` in the bins that make up ``KEEP_SHARE`` of a key."""
+    limits = _limits(measured, KEEP_SHARE)
+    return measured.join(limits, "key").filter(_bin() <= F.col("top")).select("key", "x")
+
+
+def _with_cut(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Adds each key's ``cut`` to its estimate."""
+    edge = F.pow(F.lit(2.0), (F.col("top") + 1) / F.lit(BINS_PER_OCTAVE))
+    cut = F.greatest(F.lit(CUTS[0]), F.least(F.lit(CUTS[1]), TAIL * edge))
+    limits = _limits(_with_distance(rows, estimates), TAIL_SHARE)
+    return settle(estimates.join(limits.select("key", cut.alias("cut")), "key"), "mcd-cuts")
 
 
 def mcd_estimates(rows: DataFrame) -> DataFrame:
-    """(key, estimate) of rows (key, x): reweighted MCD of every key."""
+    """(key, estimate, cut) of rows (key, x): reweighted MCD of every key."""
     p = len(COORDINATES)
     middle = settle(
         rows.groupBy("key").agg(
@@ -242,25 +265,45 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         estimates = _estimate(_inner_share(_with_distance(rows, estimates)), CONSISTENCY)
     near = _with_distance(rows, estimates).filter(F.col("d") < REWEIGHT_BELOW)
-    return _estimate(near.select("key", "x"), 1.0)
+    return _with_cut(rows, _estimate(near.select("key", "x"), 1.0))
 
 
 def _keyed(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Key of every (language, source), and the rows that estimates come from."""
+    """Per (language, source) the ``key`` that judges it and the keys that its
+    rows ``feed``, and the rows that estimates come from."""
     pair = [F.col("lang"), F.col("source")]
     sound = stats.filter(~base_failed(F.col("stats")))
     sizes = sound.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"))
     small = F.col("n") < MIN_GROUP
-    pooled = F.sum(F.when(small, F.col("n"))).over(Window.partitionBy("lang"))
+    language = Window.partitionBy("lang")
     label = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
     own = F.concat(F.lit("s"), F.length(label(F.col("lang"))), label(F.col("lang")), label(F.col("source")))
     shared = F.concat(F.lit("l"), label(F.col("lang")))
-    keys = sizes.withColumn("pooled", pooled).select(
-        F.col("lang").alias("k_lang"),
-        F.col("source").alias("k_source"),
-        F.when(~small, own).when(F.col("pooled") >= MIN_GROUP, shared).alias("key"),
+    whole = F.concat(F.lit("w"), label(F.col("lang")))
+    sums = sizes.withColumn("pooled", F.sum(F.when(small, F.col("n"))).over(language))
+    keys = sums.withColumn("total", F.sum("n").over(language)).select(
+        *pair,
+        F.when(~small, own)
+        .when(F.col("pooled") >= MIN_GROUP, shared)
+        .when(F.col("total") >= MIN_GROUP, whole)
+        .otherwise(EVERYTHING)
+        .alias("key"),
+    )
+    of_language = F.max(F.col("key") == whole).over(language)
+    keys = settle(keys.withColumn("of_language", of_language), "mcd-keys")
+    of_all = not keys.filter(F.col("key") == EVERYTHING).isEmpty()
+    feeds = F.array(
+        F.col("key"), F.when(F.col("of_language"), whole), F.lit(EVERYTHING if of_all else None).cast("string")
+    )
+    return (
+        keys.select(
+            F.col("lang").alias("k_lang"),
+            F.col("source").alias("k_source"),
+            "key",
+            F.array_distinct(F.array_compact(feeds)).alias("feeds"),
+        ),
+        sound,
     )
-    return settle(keys, "mcd-keys"), sound
 
 
 def _add_key(df: DataFrame, keys: DataFrame) -> DataFrame:
@@ -273,27 +316,33 @@ def estimates_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     settled rows (lang, source, stats)."""
     keys, sound = _keyed(stats)
     x = F.array(*_vector(F.col("stats")))
-    rows = _add_key(sound.select("lang", "source", "stats"), keys).filter("key is not null")
-    return keys, mcd_estimates(settle(rows.select("key", x.alias("x")), "mcd-rows"))
+    rows = _add_key(sound.select("lang", "source", "stats"), keys).select(F.explode("feeds").alias("key"), x.alias("x"))
+    return keys.drop("feeds"), mcd_estimates(settle(rows, "mcd-rows"))
 
 
 def judge(rows: DataFrame, keys: DataFrame, estimates: DataFrame) -> DataFrame:
     """``rows`` (lang, source, stats and any others) with ``base_failed``,
     ``distance`` (null without an estimate) and ``kept``.
 
-    Column names ``key``, ``k_lang``, ``k_source``, ``estimate``,
+    Column names ``key``, ``k_lang``, ``k_source``, ``estimate``, ``cut``,
     ``base_failed``, ``distance`` and ``kept`` must be free."""
     x = F.array(*_vector(F.col("stats")))
     far = F.when(
         F.col("estimate").isNotNull(), _distance(x, F.col("estimate"), len(COORDINATES))
     )
+
+    # in one expression: a filter on it isn't taken apart and pushed below the
+    # joins, where it would count the texts again
+    def verdict(stats: Column) -> Column:
+        return ~base_failed(stats) & F.coalesce(F.col("distance") <= F.col("cut"), F.lit(True))
+
     return (
         _add_key(rows, keys)
         .join(estimates, "key", "left")
         .withColumn("base_failed", base_failed(F.col("stats")))
         .withColumn("distance", far)
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True)))
-        .drop("key", "estimate")
+        .withColumn("kept", bind(F.col("stats"), verdict))
+        .drop("key", "estimate", "cut")
     )
 
 
