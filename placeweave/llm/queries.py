@@ -20,6 +20,7 @@ from placeweave.llm import (
     token_trees,
 )
 from placeweave.plans.registry import table
+from placeweave.session import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +32,11 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.secret_report(_documents(spark, sf_dir))
+    """In two rounds over one ledger: the second finds every text seen under one
+    rule version and scans it for the other."""
+    docs, ledger = _documents(spark, sf_dir), scratch_path(spark, "ledger")
+    secret_scan.update_ledger(docs, ledger, rules=["base@1"])
+    return secret_scan.secret_report(docs, ledger)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

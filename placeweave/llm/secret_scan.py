@@ -13,16 +13,17 @@ is left to adaptive execution to split, as both sides are plain scans.
 
 Defined cases: null text counts as empty and has no findings; repeated rows and
 null ids are paths like others; an empty table adds nothing to the ledger and
-gives an empty table; a ledger that two runs wrote at once may hold a pair
+gives an empty table; a missing ledger is an empty one; a ledger that two runs wrote at once may hold a pair
 twice, which is read once.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeweave.functions.shipping import ship_by_value
@@ -144,12 +145,13 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def update_ledger(docs: DataFrame, ledger: str, first: bool = False) -> None:
-    """Scan the texts of ``docs`` for the pairs that ``ledger`` (a path) lacks
-    and append them. ``first``: there is no ledger yet."""
+def update_ledger(docs: DataFrame, ledger: str, first: bool = False, rules: Iterable[str] | None = None) -> None:
+    """Scan the texts of ``docs`` under ``rules`` (all, unless some are given)
+    for the pairs that ``ledger`` (a path) lacks and append them. ``first``:
+    there is no ledger yet, so nothing is looked up."""
     spark = docs.sparkSession
     texts = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-    wanted = F.array(*[F.lit(r) for r in RULES])
+    wanted = F.array(*[F.lit(r) for r in (RULES if rules is None else rules)])
     if first:
         todo = texts.dropDuplicates(["blob"]).withColumn("missing", wanted)
     else:
@@ -165,7 +167,11 @@ def update_ledger(docs: DataFrame, ledger: str, first: bool = False) -> None:
     todo.mapInArrow(_scan, LEDGER_SCHEMA).write.mode("append").parquet(ledger)
 
 
-def read_ledger(spark, ledger: str) -> DataFrame:
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """Rows of a ledger; one that doesn't exist yet has none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not place.getFileSystem(spark._jsc.sc().hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 

@@ -74,6 +74,19 @@ def test_only_unseen_pairs_are_scanned(spark, documents, tmp_path, monkeypatch):
     assert r[4].n_assign == len(brute(TEXTS[1]))
 
 
+def test_rounds_over_a_ledger_equal_one_scan(spark, documents, odd_rows, tmp_path):
+    docs, ledger = documents(rows_of(odd_rows)), str(tmp_path / "rounds")
+    assert secret_scan.read_ledger(spark, ledger).count() == 0
+    secret_scan.update_ledger(docs, ledger, rules=["base@1"])
+    blobs = docs.select(secret_scan.blob_of(docs.text)).distinct().count()
+    assert [r.rule_version for r in spark.read.parquet(ledger).collect()] == ["base@1"] * blobs
+    key = lambda r: str(r)
+    got = sorted(secret_scan.secret_report(docs, ledger).collect(), key=key)
+    assert got == sorted(secret_scan.secret_report(docs).collect(), key=key)
+    ledgered = sorted(r.rule_version for r in spark.read.parquet(ledger).collect())
+    assert ledgered == sorted([*secret_scan.RULES] * blobs)
+
+
 def test_redaction_covers_every_span(documents, odd_rows):
     rows = rows_of(odd_rows)
     docs = documents(rows).withColumnRenamed("lang", "blob").withColumnRenamed("source", "found")
