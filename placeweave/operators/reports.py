@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.functions import text
+from placeweave.operators.order import exact_quantiles, running_totals
 from placeweave.schemas import DEFAULT_TAG, TIER_TAGS
-
-# Values of one bucket of the running total; a task sees one bucket or the
-# list of buckets, never all values.
-CDF_BUCKET = 1024
+from placeweave.session import settle
 
 
 def block_occupancy(df: DataFrame, cell: str = "cell", min_count: int = 2) -> DataFrame:
@@ -33,33 +31,22 @@ def histogram(df: DataFrame, value: str) -> DataFrame:
 def cumulative_share(counts: DataFrame, value: str, frequency: str = "frequency") -> DataFrame:
     """Share of rows up to each value of a histogram.
 
-    Running totals are taken within buckets of values and over the bucket
-    sums, so the values are never sorted in one place.
+    Running totals are taken within ranges of values and over the sums of the
+    ranges, so the values are never sorted in one place.
     """
-    counts = counts.withColumn("_bucket", F.floor(F.col(value) / CDF_BUCKET))
-    sums = counts.groupBy("_bucket").agg(F.sum(frequency).alias("_sum"))
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = sums.select(
-        "_bucket",
-        F.coalesce(F.sum("_sum").over(running), F.lit(0)).alias("_before"),
-        F.sum("_sum").over(everything).alias("_total"),
-    )
-    inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        counts.withColumn("_inside", F.sum(frequency).over(inside))
-        .join(offsets, "_bucket")
-        .select(value, ((F.col("_before") + F.col("_inside")) / F.col("_total")).alias("cumulative"))
-    )
+    totals = running_totals(counts.select(value, F.col(frequency).alias("_n")), value, "_n")
+    return totals.select(value, ((F.col("before") + F.col("_n")) / F.col("total")).alias("cumulative"))
 
 
 def box_plot(df: DataFrame, value: str) -> DataFrame:
     """Median, quartiles, whiskers (furthest value within 1.5 quartile
     ranges) and the number of values beyond them."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    def at(fraction: float) -> Column:
+        return F.max(F.when(F.col("fraction") == fraction, F.col("quantile")))
+
     spread = (
-        df.agg(q.alias("q"))
-        .select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+        settle(exact_quantiles(df, value, [0.25, 0.5, 0.75]), "quartiles")
+        .agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
         .withColumn("reach", (F.col("q3") - F.col("q1")) * 1.5)
     )
     low = spread.select(F.col("q1") - F.col("reach")).scalar()

@@ -15,7 +15,7 @@ from placeweave.plans.geography import nation_areas
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
 from placeweave.session import scratch_path, settle
-from placeweave.sources import keyed_table, readers, writers
+from placeweave.sources import json_elements, keyed_table, readers, writers
 
 
 @query(
@@ -139,6 +139,60 @@ def json_array_counts(spark, sf_dir):
     return readers.read_array_parts(spark, path, "c_mktsegment string, n long")
 
 
+@query(
+    "object_arrays",
+    sql="SELECT doc_id, lang, md5(text) AS text_md5, CAST(n_chars AS BIGINT) AS n_chars FROM documents",
+)
+def object_arrays(spark, sf_dir):
+    """Foreign files of one long JSON array each, cut at braces wherever they
+    lie; texts hold quotes, backslashes and braces."""
+    path = scratch_path(spark, "arrays")
+    docs = table(spark, sf_dir, "documents")
+    tricky = F.concat(F.lit('{"}\\'), F.coalesce("text", F.lit("")), F.lit('\\"}{['))
+    body = F.struct("lang", F.when(F.col("text").isNotNull(), tricky).alias("text"), F.array("n_chars").alias("sizes"))
+    element = F.to_json(F.struct("doc_id", body.alias("body")))
+    arrays = docs.groupBy(F.floor(F.col("doc_id") / 200).alias("part")).agg(F.collect_list(element).alias("e"))
+    arrays.select(F.concat(F.lit("["), F.array_join("e", ",\n"), F.lit("]"))).write.text(path)
+    back = json_elements.read_object_array(
+        spark, path, "doc_id long, body struct<lang: string, text: string, sizes: array<long>>"
+    )
+    text = F.expr("substring(body.text, 5, length(body.text) - 9)")
+    return back.select(
+        "doc_id", "body.lang", F.md5(text.cast("binary")).alias("text_md5"), F.col("body.sizes")[0].alias("n_chars")
+    )
+
+
+@query(
+    "geojson_collection",
+    sql="""SELECT c_name, CASE WHEN c_custkey % 10 <> 0 THEN 1 END AS rings, CASE WHEN c_custkey % 10 <> 0 THEN c_custkey % 170 + 1e0 END AS x,
+      CASE WHEN c_custkey % 10 <> 0 THEN c_custkey % 80 + 0e0 END AS y FROM customer""",
+)
+def geojson_collection(spark, sf_dir):
+    """Feature collections of a thousand polygons, some without a geometry,
+    written in the foreign form and read by many tasks."""
+    path = scratch_path(spark, "collection")
+    customers = table(spark, sf_dir, "customer")
+    x, y = F.col("c_custkey") % 170 + F.lit(0.0), F.col("c_custkey") % 80 + F.lit(0.0)
+    corners = [(x, y), (x + 1, y), (x + 1, y + 1), (x, y)]
+    shape = F.struct(
+        F.lit("Polygon").alias("type"), F.array(F.array(*[F.array(*c) for c in corners])).alias("coordinates")
+    )
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct("c_name").alias("properties"),
+        F.when(F.col("c_custkey") % 10 != 0, shape).alias("geometry"),
+    )
+    written = F.to_json(feature, {"ignoreNullFields": "false"})
+    parts = customers.groupBy(F.floor(F.col("c_custkey") / 1000).alias("part")).agg(F.collect_list(written).alias("e"))
+    opening = '{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"CRS84"}},"features":['
+    parts.select(F.concat(F.lit(opening), F.array_join("e", ","), F.lit("]}"))).write.text(path)
+    ring = F.col("rings")[0]
+    return readers.read_geojson(spark, path).select(
+        F.get_json_object("properties", "$.c_name").alias("c_name"),
+        F.size("rings").alias("rings"), ring[1]["x"].alias("x"), ring[1]["y"].alias("y"),
+    )
+
+
 @query(
     "upsert_table",
     sql="SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'REPLACED' ELSE c_name END AS c_name FROM customer",

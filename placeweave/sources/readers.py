@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeweave.schemas import RAW_PLACE_SCHEMA
+from placeweave.sources.json_elements import read_elements
 
 _JSON_MODES = {"drop": "DROPMALFORMED", "fail": "FAILFAST", "null": "PERMISSIVE"}
 
@@ -38,8 +39,8 @@ def read_places_json(spark: SparkSession, path: str, on_bad: str = "drop") -> Da
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A file that holds one JSON array. One task reads a file, so this is
-    for files of moderate size; use JSON lines for more."""
+    """A file that holds one JSON array of values of any kind. One task reads a
+    file; ``json_elements.read_object_array`` reads large arrays of objects."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
@@ -70,17 +71,17 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     """Features as ``(feature, properties, kind, coordinates, rings)``.
 
     ``rings`` is an array of rings of (x, y) for polygons and multipolygons
-    and null for other geometries. A collection file is read by one task; a
-    file of one feature per line (``lines``) is read in parallel.
+    and null for other geometries. A collection is read by many tasks, cut at
+    its braces; a file of one feature per line (``lines``) at its lines.
     """
     if lines:
         features = spark.read.schema(_GEOJSON_SCHEMA).json(path).withColumn("feature", F.lit(None).cast("int"))
     else:
-        schema = T.StructType([T.StructField("features", T.ArrayType(_GEOJSON_SCHEMA))])
         features = (
-            spark.read.schema(schema).option("multiLine", True).json(path)
-            .select(F.posexplode("features").alias("feature", "f"))
+            read_elements(spark, path, "features")
+            .select(F.col("element").cast("int").alias("feature"), F.from_json("value", _GEOJSON_SCHEMA).alias("f"))
             .select("feature", "f.*")
+            .filter(F.col("type") == "Feature")
         )
     kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
     polygon = F.from_json(F.when(kind == "Polygon", text), "array<array<array<double>>>")
