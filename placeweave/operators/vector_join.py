@@ -43,6 +43,15 @@ def _similar(id_col: str, vec: str, limit: float, include_self: bool, names: lis
         two = right.take(pa.array(j))
         before = pc.less_equal if include_self else pc.less
         kept = before(one.column(id_col + "1"), two.column(id_col + "2"))
+        if len(i) and left.column("_lc1")[0].as_py() < left.column("_rc1")[0].as_py():
+            # two chunks meet in this tile alone: pairs that lie the other way are turned
+            turned = pc.greater(one.column(id_col + "1"), two.column(id_col + "2"))
+            kept = pc.or_(kept, turned)
+            turned = turned.to_numpy(zero_copy_only=False) if isinstance(turned, pa.Array) else turned.to_numpy()
+            order = np.arange(len(i))
+            both = [pa.concat_tables([x, y.rename_columns(x.column_names)]) for x, y in ((one, two), (two, one))]
+            pick = pa.array(np.where(turned, order + len(i), order))
+            one, two = both[0].take(pick), both[1].take(pick)
         # keys carry the suffix of their side; both sides hold the same value
         columns = [
             two.column(n) if n in two.column_names else one.column(n if n in one.column_names else n + "1")
@@ -101,11 +110,14 @@ def _native(df, keys, id_col, vec, limit, include_self) -> DataFrame:
 
 
 def _tiled(df, keys, id_col, vec, limit, include_self, names) -> DataFrame:
-    chunk = F.pmod(F.xxhash64(id_col), F.col("_chunks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    # each unordered pair of chunks is one tile, the smaller chunk on its left
+    df = df.withColumn("_own", F.pmod(F.xxhash64(id_col), F.col("_chunks")).cast("int"))
+    later = F.explode(F.sequence("_own", F.col("_chunks") - 1))
+    earlier = F.explode(F.sequence(F.lit(0), "_own"))
     groups = [*keys, "_lc", "_rc"]
-    a = suffixed(df.withColumn("_lc", chunk).withColumn("_rc", every).drop("_chunks"), "1", [])
-    b = suffixed(df.withColumn("_rc", chunk).withColumn("_lc", every).drop("_chunks"), "2", [])
+    a = df.withColumn("_rc", later).withColumnRenamed("_own", "_lc").drop("_chunks")
+    b = df.withColumn("_lc", earlier).withColumnRenamed("_own", "_rc").drop("_chunks")
+    a, b = suffixed(a, "1", []), suffixed(b.select(*a.columns), "2", [])
     kinds = {f.name: f.dataType for f in (*df.schema.fields, *a.schema.fields, *b.schema.fields)}
     schema = T.StructType(
         [T.StructField(n, kinds[n]) for n in names] + [T.StructField("score", T.DoubleType())]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeweave.functions import geo
-from placeweave.operators import ingest, spatial
+from placeweave.operators import density, ingest, spatial
 from placeweave.plans.places import PLACES_SQL, haversine_sql, places
 from placeweave.plans.registry import query, table
 from placeweave.schemas import ensure_columns
@@ -313,3 +313,39 @@ def geometry_json(spark, sf_dir):
         "n_name", F.col("g.type").alias("kind"), F.size(ring).alias("corners"),
         F.round(ring[0][0], 6).alias("first_x"), F.round(ring[0][1], 6).alias("first_y"),
     )
+
+
+_CLUSTERS_SQL = f"""WITH RECURSIVE {PLACES_SQL.strip()},
+    spots AS (SELECT contentid, latitude, longitude, CAST(floor((latitude+90)/(180/pow(2e0,13))) AS BIGINT) AS r,
+      CAST(floor((longitude+180)/(180/pow(2e0,13))) AS BIGINT) AS c FROM poi),
+    dense AS (SELECT r, c, min(contentid) AS least FROM spots WHERE r IS NOT NULL AND c IS NOT NULL GROUP BY r, c HAVING count(*) >= 4),
+    reached AS (SELECT r, c, least FROM dense
+      UNION SELECT d.r, d.c, x.least FROM reached x JOIN dense d ON abs(d.r - x.r) <= 1 AND abs(d.c - x.c) <= 1),
+    labels AS (SELECT r, c, min(least) AS cluster FROM reached GROUP BY r, c)"""
+
+
+def _clustered(spark, sf_dir):
+    spots = places(spark, sf_dir).select("contentid", "latitude", "longitude")
+    return density.density_clusters(spots, "contentid", "latitude", "longitude", 13, 4)
+
+
+@query(
+    "density_clusters",
+    sql=f"{_CLUSTERS_SQL} SELECT contentid, cluster FROM spots LEFT JOIN labels USING (r, c)",
+)
+def density_clusters(spark, sf_dir):
+    """Each place with its cluster of densely occupied cells, if any."""
+    return _clustered(spark, sf_dir).select("contentid", "cluster")
+
+
+@query(
+    "density_cluster_boxes",
+    sql=f"""{_CLUSTERS_SQL}
+    SELECT cluster, count(*) AS members, round(min(latitude), 6) AS min_lat, round(max(latitude), 6) AS max_lat,
+      round(min(longitude), 6) AS min_lon, round(max(longitude), 6) AS max_lon FROM spots JOIN labels USING (r, c) GROUP BY cluster""",
+)
+def density_cluster_boxes(spark, sf_dir):
+    """Bounding box and size of each cluster."""
+    boxes = density.cluster_boxes(_clustered(spark, sf_dir), "latitude", "longitude")
+    corners = [F.round(c, 6).alias(c) for c in ("min_lat", "max_lat", "min_lon", "max_lon")]
+    return boxes.select("cluster", "members", *corners)

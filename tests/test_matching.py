@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,6 +183,22 @@ def test_cosine_pairs_of_mixed_lengths(spark, native_rows, tile_rows):
     assert pairs.columns == ["cell", "id1", "id2", "score"]
 
 
+@pytest.mark.parametrize("include_self", [False, True])
+def test_cosine_tiles_meet_once(spark, include_self):
+    rng = np.random.default_rng(4)
+    vecs = rng.normal(size=(60, 3))
+    names = [f"n{(i * 37) % 101}" for i in range(60)]
+    rows = spark.createDataFrame([(n, 1, v.tolist(), i) for i, (n, v) in enumerate(zip(names, vecs))], "id string, cell int, vec array<double>, extra long")
+    got = vector_join.cosine_pairs(rows, ["cell"], "id", "vec", 0.6, include_self, 5, 10).collect()
+    unit = vecs / np.linalg.norm(vecs, axis=1)[:, None]
+    want = {
+        (names[i], names[j], i, j)
+        for i in range(60) for j in range(60)
+        if (names[i] < names[j] or include_self and i == j) and unit[i] @ unit[j] > 0.6
+    }
+    assert len(got) == len(want) and {(r.id1, r.id2, r.extra1, r.extra2) for r in got} == want
+
+
 def test_merge_keeps_one_shape_and_partner_order(spark):
     base = spark.createDataFrame([(i, f"d{i}") for i in range(30)], "contentid long, description string")
     pairs = spark.createDataFrame([(0, i) for i in range(1, 30)], "contentid1 long, contentid2 long")
