@@ -95,18 +95,33 @@ def polygon_filter(spark, sf_dir):
     return places(spark, sf_dir).filter(inside).select("contentid", "cell")
 
 
-def nation_areas(spark, sf_dir):
-    """A diamond per nation, spread over the box; some overlap."""
-    key = F.col("n_nationkey")
+def _diamonds(named, key):
+    """A diamond per row at one of 25 places in the box; some overlap."""
     y = F.lit(40.50) + (key % 5) * F.lit(8e-2)
     x = F.lit(-74.20) + F.floor(key / 5) * F.lit(1e-1)
     corners = [(0.0, -6e-2), (6e-2, 0.0), (0.0, 6e-2), (-6e-2, 0.0), (0.0, -6e-2)]
     ring = F.array(*[F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in corners])
-    return table(spark, sf_dir, "nation").select("n_name", y.alias("lat"), x.alias("lon"), F.array(ring).alias("rings"))
+    return named.select("n_name", y.alias("lat"), x.alias("lon"), F.array(ring).alias("rings"))
+
+
+def nation_areas(spark, sf_dir):
+    """The boundaries that places are joined to, one per nation."""
+    return _diamonds(table(spark, sf_dir, "nation"), F.col("n_nationkey"))
+
 
+def customer_areas(spark, sf_dir):
+    """An area per customer, in the columns of ``nation_areas``."""
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_name", "n_name")
+    return _diamonds(customers, F.col("c_custkey") % 25)
 
-_AREAS_SQL = """areas AS (SELECT n_name, 40.50e0 + (n_nationkey % 5) * 8e-2 AS lat,
-      -74.20e0 + floor(n_nationkey / 5) * 1e-1 AS lon FROM nation)"""
+
+def _areas_sql(source: str, name: str, key: str) -> str:
+    return f"""areas AS (SELECT {name} AS n_name, 40.50e0 + ({key} % 5) * 8e-2 AS lat,
+      -74.20e0 + floor({key} / 5) * 1e-1 AS lon FROM {source})"""
+
+
+_AREAS_SQL = _areas_sql("nation", "n_name", "n_nationkey")
+CUSTOMER_AREAS_SQL = _areas_sql("customer", "c_name", "(c_custkey % 25)")
 
 
 def _edge_sql(x1, y1, x2, y2):
@@ -171,23 +186,24 @@ _RADII = (
     "6378137.0e0*cos(radians({y}))/sqrt(1-0.0066943799901413165e0*pow(sin(radians({y})),2))",
 )
 
-_GRID_SQL = f"""{_AREAS_SQL},
+_STEPS_SQL = f"""
     north AS (SELECT n_name, i AS step_east, j AS step_north, lon,
       lat + degrees(j*500/({_RADII[0].format(y='lat')})) AS latitude
       FROM areas, range(-4, 5) e(i), range(-4, 5) n(j)),
     grid AS (SELECT n_name, step_east, step_north, latitude,
       lon + degrees(step_east*500/({_RADII[1].format(y='latitude')})) AS longitude FROM north)"""
+_GRID_SQL = f"{_AREAS_SQL},{_STEPS_SQL}"
 
 
 @query(
     "coverage_grid",
-    sql=f"""WITH {_GRID_SQL}
+    sql=f"""WITH {CUSTOMER_AREAS_SQL},{_STEPS_SQL}
     SELECT n_name, CAST(step_east AS INTEGER) AS step_east, CAST(step_north AS INTEGER) AS step_north,
       round(latitude, 7) AS latitude, round(longitude, 7) AS longitude FROM grid""",
 )
 def coverage_grid(spark, sf_dir):
     """The 9 x 9 search points of each area."""
-    grid = spatial.coverage_grid(nation_areas(spark, sf_dir), "n_name", "lat", "lon")
+    grid = spatial.coverage_grid(customer_areas(spark, sf_dir), "n_name", "lat", "lon")
     return grid.select(
         "n_name", "step_east", "step_north",
         F.round("latitude", 7).alias("latitude"), F.round("longitude", 7).alias("longitude"),
@@ -300,13 +316,13 @@ def append_styled_features(spark, sf_dir):
 
 @query(
     "geometry_json",
-    sql=f"""WITH {_AREAS_SQL}
+    sql=f"""WITH {CUSTOMER_AREAS_SQL}
     SELECT n_name, 'Polygon' AS kind, 5 AS corners, round(lon, 6) AS first_x, round(lat - 6e-2, 6) AS first_y FROM areas""",
 )
 def geometry_json(spark, sf_dir):
     """Polygon to GeoJSON text and back."""
     rings = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
-    text = nation_areas(spark, sf_dir).select("n_name", geo.geometry_json("Polygon", rings).alias("json"))
+    text = customer_areas(spark, sf_dir).select("n_name", geo.geometry_json("Polygon", rings).alias("json"))
     back = F.from_json("json", "struct<type:string,coordinates:array<array<array<double>>>>")
     ring = F.col("g.coordinates")[0]
     return text.withColumn("g", back).select(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from placeweave import schemas
 from placeweave.operators import ingest, keyed, reports
-from placeweave.plans.geography import nation_areas
+from placeweave.plans.geography import CUSTOMER_AREAS_SQL, customer_areas
 from placeweave.plans.places import PLACES_SQL, places
 from placeweave.plans.registry import query, table
 from placeweave.session import scratch_path, settle
@@ -36,16 +36,16 @@ def csv_jsonl_roundtrip(spark, sf_dir):
 
 @query(
     "csv_typed_append",
-    sql="SELECT n_nationkey, n_name, count(*) AS copies FROM (SELECT * FROM nation UNION ALL SELECT * FROM nation) GROUP BY n_nationkey, n_name",
+    sql="SELECT o_orderkey, o_custkey, count(*) AS copies FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders) GROUP BY o_orderkey, o_custkey",
 )
 def csv_typed_append(spark, sf_dir):
     """Two appends to a CSV folder, read with a schema; no header in between."""
     path = scratch_path(spark, "csv")
-    nation = table(spark, sf_dir, "nation")
-    writers.export_csv(nation, path, "overwrite")
-    writers.export_csv(nation, path, "append")
-    back = readers.read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
-    return back.groupBy("n_nationkey", "n_name").agg(F.count(F.lit(1)).alias("copies"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    writers.export_csv(orders, path, "overwrite")
+    writers.export_csv(orders, path, "append")
+    back = readers.read_csv(spark, path, "o_orderkey long, o_custkey long")
+    return back.groupBy("o_orderkey", "o_custkey").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query(
@@ -106,13 +106,13 @@ def export_by_cell(spark, sf_dir):
 
 @query(
     "geojson_roundtrip",
-    sql="SELECT n_name, 1 AS rings, 5 AS corners, round(-74.20e0 + floor(n_nationkey / 5) * 1e-1, 6) AS x, round(40.50e0 + (n_nationkey % 5) * 8e-2 - 6e-2, 6) AS y FROM nation",
+    sql=f"WITH {CUSTOMER_AREAS_SQL} SELECT n_name, 1 AS rings, 5 AS corners, round(lon, 6) AS x, round(lat - 6e-2, 6) AS y FROM areas",
 )
 def geojson_roundtrip(spark, sf_dir):
     """Polygon features written one per line and read back as rings."""
     path = scratch_path(spark, "geojson")
     rings = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
-    features = nation_areas(spark, sf_dir).select(
+    features = customer_areas(spark, sf_dir).select(
         F.lit("Feature").alias("type"),
         F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")).alias("geometry"),
         F.struct("n_name").alias("properties"),
