@@ -213,15 +213,17 @@ def edges_of(rings: Column) -> Column:
     )
 
 
-def in_edges(lat: Column, lon: Column, edges: Column) -> Column:
+def in_edges(lat: Column, lon: Column, edges: Column, strict: bool = True) -> Column:
     """Inside by the even-odd rule; points on an edge are outside. Holes and
-    separate parts need no treatment of their own.
+    separate parts need no treatment of their own. Without ``strict`` the
+    crossings alone decide about points on an edge too, so that of two areas
+    with a common edge one has them.
 
     Point and edges are bound once per row: inside the edge lambdas a derived
     coordinate would be computed again for every edge.
     """
     bound = F.struct(lat.alias("y"), lon.alias("x"), edges.alias("edges"))
-    return F.exists(F.array(bound), lambda p: _even_odd(p["y"], p["x"], p["edges"]))
+    return F.exists(F.array(bound), lambda p: _even_odd(p["y"], p["x"], p["edges"], strict))
 
 
 def crossings_east(lat: Column, lon: Column, to: Column, edges: Column) -> Column:
@@ -265,7 +267,7 @@ def _on_edge(lat: Column, lon: Column, edges: Column) -> Column:
     )
 
 
-def _even_odd(lat: Column, lon: Column, edges: Column) -> Column:
+def _even_odd(lat: Column, lon: Column, edges: Column, strict: bool) -> Column:
     crossings = F.size(
         F.filter(
             edges,
@@ -273,11 +275,12 @@ def _even_odd(lat: Column, lon: Column, edges: Column) -> Column:
             & (lon < (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]),
         )
     )
-    return (crossings % 2 == 1) & ~_on_edge(lat, lon, edges)
+    odd = crossings % 2 == 1
+    return odd & ~_on_edge(lat, lon, edges) if strict else odd
 
 
-def in_polygon(lat: Column, lon: Column, rings: Column) -> Column:
-    return in_edges(lat, lon, edges_of(rings))
+def in_polygon(lat: Column, lon: Column, rings: Column, strict: bool = True) -> Column:
+    return in_edges(lat, lon, edges_of(rings), strict)
 
 
 # --- construction ----------------------------------------------------------

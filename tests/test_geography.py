@@ -151,3 +151,26 @@ def test_cover_grows_with_the_border(spark):
     edges = fine.agg(F.sum(F.size("edges")).alias("n"), F.max(F.size("edges")).alias("most")).first()
     assert edges.n < 4 * 2400 and edges.most <= spatial.LEAF_EDGES
     assert fine.filter("size(edges) = 0").count() > 0
+
+
+def test_polygon_filter_counts_crossings_on_an_edge(spark, tmp_path):
+    """Places with the very longitude of the west edge follow the SQL."""
+    import duckdb
+
+    from placeweave.plans import catalog
+
+    title = next(
+        "the" + a + b + c
+        for a in "abcdefgh" for b in "abcdefghijklmnopqrstuvwxyz" for c in "abcdefghijklmnopqrstuvwxyz"
+        if (ord(a) * 31 + ord(b) * 17 + ord(c) * 7) % 558 == 59
+    )
+    docs = [(n, title + " place", "s", "en") for n in range(1, 40)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = set(duck.execute(catalog.ORACLES["polygon_filter"]).fetchall())
+    got = catalog.QUERIES["polygon_filter"](spark, str(tmp_path)).collect()
+    assert {1, 9, 17} <= {row[0] for row in want}
+    assert {tuple(row) for row in got} == want
