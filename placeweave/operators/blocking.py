@@ -18,6 +18,9 @@ from placeweave.functions import geo
 from placeweave.session import settle
 
 TILE_ROWS = 1024
+# Small tiles grow up to TILE_ROWS before a side is cut into more chunks, as
+# every row is copied once per chunk it meets.
+MOST_SMALL_CHUNKS = 32
 # Pairs looked at and rows held by one task of a block join.
 PAIRS_PER_TASK = 20_000_000
 ROWS_PER_TASK = 1_000_000
@@ -40,6 +43,13 @@ class HotKeys:
         return joined.withColumn("_chunks", F.coalesce("_chunks", F.lit(1)))
 
 
+def chunk_count(rows: Column, tile_rows: int, largest: int = TILE_ROWS) -> Column:
+    """Chunks of a block of ``rows``: of ``tile_rows`` each, or more in a block
+    that would be cut into very many, but never above ``largest`` for that."""
+    grown = F.least(F.lit(max(largest, tile_rows)), F.ceil(rows / MOST_SMALL_CHUNKS))
+    return F.ceil(rows / F.greatest(F.lit(tile_rows), grown)).cast("int")
+
+
 def hot_keys(df: DataFrame, keys: list[str], tile_rows: int = TILE_ROWS) -> HotKeys:
     """Find the hot keys. Runs one counting job over the key columns.
 
@@ -88,8 +98,8 @@ def chunked(
     partitions = max(floor, -(-int(total[0] or 0) // PAIRS_PER_TASK), -(-int(total[1] or 0) // ROWS_PER_TASK))
     hot = counts.filter((F.col("_lefts") > tile_rows) | (F.col("_rights") > tile_rows)).select(
         *keys,
-        F.ceil(F.col("_lefts") / tile_rows).cast("int").alias("_lchunks"),
-        F.ceil(F.col("_rights") / tile_rows).cast("int").alias("_rchunks"),
+        chunk_count(F.col("_lefts"), tile_rows).alias("_lchunks"),
+        chunk_count(F.col("_rights"), tile_rows).alias("_rchunks"),
     )
     if hot.isEmpty():
         return left, right, keys, partitions

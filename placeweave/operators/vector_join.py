@@ -16,13 +16,15 @@ from pyspark.sql import types as T
 
 from placeweave.functions import vectors
 from placeweave.functions.shipping import ship_by_value
-from placeweave.operators.blocking import hot_keys, suffixed
+from placeweave.operators.blocking import chunk_count, hot_keys, suffixed
 
 ship_by_value(__name__)
 
 # Blocks up to this size are joined natively, larger ones go through tiles.
 NATIVE_ROWS = 64
 VECTOR_TILE_ROWS = 1024
+# Rows of a tile whose scores are held at a time.
+ROWS_AT_ONCE = 64
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -34,31 +36,49 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return rows / np.where(length > 0, length, 1.0)[:, None]
 
 
+def _taken(left: pa.Table, right: pa.Table, i: np.ndarray, j: np.ndarray, names: list[str]) -> list:
+    """Columns of pairs: rows ``i`` of one table, ``j`` of the other, a key
+    column from either, as both sides hold the same value."""
+    one, two = pa.array(i), pa.array(j)
+    columns = []
+    for name in names:
+        if name in right.column_names:
+            columns.append(right.column(name).take(two))
+        else:
+            columns.append(left.column(name if name in left.column_names else name + "1").take(one))
+    return columns
+
+
 def _similar(id_col: str, vec: str, limit: float, include_self: bool, names: list[str]):
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = _matrix(left.column(vec + "1")), _matrix(right.column(vec + "2"))
-        scores = a @ b.T if len(a) and len(b) else np.zeros((0, 0))
-        i, j = np.nonzero(scores > limit)
-        one = left.take(pa.array(i))
-        two = right.take(pa.array(j))
-        before = pc.less_equal if include_self else pc.less
-        kept = before(one.column(id_col + "1"), two.column(id_col + "2"))
-        if len(i) and left.column("_lc1")[0].as_py() < left.column("_rc1")[0].as_py():
-            # two chunks meet in this tile alone: pairs that lie the other way are turned
-            turned = pc.greater(one.column(id_col + "1"), two.column(id_col + "2"))
-            kept = pc.or_(kept, turned)
-            turned = turned.to_numpy(zero_copy_only=False) if isinstance(turned, pa.Array) else turned.to_numpy()
-            order = np.arange(len(i))
-            both = [pa.concat_tables([x, y.rename_columns(x.column_names)]) for x, y in ((one, two), (two, one))]
-            pick = pa.array(np.where(turned, order + len(i), order))
-            one, two = both[0].take(pick), both[1].take(pick)
-        # keys carry the suffix of their side; both sides hold the same value
-        columns = [
-            two.column(n) if n in two.column_names else one.column(n if n in one.column_names else n + "1")
-            for n in names[:-1]
-        ]
-        score = pa.chunked_array([pa.array(scores[i, j], pa.float64())])
-        return pa.table([*columns, score], names=names).filter(kept)
+        left, right = left.drop_columns([vec + "1"]), right.drop_columns([vec + "2"])
+        ids1, ids2 = left.column(id_col + "1").combine_chunks(), right.column(id_col + "2").combine_chunks()
+        # two chunks meet in this tile alone: pairs that lie the other way are turned
+        turn = bool(len(a)) and left.column("_lc1")[0].as_py() < left.column("_rc1")[0].as_py()
+        other_left = right.rename_columns([c[:-1] + "1" for c in right.column_names])
+        other_right = left.rename_columns([c[:-1] + "2" for c in left.column_names])
+        found = []
+        # a few rows at a time, so that only pairs that are kept take memory
+        for start in range(0, len(a), ROWS_AT_ONCE):
+            scores = a[start : start + ROWS_AT_ONCE] @ b.T if len(b) else np.zeros((0, 0))
+            i, j = np.nonzero(scores > limit)
+            score = scores[i, j]
+            i += start
+            one, two = ids1.take(pa.array(i)), ids2.take(pa.array(j))
+            before = (pc.less_equal if include_self else pc.less)(one, two).to_numpy(zero_copy_only=False)
+            ways = [(before, left, right, i, j)]
+            if turn:
+                after = pc.greater(one, two).to_numpy(zero_copy_only=False)
+                ways.append((after, other_left, other_right, j, i))
+            for kept, first, second, at, to in ways:
+                columns = _taken(first, second, at[kept], to[kept], names[:-1])
+                found.append(pa.table([*columns, pa.array(score[kept], pa.float64())], names=names))
+        if not found:
+            none = np.zeros(0, dtype=np.int64)
+            columns = _taken(left, right, none, none, names[:-1])
+            return pa.table([*columns, pa.array([], pa.float64())], names=names)
+        return pa.concat_tables(found)
 
     return tile
 
@@ -89,10 +109,10 @@ def cosine_pairs(
     hot = hot_keys(df, keys, native_rows)
     if hot.table is None:
         return _native(df, keys, id_col, vec, limit, include_self).select(*names, "score")
-    # _chunks is a multiple of the native size here, so it marks the large blocks
+    # _chunks counts native sizes here, so it marks the large blocks
     marked = hot.attach(df, keys)
     small = marked.filter("_chunks = 1").drop("_chunks")
-    tiles = F.ceil(F.col("_chunks") * F.lit(native_rows) / F.lit(tile_rows)).cast("int")
+    tiles = chunk_count(F.col("_chunks") * F.lit(native_rows), tile_rows, VECTOR_TILE_ROWS)
     large = marked.filter("_chunks > 1").withColumn("_chunks", tiles)
     return (
         _native(small, keys, id_col, vec, limit, include_self).select(*names, "score")
