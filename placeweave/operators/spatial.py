@@ -205,14 +205,16 @@ def coverage_grid(
     latitude, longitude)``, the square of 2 * area_m / step_m + 1 per side."""
     n = int(area_m / step_m)
     steps = F.sequence(F.lit(-n), F.lit(n))
-    grid = centers.select(area, lat, lon, F.explode(steps).alias("step_east"))
-    grid = grid.select("*", F.explode(steps).alias("step_north"))
-    y, x = geo.move_point(
-        F.col(lat), F.col(lon), F.col("step_east") * float(step_m), F.col("step_north") * float(step_m)
-    )
-    return grid.select(
-        area, "step_east", "step_north", y.alias("latitude"), x.alias("longitude")
-    )
+    # a small file of centres has one task, its search points need all
+    tasks = int(centers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = centers.select(area, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).repartition(tasks)
+    # the way north first: radii are computed once per row of the square
+    rows = rows.select("*", F.explode(steps).alias("step_north"))
+    y = F.col("_lat") + F.degrees(F.col("step_north") * float(step_m) / geo.meridian_radius(F.col("_lat")))
+    rows = rows.withColumn("latitude", y).withColumn("_radius", geo.parallel_radius(F.col("latitude")))
+    grid = rows.select("*", F.explode(steps).alias("step_east"))
+    x = F.col("_lon") + F.degrees(F.col("step_east") * float(step_m) / F.col("_radius"))
+    return grid.select(area, "step_east", "step_north", "latitude", x.alias("longitude"))
 
 
 def coverage_status(

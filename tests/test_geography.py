@@ -174,3 +174,14 @@ def test_polygon_filter_counts_crossings_on_an_edge(spark, tmp_path):
     got = catalog.QUERIES["polygon_filter"](spark, str(tmp_path)).collect()
     assert {1, 9, 17} <= {row[0] for row in want}
     assert {tuple(row) for row in got} == want
+
+
+def test_search_points_of_one_file_are_dealt_to_all_tasks(spark):
+    centers = spark.range(200).selectExpr("id AS area", "40e0 + id / 1e3 AS latitude", "-74e0 AS longitude").coalesce(1)
+    grid = spatial.coverage_grid(centers, "area")
+    used = grid.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert used > 1 and grid.count() == 200 * 81
+    y, x = geo.move_point(F.lit(40.05), F.lit(-74.0), F.lit(1500.0), F.lit(-500.0))
+    want = _one(spark, y.alias("latitude"), x.alias("longitude"))
+    got = grid.filter("area = 50 AND step_east = 3 AND step_north = -1").select("latitude", "longitude").first()
+    assert got == want
