@@ -158,9 +158,9 @@ def node_of(members: np.ndarray) -> int:
     return int(_mix(np.array([_mix(members).sum() + np.uint64(len(members))], np.uint64)).view(np.int64)[0])
 
 
-def bitmap(members: np.ndarray) -> bytes:
-    """One bit per member, four to eight times as many bits as members."""
-    width = min(WIDEST_BITMAP, max(64, 1 << int(4 * len(members) - 1).bit_length()))
+def bitmap(members: np.ndarray, per_member: int = 4) -> bytes:
+    """One bit per member, ``per_member`` to twice that many bits a member."""
+    width = min(WIDEST_BITMAP, max(64, 1 << int(per_member * len(members) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(members & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -253,29 +253,31 @@ def _neighbours(batches):
 def _whole_sets(rule: Rule):
     def run(batches):
         for batch in batches:
-            rows = {"node": [], "n": [], "bits": [], "members": []}
+            rows = {"node": [], "n": [], "brief": [], "bits": [], "members": []}
             for text in batch.column("text").to_pylist():
                 members = rule.shingle_set(text, _known_words())
                 if len(members):
                     rows["node"].append(node_of(members))
                     rows["n"].append(len(members))
+                    rows["brief"].append(bitmap(members, 1))
                     rows["bits"].append(bitmap(members))
                     rows["members"].append(members.tobytes())
-            yield _batch(rows, {"node": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "members": pa.binary()})
+            kinds = {"node": pa.int64(), "n": pa.int64()}
+            yield _batch(rows, kinds | {c: pa.binary() for c in ("brief", "bits", "members")})
 
     return run
 
 
 def _sets_of(docs: DataFrame, base: DataFrame, nodes: DataFrame, rule: Rule, held: Scratch) -> DataFrame:
-    """(node, n, bits, members), one row each, of ``nodes``. Their texts are
-    found by address before they are read; a short list of addresses is
+    """(node, n, brief, bits, members), one row each, of ``nodes``; brief: short
+    bitmaps, which travel with tiles. Their texts are found by address before they are read; a short list of addresses is
     broadcast, a long one joined."""
     addresses = base.join(nodes, "node", "left_semi").select("address").distinct()
     addresses = held.settle(addresses, "addresses")
     if addresses.limit(BROADCAST_ADDRESSES + 1).count() <= BROADCAST_ADDRESSES:
         addresses = F.broadcast(addresses)
     texts = _texts(docs).join(addresses, "address", "left_semi").select("text")
-    schema = "node long, n long, bits binary, members binary"
+    schema = "node long, n long, brief binary, bits binary, members binary"
     return held.settle(texts.mapInArrow(_whole_sets(rule), schema).dropDuplicates(["node"]), "sets")
 
 
@@ -358,17 +360,29 @@ def _cross_pairs(rule: Rule):
     return run
 
 
+def _unlike_tiles(members: DataFrame) -> DataFrame:
+    """(key, size) of one tile of each set of nodes: sets that have much in common
+    share hundreds of tiles, which all hold the same pairs."""
+    whole = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("print"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("print2"),
+    )
+    return whole.groupBy("size", "print", "print2").agg(F.min("key").alias("key")).select("key", "size")
+
+
 def _tiles(members: DataFrame, sets: DataFrame, held: Scratch) -> DataFrame:
-    """Rows of tiles with their bitmaps and their first tiles, large tiles as
-    pairs of chunks."""
+    """Rows of unlike tiles with their short bitmaps and their first tiles, large
+    tiles as pairs of chunks. ``members`` has a node once per tile."""
+    sizes = held.settle(_unlike_tiles(members), "tile-sizes")
+    members = held.settle(members.join(sizes, "key"), "tile-members")
     firsts = members.groupBy("node").agg(
         F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_TILES).alias("firsts")
     )
-    about = held.settle(sets.select("node", "bits").join(firsts, "node"), "tile-nodes")
-    sizes = held.settle(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "tile-sizes")
+    about = held.settle(sets.select("node", F.col("brief").alias("bits")).join(firsts, "node"), "tile-nodes")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     return (
-        members.join(sizes, "key")
+        members
         .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         .join(about, "node")

@@ -8,6 +8,7 @@ import pytest
 
 from placeweave.llm import jaccard
 from placeweave.llm.components import connected
+from placeweave.session import Scratch
 
 
 def brute(rows):
@@ -113,6 +114,28 @@ def test_every_crossing_pair_is_looked_at_once_at_least(firsts):
         assert len(got) == len(want)
 
 
+def test_tiles_of_the_same_nodes_are_compared_once(spark):
+    keys = [(k, n) for k in range(100) for n in (1, 2)] + [(100, n) for n in (1, 2, 3)]
+    members = spark.createDataFrame([(k, n, 8, n) for k, n in keys], "key long, node long, n int, component long")
+    bits = jaccard.bitmap(np.arange(8, dtype=np.uint64))
+    sets = spark.createDataFrame([(n, bits, bits) for n in (1, 2, 3)], "node long, bits binary, brief binary")
+    rows = jaccard._tiles(members, sets, Scratch()).collect()
+    assert sorted((r.key, r.node) for r in rows) == [(0, 1), (0, 2), (100, 1), (100, 2), (100, 3)]
+    assert {tuple(r.firsts) for r in rows if r.node < 3} == {(0, 100)}
+
+
+@pytest.mark.parametrize("size", [1, 7, 300, 5000])
+def test_short_bitmaps_bound_the_overlap_too(size):
+    rng = np.random.default_rng(size)
+    a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+    b = np.concatenate((a[size // 20 :], rng.integers(0, 1 << 63, size // 20).astype(np.uint64)))
+    short = [jaccard.bitmap(x, 1) for x in (a, b)]
+    assert all(2 * len(s) <= len(jaccard.bitmap(a)) or size < 16 for s in short)
+    assert not jaccard.RULE.links(a, b) or jaccard.RULE.may_link(len(a), short[0], len(b), short[1])
+    other = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+    assert size < 300 or not jaccard.RULE.may_link(len(a), short[0], len(other), jaccard.bitmap(other, 1))
+
+
 def test_linked_sets_share_a_tile():
     rng = np.random.default_rng(0)
     linked = 0

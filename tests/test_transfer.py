@@ -1,6 +1,7 @@
 """Readers, writers and streaming jobs."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,20 @@ def test_settle_keeps_schema_and_rows(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
 
 
+def test_settle_leaves_no_shuffle_files(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().toString()
+        return set(re.findall(r"shuffle_\d+_\d+", blocks))
+
+    before = shuffled()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    stored = settle(df)
+    left = shuffled() - before
+    assert not left and spark.conf.get(setting) == "false"
+    assert _rows(stored) == _rows(df)
+
+
 def test_upsert_table(spark):
     path = scratch_path(spark, "table")
     writers.replace_table(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), path)
