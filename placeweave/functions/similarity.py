@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -25,8 +26,17 @@ PREFIX_WEIGHT = 0.1
 PREFIX_LENGTH = 4
 BOOST_ABOVE = 0.7
 
-# Cells of work per NumPy step; keeps the working arrays inside the caches.
-_STEP_CELLS = 1 << 18
+# Pairs scored together and bytes of one of their matrices: working arrays stay
+# inside the caches.
+_STEP_PAIRS = 4096
+_STEP_BYTES = 1 << 18
+
+
+class Titles:
+    """Strings as rows of bytes, scored pair by pair of their numbers."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.matrix, self.sizes = _byte_matrix([t.encode("utf-8") for t in texts])
 
 
 def _byte_matrix(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,37 +53,61 @@ def _common_prefix(a: np.ndarray, b: np.ndarray, shorter: np.ndarray) -> np.ndar
     return np.cumprod((a[:, :head] == b[:, :head]) & inside, axis=1).sum(axis=1)
 
 
-def _jaro_counts_words(a, la, b, lb) -> tuple[np.ndarray, np.ndarray]:
+_ONE, _EVERY = np.uint64(1), ~np.uint64(0)
+# Bits at most ``reach`` away from position i, by reach and i.
+_WINDOWS = np.array(
+    [
+        [sum(1 << p for p in range(max(0, i - reach), min(63, i + reach) + 1)) for i in range(64)]
+        for reach in range(33)
+    ],
+    dtype=np.uint64,
+)
+
+
+def _places(matrix: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code of each byte, and per string and code the positions that hold it as
+    bits; the last code, of absent bytes, has none."""
+    inside = np.arange(matrix.shape[1]) < lengths[:, None]
+    known = np.unique(matrix[inside])
+    code = np.full(256, len(known), dtype=np.int64)
+    code[known] = np.arange(len(known))
+    table = np.zeros((len(matrix), len(known) + 1), dtype=np.uint64)
+    for at in range(min(matrix.shape[1], 64)):
+        rows = np.flatnonzero(inside[:, at])
+        table[rows, code[matrix[rows, at]]] |= _ONE << np.uint64(at)
+    return code, table
+
+
+def _jaro_counts_words(a, la, lb, code, table, which) -> tuple[np.ndarray, np.ndarray]:
     """Common bytes and out-of-order bytes for strings of at most 64 bytes.
 
-    One machine word per string marks the positions in ``b`` that are still
-    free, so that each byte of ``a`` costs a few word operations per pair.
+    One machine word per string marks the positions of the second that are
+    still free, so that each byte of ``a`` costs a few word operations per pair.
+    ``which``: rows of the second strings in ``table``.
     """
-    n, one, every = len(la), np.uint64(1), ~np.uint64(0)
-    wide = np.zeros((n, 64), dtype=np.uint8)
-    wide[:, : b.shape[1]] = b
-    inside = every >> (64 - np.maximum(lb, 1)).astype(np.uint64)
-    inside[lb == 0] = 0
+    n, none = len(la), table.shape[1] - 1
     reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+    inside = np.where(lb == 0, np.uint64(0), _EVERY >> (64 - np.maximum(lb, 1)).astype(np.uint64))
     free = inside.copy()
-    same = np.empty((a.shape[1], n), dtype=np.uint64)
-    taken_a = np.zeros((a.shape[1], n), dtype=bool)
+    codes = np.where(np.arange(a.shape[1]) < la[:, None], code[a], none).T + which * (none + 1)
+    same = table.ravel().take(codes)
+    taken = np.empty((a.shape[1], n), dtype=np.uint64)
     for i in range(a.shape[1]):
-        equal = np.packbits(wide == a[:, i : i + 1], axis=1, bitorder="little")
-        same[i] = equal.view(np.uint64)[:, 0]
-        low = np.minimum(np.maximum(i - reach, 0), 63).astype(np.uint64)
-        high = np.minimum(i + reach, 63).astype(np.uint64)
-        hit = same[i] & free & (every << low) & (every >> (np.uint64(63) - high))
-        hit[i >= la] = 0
-        taken_a[i] = hit != 0
-        free &= ~(hit & (~hit + one))
+        hit = same[i] & free
+        hit &= _WINDOWS[:, i].take(reach)
+        hit &= np.negative(hit)
+        free ^= hit
+        np.minimum(hit, _ONE, out=taken[i])
+    common = taken.sum(axis=0).astype(np.int64)
     left = inside & ~free
-    moved = np.zeros(n, dtype=np.int64)
+    moved = np.zeros(n, dtype=np.uint64)
     for i in range(a.shape[1]):
-        first = np.where(taken_a[i], left & (~left + one), np.uint64(0))
-        moved += taken_a[i] & ((same[i] & first) == 0)
-        left &= ~first
-    return taken_a.sum(axis=0), moved // 2
+        first = left & np.negative(left)
+        first *= taken[i]
+        left ^= first
+        first &= ~same[i]
+        moved += np.minimum(first, _ONE, out=first)
+    return common, moved.astype(np.int64) // 2
 
 
 def _packed(matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -103,99 +137,140 @@ def _jaro_counts_long(a, la, b, lb) -> tuple[np.ndarray, np.ndarray]:
     return common, (differ & (np.arange(width) < common[:, None])).sum(axis=1) // 2
 
 
-def jaro_winkler_block(left: list[bytes], right: list[bytes]) -> np.ndarray:
-    a, la = _byte_matrix(left)
-    b, lb = _byte_matrix(right)
-    short = max(a.shape[1], b.shape[1]) <= 64
-    common, moved = (_jaro_counts_words if short else _jaro_counts_long)(a, la, b, lb)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        jaro = (common / la + common / lb + (common - moved) / common) / 3.0
-    jaro = np.where(common == 0, 0.0, jaro)
-    boosted = jaro + _common_prefix(a, b, np.minimum(la, lb)) * PREFIX_WEIGHT * (1.0 - jaro)
-    return np.where(jaro > BOOST_ABOVE, boosted, jaro)
+def _steps(longest: np.ndarray):
+    """Numbers of pairs to score together, short ones first."""
+    order = np.argsort(longest, kind="stable")
+    start = 0
+    while start < len(order):
+        least = max(int(longest[order[start]]), 1)
+        size = max(1, min(len(order) - start, _STEP_PAIRS, _STEP_BYTES // least))
+        while size > 1 and longest[order[start + size - 1]] > least + 8 + least // 8:
+            size = max(1, size // 2)
+        yield order[start : start + size]
+        start += size
+
+
+def jaro_winkler_at(left: Titles, i: np.ndarray, right: Titles, j: np.ndarray) -> np.ndarray:
+    """Scores of the pairs (row i of ``left``, row j of ``right``)."""
+    out = np.empty(len(i))
+    longest = np.maximum(left.sizes[i], right.sizes[j])
+    known = None
+    for part in _steps(longest):
+        p, q = i[part], j[part]
+        la, lb = left.sizes[p], right.sizes[q]
+        a = left.matrix[p, : max(int(la.max()), 1)]
+        b = right.matrix[q, : max(int(lb.max()), 1)]
+        if int(longest[part[-1]]) <= 64:
+            known = known or _places(right.matrix, right.sizes)
+            common, moved = _jaro_counts_words(a, la, lb, *known, q)
+        else:
+            common, moved = _jaro_counts_long(a, la, b, lb)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            jaro = (common / la + common / lb + (common - moved) / common) / 3.0
+        jaro = np.where(common == 0, 0.0, jaro)
+        boosted = jaro + _common_prefix(a, b, np.minimum(la, lb)) * PREFIX_WEIGHT * (1.0 - jaro)
+        out[part] = np.where(jaro > BOOST_ABOVE, boosted, jaro)
+    return out
 
 
-def _without_shared_ends(x: bytes, y: bytes) -> tuple[bytes, bytes]:
-    """Drop the common prefix and suffix, which never cost an edit."""
-    limit = min(len(x), len(y))
-    head = 0
-    while head < limit and x[head] == y[head]:
-        head += 1
-    tail = 0
-    while tail < limit - head and x[-1 - tail] == y[-1 - tail]:
-        tail += 1
-    return x[head : len(x) - tail], y[head : len(y) - tail]
+def _running_least(rows: np.ndarray) -> None:
+    """Each row becomes the least of itself and those before."""
+    for k in range(1, len(rows)):
+        np.minimum(rows[k], rows[k - 1], out=rows[k])
 
 
-def damerau_block(left: list[bytes], right: list[bytes]) -> np.ndarray:
+def _damerau_rows(a, la, b, lb) -> np.ndarray:
     """Unrestricted Damerau distance, one row of the table at a time.
 
-    Within a row everything but the insertion step depends on earlier rows
-    only; insertions are a running minimum along the row.
+    A swap over gaps on both sides never beats other edits, so one of its ends
+    is a neighbour: swaps with the neighbour in ``b`` remember their best start
+    per column, those with the neighbour in ``a`` have it two rows up. Along a
+    row, insertions and the second kind are running minima.
     """
-    trimmed = [_without_shared_ends(x, y) for x, y in zip(left, right)]
-    a, la = _byte_matrix([x for x, _ in trimmed])
-    b, lb = _byte_matrix([y for _, y in trimmed])
-    n, wa, wb = len(left), a.shape[1], b.shape[1]
-    bt = np.ascontiguousarray(b.T)
-    step = np.arange(wb + 1, dtype=np.int32)[:, None]
-    cost = np.empty((wa + 1, wb + 1, n), dtype=np.int32)
-    cost[0] = step
-    seen_in_a = np.zeros((wb, n), dtype=np.int32)
+    n, wa, wb = len(la), a.shape[1], b.shape[1]
+    widest = max(wa, wb)
+    kind = np.int8 if widest <= 58 else np.int16 if widest <= 16000 else np.int32
+    far = kind(widest + 4)
+    at, bt = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    step = np.arange(wb + 1, dtype=kind)[:, None]
     columns = step[1:]
+    above, row = None, np.repeat(step, n, axis=1)
+    starts = np.full((wb, n), far)
+    out = lb.copy()
     lane = np.arange(n)
     for i in range(1, wa + 1):
-        equal = bt == a[:, i - 1]
-        seen_in_b = np.zeros((wb, n), dtype=np.int32)
-        np.maximum.accumulate(np.where(equal, columns, 0)[:-1], axis=0, out=seen_in_b[1:])
-        best = np.minimum(cost[i - 1, :-1] + ~equal, cost[i - 1, 1:] + 1)
-        j, row = np.nonzero((seen_in_a > 0) & (seen_in_b > 0))
-        if len(j):
-            k, l = seen_in_a[j, row], seen_in_b[j, row]
-            swap = cost[k - 1, l - 1, lane[row]] + (i - k) + (j + 1 - l) - 1
-            best[j, row] = np.minimum(best[j, row], swap)
-        line = np.concatenate([np.full((1, n), i, dtype=np.int32), best])
-        cost[i] = np.minimum.accumulate(line - step, axis=0) + step
-        seen_in_a[equal] = i
-    return cost[la, lb, lane].astype(np.float64)
-
-
-def _over_pairs(a: pd.Series, b: pd.Series, block, cell_cost: int) -> pd.Series:
-    """Apply ``block`` once per distinct pair of a batch, short pairs together."""
-    out = np.full(len(a), np.nan)
+        differ = (bt != at[i - 1]).view(np.int8).astype(kind, copy=False)
+        # the greater of a value and ``barred`` is far where bytes differ
+        barred = differ * kind(2 * far)
+        barred -= far
+        best = row[:-1] + differ
+        np.minimum(best, row[1:] + kind(1), out=best)
+        if wb > 1:
+            swapped = starts[1:] + kind(i)
+            np.maximum(swapped, barred[:-1], out=swapped)
+            np.minimum(best[1:], swapped, out=best[1:])
+            begun = row[:-2] - kind(i)
+            np.maximum(begun, barred[1:], out=begun)
+            np.minimum(starts[1:], begun, out=starts[1:])
+            if above is not None:
+                since = above[:-2] - columns[:-1]
+                np.maximum(since, barred[:-1], out=since)
+                _running_least(since)
+                since += columns[1:]
+                np.maximum(since, barred_above[1:], out=since)
+                np.minimum(best[1:], since, out=best[1:])
+        line = np.empty((wb + 1, n), dtype=kind)
+        line[0] = i
+        np.subtract(best, columns, out=line[1:])
+        _running_least(line)
+        line += step
+        ends = np.flatnonzero(la == i)
+        out[ends] = line[lb[ends], lane[ends]]
+        above, row, barred_above = row, line, barred
+    return out.astype(np.float64)
+
+
+def damerau_at(left: Titles, i: np.ndarray, right: Titles, j: np.ndarray) -> np.ndarray:
+    """Distances of the pairs (row i of ``left``, row j of ``right``)."""
+    out = np.empty(len(i))
+    for part in _steps(np.maximum(left.sizes[i], right.sizes[j])):
+        p, q = i[part], j[part]
+        la, lb = left.sizes[p], right.sizes[q]
+        a = left.matrix[p, : max(int(la.max()), 1)]
+        b = right.matrix[q, : max(int(lb.max()), 1)]
+        out[part] = _damerau_rows(a, la, b, lb)
+    return out
+
+
+def _distinct_pairs(a: pd.Series, b: pd.Series):
+    """Where both strings are present, the distinct pairs there as numbers of
+    two lists of titles, and the pair of each such place."""
     present = (a.notna() & b.notna()).to_numpy()
-    if present.any():
-        code_a, names_a = pd.factorize(a[present])
-        code_b, names_b = pd.factorize(b[present])
-        codes, back = np.unique(code_a * len(names_b) + code_b, return_inverse=True)
-        bytes_a = [s.encode("utf-8") for s in names_a]
-        bytes_b = [s.encode("utf-8") for s in names_b]
-        left = [bytes_a[c // len(names_b)] for c in codes]
-        right = [bytes_b[c % len(names_b)] for c in codes]
-        area = np.array([(len(x) + 2) * (len(y) + 2) for x, y in zip(left, right)])
-        order = np.argsort(area, kind="stable")
-        scores = np.empty(len(codes))
-        start = 0
-        while start < len(order):
-            # rows are sorted by size, so a window is as wide as its last row
-            size = max(1, min(len(order) - start, _STEP_CELLS * cell_cost // int(area[order[start]])))
-            while size > 1 and area[order[start + size - 1]] > 2 * area[order[start]]:
-                size = max(1, size // 2)
-            part = order[start : start + size]
-            scores[part] = block([left[p] for p in part], [right[p] for p in part])
-            start += size
-        out[present] = scores[back]
+    # Arrow's encoding, as that of pandas ends strings at a NUL
+    one, two = (pa.array(x[present], pa.string()).dictionary_encode() for x in (a, b))
+    number = max(len(two.dictionary), 1)
+    codes = one.indices.to_numpy().astype(np.int64) * number + two.indices.to_numpy()
+    codes, back = np.unique(codes, return_inverse=True)
+    i, j = np.divmod(codes, number)
+    return present, (Titles(one.dictionary.to_pylist()), i, Titles(two.dictionary.to_pylist()), j), back
+
+
+def _over_pairs(a: pd.Series, b: pd.Series, scores) -> pd.Series:
+    """Apply ``scores`` once per distinct pair of a batch, short pairs together."""
+    out = np.full(len(a), np.nan)
+    present, pairs, back = _distinct_pairs(a, b)
+    out[present] = scores(*pairs)[back]
     return pd.Series(out)
 
 
 @pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _over_pairs(a, b, jaro_winkler_block, 4)
+    return _over_pairs(a, b, jaro_winkler_at)
 
 
 @pandas_udf(DoubleType())
 def damerau_levenshtein(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _over_pairs(a, b, damerau_block, 2)
+    return _over_pairs(a, b, damerau_at)
 
 
 # Declared non-deterministic only to keep the optimizer from running a score
@@ -210,11 +285,14 @@ def title_scores(min_score: float | None = None):
 
     @pandas_udf(StructType([StructField("jw", DoubleType()), StructField("edits", DoubleType())]))
     def scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        jw = _over_pairs(a, b, jaro_winkler_block, 4)
-        if min_score is not None:
-            a = a.where((jw > min_score).to_numpy())
-        edits = _over_pairs(a, b, damerau_block, 2)
-        return pd.DataFrame({"jw": jw, "edits": edits})
+        present, (left, i, right, j), back = _distinct_pairs(a, b)
+        jw = jaro_winkler_at(left, i, right, j)
+        above = np.full(len(jw), True) if min_score is None else jw > min_score
+        edits = np.full(len(jw), np.nan)
+        edits[above] = damerau_at(left, i[above], right, j[above])
+        out = np.full((2, len(a)), np.nan)
+        out[:, present] = np.stack([jw, edits])[:, back]
+        return pd.DataFrame({"jw": out[0], "edits": out[1]})
 
     return scores.asNondeterministic()
 

@@ -71,6 +71,32 @@ def test_random_strings_match_other_engine():
         assert jw == pytest.approx(want_jw, abs=1e-12) and dl == want_dl
 
 
+def test_swaps_over_gaps_and_long_strings_match_other_engine():
+    rng = random.Random(8)
+    pairs = [("", ""), ("a", ""), ("\0a", "a\0"), ("ab" * 29, "ba" * 29), ("ab" * 30, "ba" * 30)]
+    for _ in range(1500):
+        a = "".join(rng.choices("abcd", k=rng.choice([4, 12, 58, 64, 65, 140])))
+        b = list(a)
+        for _ in range(rng.randint(0, 6)):
+            at, to = sorted(rng.choices(range(len(b)), k=2))
+            b[at], b[to] = b[to], b[at]
+            b[at + 1 : at + 1] = rng.choices("xyab", k=rng.randint(0, 2))
+        pairs.append((a, "".join(b)))
+    got, want = _both_engines(pairs)
+    for (jw, dl), (want_jw, want_dl) in zip(got, want):
+        assert jw == pytest.approx(want_jw, abs=1e-12) and dl == want_dl
+
+
+def test_both_scores_read_a_batch_once(monkeypatch):
+    a, b = pd.Series(["same title", None, "other", "same title"]), pd.Series(["same title", "x", "words", "some title"])
+    seen, real = [], sim._byte_matrix
+    monkeypatch.setattr(sim, "_byte_matrix", lambda texts: seen.append(len(texts)) or real(texts))
+    got = sim.title_scores(0.7).func(a, b)
+    assert seen == [2, 3]
+    assert got["jw"].round(4).tolist()[::3] == [1.0, 0.94] and got["jw"][2] < 0.7
+    assert got["edits"].tolist()[::3] == [0.0, 1.0] and got.isna().to_numpy().tolist()[1:3] == [[True, True], [False, True]]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("abcde é", max_size=70), st.text("abcde é", max_size=70))
 def test_scores_are_symmetric_in_bounds(a, b):
