@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placeweave.operators import blocking
+from placeweave.operators import copies
 from placeweave.plans.matching import _DIST, _PROFILES_SQL
 from placeweave.plans.places import places
 from placeweave.plans.registry import query, table
@@ -26,28 +26,19 @@ def _as_files(spark, df, label: str, parts: int = 3):
     FROM rows_ a JOIN rows_ b ON a.cell = b.cell AND a.contentid < b.contentid WHERE {_DIST} <= 50""",
 )
 def stream_incremental_pairs(spark, sf_dir):
-    """Places arrive in batches; each is compared with all earlier ones."""
+    """Places arrive in batches; each is compared with all earlier ones. Pairs of
+    points are stored with their ids, pairs of places formed as they are read."""
     stream = _as_files(spark, places(spark, sf_dir).drop("description"), "arrivals")
     pairs = scratch_path(spark, "pairs")
 
     def near(new, old):
-        spot = "contentid", "latitude", "longitude", 50
-        found = blocking.near_pairs(new, *spot, block="cell").select("contentid1", "contentid2", "distance_m")
-        if old is None:
-            return found
-        across = blocking.near_pairs(new, *spot, block="cell", against=old)
-        return found.unionByName(
-            across.select(
-                F.least("contentid1", "contentid2").alias("contentid1"),
-                F.greatest("contentid1", "contentid2").alias("contentid2"),
-                "distance_m",
-            )
-        )
+        return copies.near_spots(new, old, 50, "contentid", "latitude", "longitude", "cell")
 
     jobs.incremental_compare(
         stream, scratch_path(spark, "base"), pairs, scratch_path(spark, "progress"), near
     ).awaitTermination()
-    return spark.read.parquet(pairs).select("contentid1", "contentid2", F.round("distance_m", 2).alias("distance_m"))
+    rounded = spark.read.parquet(pairs).withColumn("distance_m", F.round("distance_m", 2))
+    return copies.unfolded(rounded, "contentid")
 
 
 @query(

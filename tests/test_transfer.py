@@ -6,7 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from placeweave.operators import blocking, ingest
+from placeweave.operators import blocking, copies, ingest
+from placeweave.plans import streams
+from placeweave.plans.places import places
 from placeweave.session import scratch_path, settle, shared_dir
 from placeweave.sources import readers, writers
 from placeweave.streaming import jobs
@@ -162,6 +164,21 @@ def test_incremental_compare_equals_one_batch(spark):
     assert got == _rows(near(df)) and len(got) == len(set(got))
 
 
+def test_stream_stores_points_not_pairs_of_copies(spark, tmp_path, monkeypatch):
+    rows = [(16 * i, "One title for a crowd", "en", "s") for i in range(300)] + [(None, "One title for a crowd", "en", "s")]
+    rows += [(16 * i + 1 + i % 3, "One title for a crowd", "en", "s") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(copies, "CHUNK_ROWS", 100)
+    stored, real = [], jobs._store
+    monkeypatch.setattr(jobs, "_store", lambda df, path, *at: (real(df, path, *at), stored.append(path)))
+    pairs = streams.stream_incremental_pairs(spark, str(tmp_path))
+    near = blocking.near_pairs(places(spark, str(tmp_path)), "contentid", "latitude", "longitude", 50, block="cell")
+    want = near.select("contentid1", "contentid2", F.round("distance_m", 2).alias("distance_m"))
+    assert _rows(pairs) == _rows(want) and pairs.count() > 44850
+    assert spark.read.parquet(next(p for p in stored if "/pairs-" in p)).count() < 500
+
+
 def test_stream_upsert_late_arrival_loses(spark):
     first = spark.createDataFrame([(1, 5, "new"), (2, 1, "only")], "k int, o int, v string")
     late = spark.createDataFrame([(1, 3, "late")], "k int, o int, v string")
