@@ -16,9 +16,12 @@ a slice mixes the passage with the rest of the text.
 1. Neighbours in every tile, by size, are compared: first the bitmap signatures,
    whose bit counts bound the overlap from above, then the sorted arrays.
 2. Tiles whose members this joins to one component are done. In the others all
-   pairs across components are compared, large tiles cut into chunks whose pairs
-   are tiles themselves. So copies never become all their pairs, and no link
-   between sets of different components is missed.
+   pairs across components are compared where the tile is, large tiles cut into
+   chunks whose pairs are tiles themselves: rows with a partner that short, then
+   whole bitmaps allow stay in the tile, and the last to stay bring their sets.
+   A tile gives one link per two components it joins, never its pairs, so copies
+   never become all their pairs, and no link between sets of different
+   components is missed.
 
 Defined cases: null and blank texts have an empty set, link with nothing and
 are their own component; fewer words than a shingle has make one of them all;
@@ -46,7 +49,9 @@ from placeweave.session import Scratch, discard, settle
 ship_by_value(__name__)
 
 CHUNK = 512
+CHUNK_MEMBERS = 1 << 20  # 8 MB of sets
 PAIRS_KEPT = 200_000
+ROWS_OUT = 10_000
 FIRST_TILES = 12
 WORDS_KEPT = 500_000
 BROADCAST_ADDRESSES = 1_000_000  # longs: some 16 MB at most
@@ -137,9 +142,12 @@ class Rule:
 
     def may_link(self, n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> bool:
         """Whether the bound on the overlap leaves a link possible."""
-        width = 8 * min(len(bits_a), len(bits_b))
-        a = _folded(int.from_bytes(bits_a, "little"), 8 * len(bits_a), width)
-        b = _folded(int.from_bytes(bits_b, "little"), 8 * len(bits_b), width)
+        return self.overlap_allows(n_a, _opened(bits_a), n_b, _opened(bits_b))
+
+    def overlap_allows(self, n_a: int, bits_a: tuple[int, int], n_b: int, bits_b: tuple[int, int]) -> bool:
+        """``may_link`` of bitmaps as numbers with their widths."""
+        width = min(bits_a[1], bits_b[1])
+        a, b = _folded(*bits_a, width), _folded(*bits_b, width)
         common = (a & b).bit_count()
         return self.enough(min(n_a - a.bit_count(), n_b - b.bit_count()) + common, n_a, n_b)
 
@@ -166,6 +174,10 @@ def bitmap(members: np.ndarray, per_member: int = 4) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _opened(bits: bytes) -> tuple[int, int]:
+    return int.from_bytes(bits, "little"), 8 * len(bits)
+
+
 def _folded(bits: int, width: int, to: int) -> int:
     while width > to:
         width //= 2
@@ -268,17 +280,32 @@ def _whole_sets(rule: Rule):
     return run
 
 
+def _listed(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is in ``wanted`` (settled, distinct): a short
+    list is broadcast, so that only what it names is shuffled later, a long one
+    joined."""
+    if wanted.limit(BROADCAST_ADDRESSES + 1).count() <= BROADCAST_ADDRESSES:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, column, "left_semi")
+
+
 def _sets_of(docs: DataFrame, base: DataFrame, nodes: DataFrame, rule: Rule, held: Scratch) -> DataFrame:
     """(node, n, brief, bits, members), one row each, of ``nodes``; brief: short
-    bitmaps, which travel with tiles. Their texts are found by address before they are read; a short list of addresses is
-    broadcast, a long one joined."""
-    addresses = base.join(nodes, "node", "left_semi").select("address").distinct()
-    addresses = held.settle(addresses, "addresses")
-    if addresses.limit(BROADCAST_ADDRESSES + 1).count() <= BROADCAST_ADDRESSES:
-        addresses = F.broadcast(addresses)
-    texts = _texts(docs).join(addresses, "address", "left_semi").select("text")
+    bitmaps, which travel with tiles. One row of ``docs`` is found for each node
+    before texts are read, so that no texts or sets are shuffled but those of
+    rows that repeat an id with its text."""
+    place = F.xxhash64("doc_id", "address").alias("place")
+    rows = base.join(nodes, "node", "left_semi").groupBy("node", place).agg(F.count(F.lit(1)).alias("rows"))
+    chosen = held.settle(
+        rows.groupBy("node").agg(F.min(F.struct("rows", "place")).alias("at")).select("at.*").distinct(), "places"
+    )
+    texts = _texts(docs).select(place, "text")
+    found = _listed(texts, "place", chosen.filter("rows = 1").select("place"))
+    repeated = chosen.filter("rows > 1").select("place")
+    if not repeated.isEmpty():
+        found = found.unionByName(_listed(texts, "place", repeated).dropDuplicates(["place"]))
     schema = "node long, n long, brief binary, bits binary, members binary"
-    return held.settle(texts.mapInArrow(_whole_sets(rule), schema).dropDuplicates(["node"]), "sets")
+    return held.settle(found.select("text").mapInArrow(_whole_sets(rule), schema), "sets")
 
 
 def _keep(test):
@@ -298,77 +325,152 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule, held: Scratch) -> D
     """The linked ones of ``pairs`` (a, b), settled: bitmaps first."""
     kind = "a long, b long"
 
-    def with_columns(rows: DataFrame, *columns: str) -> DataFrame:
+    def with_columns(rows: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
         for end in ("a", "b"):
             side = sets.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
             rows = rows.join(side, end)
         return rows.select("a", "b", *[f"{c}_{end}" for end in ("a", "b") for c in columns])
 
-    possible = held.settle(with_columns(pairs, "n", "bits").mapInArrow(_keep(rule.may_link), kind), "possible")
-    return held.settle(with_columns(possible, "members").mapInArrow(_keep(rule.members_link), kind), "links")
+    possible = with_columns(pairs, sets, "n", "bits").mapInArrow(_keep(rule.may_link), kind)
+    possible = held.settle(possible, "possible")
+    ends = held.settle(possible.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    sets = _listed(sets.select("node", "members"), "node", ends)
+    return held.settle(with_columns(possible, sets, "members").mapInArrow(_keep(rule.members_link), kind), "links")
+
+
+TILE_COLUMNS = {
+    "key": pa.int64(),
+    "tile": pa.string(),
+    "side": pa.int32(),
+    "across": pa.bool_(),
+    "node": pa.int64(),
+    "n": pa.int64(),
+    "component": pa.int64(),
+    "firsts": pa.list_(pa.int64()),
+}
+TILE_ROW = (
+    "key long, tile string, side int, across boolean, node long, n long, component long, firsts array<long>"
+)
+
+
+def _tile_by_tile(batches):
+    """Lists of the rows of each tile; rows come sorted by key and tile."""
+    held: list[dict] = []
+    at = None
+    for batch in batches:
+        for row in batch.to_pylist():
+            here = row["key"], row["tile"]
+            if here != at:
+                if held:
+                    yield held
+                held, at = [], here
+            held.append(row)
+    if held:
+        yield held
+
+
+def _possible_pairs(rule: Rule, rows: list[dict], wanted):
+    """Pairs (i, j) of rows of a tile, of different components, whose bitmaps
+    leave a link possible; ``wanted`` (i, j) is asked before the bitmaps are.
+    A tile of two chunks has rows of side 0 and 1, met across. A pair is left to
+    an earlier tile where the nodes' lists of their first tiles show one; in the
+    first tile that they share they never do, so every pair is looked at."""
+    earlier = [{k for k in x["firsts"] if k < x["key"]} for x in rows]
+    bits = [_opened(x["bits"]) for x in rows]
+    for i, x in enumerate(rows):
+        for j in range(i + 1, len(rows)):
+            y = rows[j]
+            if x["component"] == y["component"] or x["across"] and x["side"] == y["side"]:
+                continue
+            if not wanted(i, j):
+                continue
+            # both are in an earlier tile, where they are looked at
+            if not earlier[i].isdisjoint(earlier[j]):
+                continue
+            if rule.sizes_fit(x["n"], y["n"]) and rule.overlap_allows(x["n"], bits[i], y["n"], bits[j]):
+                yield i, j
+
+
+def _possible_rows(rule: Rule):
+    """Rows of tiles that have a possible pair in their tile, without bitmaps. A
+    pair that is possible keeps both its rows in the tile that looks at it."""
+
+    def run(batches):
+        out: list[dict] = []
+        for rows in _tile_by_tile(batches):
+            stays = [False] * len(rows)
+            for i, j in _possible_pairs(rule, rows, lambda i, j: not (stays[i] and stays[j])):
+                stays[i] = stays[j] = True
+            out += [x for x, stay in zip(rows, stays) if stay]
+            if len(out) >= ROWS_OUT:
+                yield _batch({c: [x[c] for x in out] for c in TILE_COLUMNS}, TILE_COLUMNS)
+                out = []
+        yield _batch({c: [x[c] for x in out] for c in TILE_COLUMNS}, TILE_COLUMNS)
+
+    return run
 
 
 def _cross_pairs(rule: Rule):
-    """Pairs of nodes of different components in each tile whose bitmaps leave a
-    link possible; rows come sorted by key and tile. A tile of two chunks has
-    rows of side 0 and 1, met across. A pair is left to an earlier tile where the
-    nodes' lists of their first tiles show one; in the first tile that they
-    share they never do, so every pair is looked at."""
+    """Pairs of nodes of different components in each tile. Rows with members
+    give links only, and none between components that the task's links have
+    joined already; rows without give all pairs that the bitmaps leave possible."""
+
     def run(batches):
-        held: list[dict] = []
         seen: set = set()
-        at = None
-
-        def pairs(rows):
-            earlier = [{k for k in x["firsts"] if k < x["key"]} for x in rows]
-            for i, x in enumerate(rows):
-                for j in range(i + 1, len(rows)):
-                    y = rows[j]
-                    if x["component"] == y["component"] or x["across"] and x["side"] == y["side"]:
-                        continue
-                    # both are in an earlier tile, where they are looked at
-                    if not earlier[i].isdisjoint(earlier[j]):
-                        continue
-                    if not rule.sizes_fit(x["n"], y["n"]):
-                        continue
-                    pair = (x["node"], y["node"]) if x["node"] < y["node"] else (y["node"], x["node"])
-                    if pair not in seen:
-                        seen.add(pair)
-                        if rule.may_link(x["n"], x["bits"], y["n"], y["bits"]):
-                            yield pair
+        owner: dict = {}
+        out: list = []
+
+        def root(component):
+            while (above := owner.get(component, component)) != component:
+                owner[component] = owner.get(above, above)
+                component = above
+            return component
 
-        def flush(out):
+        def flush():
             return pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
-        out: set = set()
-        for batch in batches:
-            for row in batch.to_pylist():
-                here = row["key"], row["tile"]
-                if here != at:
-                    out.update(pairs(held))
-                    held, at = [], here
-                held.append(row)
+        for rows in _tile_by_tile(batches):
+            exact = "members" in rows[0]
+
+            def fresh(i, j):
+                x, y = rows[i], rows[j]
+                if exact and root(x["component"]) == root(y["component"]):
+                    return False
+                return (min(x["node"], y["node"]), max(x["node"], y["node"])) not in seen
+
+            for i, j in _possible_pairs(rule, rows, fresh):
+                x, y = rows[i], rows[j]
+                pair = min(x["node"], y["node"]), max(x["node"], y["node"])
+                seen.add(pair)
+                if exact:
+                    if not rule.members_link(x["members"], y["members"]):
+                        continue
+                    owner[root(x["component"])] = root(y["component"])
+                out.append(pair)
             if len(seen) > PAIRS_KEPT:
-                yield flush(out)
+                yield flush()
                 out.clear()
                 seen.clear()
-        out.update(pairs(held))
-        yield flush(out)
+                owner.clear()
+        yield flush()
 
     return run
 
 
 def _unlike_tiles(members: DataFrame) -> DataFrame:
-    """(key, size) of one tile of each set of nodes: sets that have much in common
-    share hundreds of tiles, which all hold the same pairs."""
+    """(key, size, widest) of one tile of each set of nodes: sets that have much in
+    common share hundreds of tiles, which all hold the same pairs."""
     whole = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
+        F.max("n").alias("widest"),
         F.bit_xor(F.xxhash64("node")).alias("print"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("print2"),
     )
-    return whole.groupBy("size", "print", "print2").agg(F.min("key").alias("key")).select("key", "size")
+    return whole.groupBy("size", "widest", "print", "print2").agg(F.min("key").alias("key")).select(
+        "key", "size", "widest"
+    )
 
 
 def _tiles(members: DataFrame, sets: DataFrame, held: Scratch) -> DataFrame:
@@ -380,7 +482,8 @@ def _tiles(members: DataFrame, sets: DataFrame, held: Scratch) -> DataFrame:
         F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_TILES).alias("firsts")
     )
     about = held.settle(sets.select("node", F.col("brief").alias("bits")).join(firsts, "node"), "tile-nodes")
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    chunk = F.least(F.lit(CHUNK), F.greatest(F.lit(1), F.floor(CHUNK_MEMBERS / F.col("widest"))))
+    chunks = F.ceil(F.col("size") / chunk).cast("int")
     return (
         members
         .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
@@ -400,6 +503,23 @@ def _tiles(members: DataFrame, sets: DataFrame, held: Scratch) -> DataFrame:
     )
 
 
+def _crossing(tiles: DataFrame, sets: DataFrame, rule: Rule, held: Scratch) -> DataFrame:
+    """Links (a, b) that join the components in tiles, settled. Rows stay while a
+    pair of theirs is possible, first by short, then by whole bitmaps."""
+
+    def by_tile(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "tile").sortWithinPartitions("key", "tile")
+
+    def brought(rows: DataFrame, *columns: str) -> DataFrame:
+        nodes = held.settle(rows.select("node").distinct(), "tile-ends")
+        return rows.join(_listed(sets.select("node", *columns), "node", nodes), "node")
+
+    rows = held.settle(by_tile(tiles).mapInArrow(_possible_rows(rule), TILE_ROW), "possible-rows")
+    rows = held.settle(by_tile(brought(rows, "bits")).mapInArrow(_possible_rows(rule), TILE_ROW), "likely-rows")
+    links = by_tile(brought(rows, "bits", "members")).mapInArrow(_cross_pairs(rule), "a long, b long")
+    return held.settle(links, "crossing")
+
+
 def _owned(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, address, n_shingles, component) per row; component: a node, null
     without words. Settled, everything on the way to it deleted."""
@@ -447,14 +567,7 @@ def _owned(docs: DataFrame, rule: Rule) -> DataFrame:
         .join(known, "node")
     )
     tiles = _tiles(held.settle(members, "members"), sets, held)
-    crossing = (
-        tiles.repartition("key", "tile")
-        .sortWithinPartitions("key", "tile")
-        .mapInArrow(_cross_pairs(rule), "a long, b long")
-        .distinct()
-        .join(near, ["a", "b"], "left_anti")
-    )
-    second = _verified(held.settle(crossing, "crossing"), sets, rule, held)
+    second = _crossing(tiles, sets, rule, held)
     labels = connected(first.unionByName(second))
     held.held.append(labels)
     owned = settle(

@@ -124,6 +124,59 @@ def test_tiles_of_the_same_nodes_are_compared_once(spark):
     assert {tuple(r.firsts) for r in rows if r.node < 3} == {(0, 100)}
 
 
+def near_copies(groups, copies):
+    """Rows of one tile: ``groups`` of sets that differ in one member of 60 each,
+    every set a component of its own. Sets of different groups have 0.79."""
+    rows = []
+    rng = np.random.default_rng(5)
+    shared = rng.integers(0, 1 << 63, 54).astype(np.uint64)
+    for _ in range(groups):
+        own = np.concatenate((shared, rng.integers(0, 1 << 63, 6).astype(np.uint64)))
+        for _ in range(copies):
+            members = np.unique(np.concatenate((own, rng.integers(0, 1 << 63, 1).astype(np.uint64))))
+            node = len(rows)
+            common = {"key": 1, "tile": "0-0", "side": 0, "across": False, "node": node, "n": len(members), "component": node}
+            rows.append(common | {"bits": jaccard.bitmap(members), "firsts": [1], "members": members.tobytes()})
+    return rows
+
+
+@pytest.mark.parametrize("copies", [10, 40])
+def test_a_tile_gives_links_that_join_it_and_not_its_pairs(spark, copies):
+    import pyarrow as pa
+
+    rows = near_copies(3, copies)
+    at = [pa.RecordBatch.from_pylist(rows[i : i + 7]) for i in range(0, len(rows), 7)]
+    got = [(p["a"], p["b"]) for batch in jaccard._cross_pairs(jaccard.RULE)(at) for p in batch.to_pylist()]
+    assert len(got) == 3 * (copies - 1)
+    joined = connected(spark.createDataFrame(got, "a long, b long")).collect()
+    assert {r.node: r.component for r in joined} == {n: n - n % copies for n in range(3 * copies)}
+
+
+def test_rows_with_a_possible_partner_stay_in_their_tile():
+    import pyarrow as pa
+
+    rows = near_copies(2, 6)
+    lone = np.arange(60, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows.append(rows[0] | {"node": 99, "n": 60, "component": 99, "bits": jaccard.bitmap(lone)})
+    rows += [x | {"key": 2} for x in rows[:1] + rows[-1:]]
+    out = jaccard._possible_rows(jaccard.RULE)([pa.RecordBatch.from_pylist(rows)])
+    got = [(x["key"], x["node"]) for batch in out for x in batch.to_pylist()]
+    assert got == [(1, n) for n in range(12)]
+
+
+def test_sets_are_found_without_a_shuffle_of_them(documents, monkeypatch):
+    plans, real = {}, Scratch.settle
+
+    def kept(self, df, label="settled"):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(self, df, label)
+
+    monkeypatch.setattr(Scratch, "settle", kept)
+    docs = documents([(i, " ".join(f"w{i // 2}x{j}" for j in range(30)), "en", "s") for i in range(20)])
+    jaccard._owned(docs, jaccard.RULE)
+    assert "Aggregate" not in plans["sets"]
+
+
 @pytest.mark.parametrize("size", [1, 7, 300, 5000])
 def test_short_bitmaps_bound_the_overlap_too(size):
     rng = np.random.default_rng(size)
