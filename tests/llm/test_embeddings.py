@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from placeweave.llm import embeddings
 
@@ -89,3 +90,40 @@ def test_small_tiles_give_the_same(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def _batch(rows):
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([r[2] for r in rows], pa.int32()),
+            pa.array([r[0] for r in rows], pa.int64()),
+            pa.array([r[1] for r in rows], pa.list_(pa.float32())),
+        ],
+        names=["label", "node", "embedding"],
+    )
+
+
+def test_cells_hold_no_vectors():
+    """What is shuffled per vector and cell is a name and a block's coordinates, many in one row."""
+    rng = np.random.default_rng(4)
+    rows = [(n, [float(x) for x in rng.normal(size=64).astype(np.float32)], n % 2) for n in range(4000)]
+    placed = pa.Table.from_batches(embeddings._places("<f4")([_batch(rows)]))
+    members = sum(placed.column("members").to_pylist())
+    assert sum(map(len, placed.column("data").to_pylist())) == 24 * members < len(rows) * 64 * 4 * 3
+    assert placed.num_rows * 5 < members and max(placed.column("members").to_pylist()) <= embeddings.MEMBERS
+
+
+def test_rounded_coordinates_hide_no_link(monkeypatch):
+    monkeypatch.setattr(embeddings, "SCORES_AT_ONCE", 500)
+    rows = crowd(5, 64, 12)
+    vectors = np.array([r[1] for r in rows])
+    whole = embeddings.turned(vectors)
+    every = np.arange(len(rows))
+    linked = 0
+    for number, (start, end, *_) in enumerate(embeddings.blocks(64)):
+        at = np.rint(whole[:, start:end] * (embeddings.STEP / embeddings.UNIT)).astype(np.float32)
+        one, two = embeddings.hopeful(at, 64, number, every, every, True)
+        for i, j in embeddings.linked_pairs(vectors, whole, number, every, every, True):
+            assert (one | two)[i].all() and (one | two)[j].all()
+            linked += len(i)
+    assert linked > 1000
