@@ -121,3 +121,26 @@ def test_bound_never_drops_a_match(spark):
         may = sim.title_may_exceed("p", "q", threshold)
         assert df.filter((F.col("jw") > threshold) & ~may).count() == 0
     assert df.filter(~sim.title_may_exceed("p", "q", 0.85)).count() > 0
+
+
+def test_letter_counts_hide_no_near_title(spark):
+    """Titles a few edits apart always pass, titles of other letters hardly ever."""
+    draw = random.Random(11)
+    letters = "etaoinsrhldu cmgpbfywvkxqjzéÿ,"
+    rows = []
+    for n in range(600):
+        title = "".join(draw.choice(letters) for _ in range(draw.choice([0, 5, 30, 60, 126, 140])))
+        other = list(title)
+        for _ in range(draw.randrange(7)):
+            at = draw.randrange(len(other) + 1)
+            other[at : at + draw.randrange(2)] = draw.choice(["", "", letters[n % len(letters)]])
+        rows.append((n, title, "".join(other)))
+    one, two = ([f"{side}.{c}" for c in ("size", "low", "high")] for side in "pq")
+    counted = spark.createDataFrame(rows, "n int, a string, b string").select(
+        "*", F.struct(*sim.letter_counts(F.col("a"))).alias("p"), F.struct(*sim.letter_counts(F.col("b"))).alias("q")
+    )
+    near = counted.select(F.levenshtein("a", "b").alias("edits"), sim.edits_may_be(one, two, 6).alias("may")).collect()
+    assert sum(r.edits <= 6 for r in near) > 400 and all(r.may for r in near if r.edits <= 6)
+    long = counted.filter("p.size = 60")
+    met = long.select("n", "p").crossJoin(long.select(F.col("n").alias("m"), F.col("p").alias("q"))).filter("n < m")
+    assert met.filter(sim.edits_may_be(one, two, 6)).count() < met.count() / 20
