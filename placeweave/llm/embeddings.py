@@ -46,7 +46,7 @@ MIN_COSINE = 0.98
 BLOCK = 8
 GRID = 3  # coordinates of a block that its grid is over
 CELL = 3.0  # width of a cell in ranges
-TILE = 1 << 14  # vectors of a side of a tile, fewer where they are long
+TILE = 1 << 12  # vectors of a side of a tile, fewer where they are long
 TILE_COORDINATES = 1 << 20
 MEMBERS = 256  # of a cell, at most, in one row
 SEED = 77
